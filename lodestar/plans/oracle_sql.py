@@ -99,12 +99,12 @@ _cte("app_usage", (), """
 _cte("owners", ("sub_month",), """
     SELECT analytic_id AS national_id, ddate FROM sub_month WHERE rev_f > 0""")
 
-_cte("fraud", ("sub_month",), """
-    SELECT s.analytic_id, DATE '1992-01-01' + CAST(c.c_custkey % 1000 AS INTEGER) AS register_date,
-           s.ddate,
+_cte("fraud", (), """
+    SELECT c.c_custkey AS analytic_id, DATE '1992-01-01' + CAST(c.c_custkey % 1000 AS INTEGER) AS register_date,
+           r.ddate,
            CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN 'Pre-paid' ELSE 'Post-paid' END AS charge_type,
-           CAST((c.c_custkey * 7 + month(s.ddate)) % 10 + 1 AS INTEGER) AS fraud_decile
-    FROM sub_month s JOIN customer c ON s.analytic_id = c.c_custkey""")
+           CAST((c.c_custkey * 7 + month(r.ddate)) % 10 + 1 AS INTEGER) AS fraud_decile
+    FROM customer c, (SELECT unnest([DATE '2001-07-31', DATE '2001-08-31']) AS ddate) r""")
 
 DAY_PERIOD_SQL = """CASE WHEN {h} > 0 AND {h} <= 5 THEN 'night'
                 WHEN {h} > 5 AND {h} <= 12 THEN 'morning'
@@ -146,3 +146,26 @@ def with_ctes(names, body: str) -> str:
         visit(n)
     parts = [f"{n} AS ({CTES[n][1]}\n)" for n in order]
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+# ----------------------------------------------------------------- fragments
+
+WEEKDAY_SQL = ("(['01_Mon', '02_Tue', '03_Wed', '04_Thu', '05_Fri', '06_Sat', '07_Sun'])"
+               "[isodow({d})]")
+
+
+def q(name: str) -> str:
+    """Quote an identifier for DuckDB."""
+    return '"' + name.replace('"', '""') + '"'
+
+
+def pivot_sql(source: str, keys: list[str], pivot_col: str, values: list[str],
+              measures: list[tuple[str, str, str]]) -> str:
+    """Conditional-aggregate pivot (measure-major column order), NULL -> 0."""
+    cols = []
+    for src, fn, suffix in measures:
+        for v in values:
+            cols.append(f"coalesce({fn}(CASE WHEN {pivot_col} = '{v}' THEN {src} END), 0) "
+                        f"AS {q(f'{v}_{suffix}')}")
+    return (f"SELECT {', '.join(keys)}, " + ",\n       ".join(cols)
+            + f"\nFROM {source} GROUP BY {', '.join(keys)}")

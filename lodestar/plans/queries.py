@@ -1,14 +1,37 @@
-"""The query set: one entry per operator group of the blueprint."""
+"""The query set: one entry per operator group of the blueprint.
+
+Every query reads the driver tables of ``sf_dir`` through the stand-in
+adapters and runs over the whole tables.  The oracle SQL next to each query
+computes the same result in DuckDB, usually in the reference's literal form
+(one pivot per metric, one join per lag, a global ``ntile`` window), so the
+check also proves the rewritten plans equal the literal ones.
+"""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from lodestar.operators import household
-from lodestar.plans.oracle_sql import with_ctes
+from lodestar.functions.calendar import day_period, weekday_label
+from lodestar.functions.months import date_range_filter, shift_month_end, shift_month_start, yyyymm
+from lodestar.operators import derive, household, impute, label, lags, pivot, rank, reduce
+from lodestar.operators.evaluate import gains_lift, roc_table
+from lodestar.plans.oracle_sql import DAY_PERIOD_SQL, WEEKDAY_SQL, pivot_sql, q, with_ctes
 from lodestar.plans.registry import ORACLE, QUERIES, register, round_cols  # noqa: F401
 from lodestar.sources.standin import TestTables
 
+# Query parameters (the window and months the stand-ins are examined at).
+LABEL_BEGIN, LABEL_END = date(1996, 1, 1), date(1996, 12, 31)
+SCORING_MONTH = date(2001, 7, 31)
+STORED_UNTIL = date(1999, 12, 31)
+APP_LIST = ["click", "purchase", "view", "refund"]   # a saved training list
+PROFILE_LAG_COLS = ["norms_net_revenue_avg_3mth_p0_p2", "norms_net_revenue_gprs",
+                    "norms_net_revenue_vas", "norms_net_revenue_voice"]
+PACK_LAG_COLS = ["data_traffic_subs_mb", "mou_ic_total", "mou_og_total", "distinct_out_number"]
+HH_COLS = household.HOUSEHOLD_COLS
+LAG_BASES = PROFILE_LAG_COLS + HH_COLS + PACK_LAG_COLS
+
 # ---------------------------------------------------------------- household
 
 _STD = [n for n, fn, _ in household.HOUSEHOLD_STATS if fn == "stddev"]
@@ -27,7 +50,7 @@ def _hh_stats_sql() -> str:
     return ",\n           ".join(out)
 
 
-_HH_MART_SQL_BODY = f"""
+_HH_MART_CTES = f"""
 , members AS (SELECT DISTINCT * FROM hh_members)
 , stats AS (
     SELECT ddate, home_analytic_id, geo_home_shape_id,
@@ -35,7 +58,7 @@ _HH_MART_SQL_BODY = f"""
     FROM members GROUP BY ddate, home_analytic_id, geo_home_shape_id)
 , hh_mart AS (
     SELECT m.analytic_id, m.register_date, m.home_analytic_id, m.geo_home_shape_id,
-           {", ".join("s." + c for c in household.HOUSEHOLD_COLS)}, m.ddate
+           {", ".join("s." + c for c in HH_COLS)}, m.ddate
     FROM members m LEFT JOIN stats s
       ON m.ddate = s.ddate AND m.home_analytic_id = s.home_analytic_id
      AND m.geo_home_shape_id = s.geo_home_shape_id)
@@ -43,17 +66,285 @@ _HH_MART_SQL_BODY = f"""
 
 
 def household_mart(t: TestTables):
-    """Household mart for every month (AG1 AG5 JO4)."""
-    return household.household_features(t.household_members(), partition_cols=["ddate"])
+    """Household mart for every month, standard deviations rounded to cents."""
+    mart = household.household_features(t.household_members(), partition_cols=["ddate"])
+    return round_cols(mart, _STD, 2)
 
 
 @register("household_features",
-          with_ctes(["hh_members"], _HH_MART_SQL_BODY + "SELECT * FROM hh_mart"))
+          with_ctes(["hh_members"], _HH_MART_CTES + "SELECT * FROM hh_mart"))
 def q_household_features(spark, sf_dir):
-    return round_cols(household_mart(TestTables(spark, sf_dir)), _STD, 2)
+    """AG1 AG5 JO4: members -> group statistics -> joined back, all months."""
+    return household_mart(TestTables(spark, sf_dir))
+
+
+@register("append_month", with_ctes(["hh_members"], _HH_MART_CTES + f"""
+SELECT * FROM hh_mart WHERE ddate NOT IN
+    (SELECT DISTINCT ddate FROM hh_members WHERE ddate <= DATE '{STORED_UNTIL}')"""))
+def q_append_month(spark, sf_dir):
+    """AG9: mart rows for the months not stored yet (month-level anti join)."""
+    t = TestTables(spark, sf_dir)
+    members = t.household_members()
+    stored = members.filter(F.col("ddate") <= F.lit(STORED_UNTIL)).select("ddate").distinct()
+    new = members.join(F.broadcast(stored), "ddate", "left_anti")
+    mart = household.household_features(new, partition_cols=["ddate"])
+    return round_cols(mart, _STD, 2)
 
 
 @register("profile_dims", "SELECT count(*) AS n_rows, CAST(5 AS BIGINT) AS n_cols FROM customer")
 def q_profile_dims(spark, sf_dir):
+    """AC1 AG4: (rows, columns) of a table."""
     from lodestar.operators.profile import dims
     return dims(TestTables(spark, sf_dir).raw("customer"))
+
+
+# ------------------------------------------------------------ month windows
+
+@register("month_windows", f"""
+SELECT cam_month, count(*) AS n_orders,
+       CAST(date_trunc('month', cam_month) AS DATE) AS month_start,
+       last_day(cam_month - INTERVAL 1 MONTH) AS p1_month,
+       last_day(cam_month - INTERVAL 2 MONTH) AS prof_month,
+       CAST(cam_month - INTERVAL 1 MONTH AS DATE) AS naive_p1,
+       CAST(date_trunc('month', cam_month + INTERVAL 1 MONTH) AS DATE) AS next_start,
+       strftime(cam_month, '%Y%m') AS yyyymm
+FROM (SELECT last_day(o_orderdate) AS cam_month FROM orders
+      WHERE o_orderdate >= DATE '{LABEL_BEGIN}' AND o_orderdate < DATE '1997-01-01') t
+GROUP BY cam_month""")
+def q_month_windows(spark, sf_dir):
+    """SC1-SC5 SC7 FI1 Q1: month starts/ends, shifted month ends, yyyyMM."""
+    o = TestTables(spark, sf_dir).raw("orders")
+    m = (o.filter(date_range_filter("o_orderdate", LABEL_BEGIN, LABEL_END))
+         .select(F.last_day("o_orderdate").alias("cam_month"))
+         .groupBy("cam_month").agg(F.count(F.lit(1)).alias("n_orders")))
+    return m.select(
+        "cam_month", "n_orders",
+        F.trunc("cam_month", "month").alias("month_start"),
+        shift_month_end("cam_month", -1).alias("p1_month"),
+        shift_month_end("cam_month", -2).alias("prof_month"),
+        F.add_months("cam_month", -1).alias("naive_p1"),
+        shift_month_start("cam_month", 1).alias("next_start"),
+        yyyymm("cam_month").alias("yyyymm"))
+
+
+@register("day_period_weekday", f"""
+SELECT event_id, hour_id, wday, period, concat_ws('_', wday, period) AS wday_period,
+       concat(concat_ws('_', wday, period), '_mean_data_vol') AS pivot_name
+FROM (SELECT event_id, hour(ts) AS hour_id, {WEEKDAY_SQL.format(d='CAST(ts AS DATE)')} AS wday,
+             {DAY_PERIOD_SQL.format(h='hour(ts)')} AS period
+      FROM events WHERE hour(ts) BETWEEN 0 AND 23) t""")
+def q_day_period_weekday(spark, sf_dir):
+    """SC6 SC8 SC9 SC10 SC12 FI6: weekday labels, day periods, pivot names."""
+    e = TestTables(spark, sf_dir).raw("events")
+    t = (e.filter(F.hour("ts").between(0, 23))
+         .select("event_id", F.hour("ts").alias("hour_id"),
+                 weekday_label(F.to_date("ts")).alias("wday"),
+                 day_period(F.hour("ts")).alias("period")))
+    wp = F.concat_ws("_", "wday", "period")
+    return t.select("event_id", "hour_id", "wday", "period", wp.alias("wday_period"),
+                    F.concat(wp, F.lit("_mean_data_vol")).alias("pivot_name"))
+
+
+# ----------------------------------------------------------------- reduce
+
+@register("latest_snapshot", with_ctes(["profile"], """
+SELECT * FROM profile WHERE ddate = (SELECT max(ddate) FROM profile)"""))
+def q_latest_snapshot(spark, sf_dir):
+    """FI8 AG10 WI5: rows of the latest month (broadcast one-row max)."""
+    return reduce.latest_rows(TestTables(spark, sf_dir).profile(), "ddate")
+
+
+_TARGETS_SQL = f"""
+, targets AS (SELECT analytic_id, ddate FROM profile
+              WHERE charge_type = 'Post-paid' AND mobile_status = 'Active'
+                AND ddate BETWEEN DATE '{LABEL_BEGIN}' AND DATE '{LABEL_END}')
+"""
+
+
+def _targets(t: TestTables):
+    p = t.profile()
+    return (p.filter((F.col("charge_type") == "Post-paid") & (F.col("mobile_status") == "Active")
+                     & F.col("ddate").between(F.lit(LABEL_BEGIN), F.lit(LABEL_END)))
+            .select("analytic_id", "ddate"))
+
+
+@register("semi_reduce_one_key", with_ctes(["profile", "hourly_usage"], _TARGETS_SQL + """
+SELECT * FROM hourly_usage u
+WHERE EXISTS (SELECT 1 FROM targets t WHERE t.analytic_id = u.analytic_id)"""))
+def q_semi_reduce_one_key(spark, sf_dir):
+    """JO8: hourly usage of the target subscribers (left semi, one key)."""
+    t = TestTables(spark, sf_dir)
+    return reduce.semi_reduce(t.hourly_usage(), _targets(t), ["analytic_id"])
+
+
+@register("semi_reduce_two_keys", with_ctes(["profile", "pack"], _TARGETS_SQL + """
+SELECT * FROM pack k
+WHERE EXISTS (SELECT 1 FROM targets t WHERE t.analytic_id = k.analytic_id AND t.ddate = k.ddate)"""))
+def q_semi_reduce_two_keys(spark, sf_dir):
+    """JO9: pack rows of the target (subscriber, month) pairs."""
+    t = TestTables(spark, sf_dir)
+    return reduce.semi_reduce(t.pack(), _targets(t), ["analytic_id", "ddate"])
+
+
+@register("exclude_owners", with_ctes(["profile", "owners"], f"""
+SELECT * FROM profile p
+WHERE ddate = DATE '{SCORING_MONTH}' AND charge_type = 'Post-paid' AND mobile_status = 'Active'
+  AND NOT EXISTS (SELECT 1 FROM owners o WHERE o.national_id = p.national_id
+                  AND o.ddate = (SELECT max(ddate) FROM owners))"""))
+def q_exclude_owners(spark, sf_dir):
+    """JO10 FI2 FI3: scoring month, minus owners of the latest owner month."""
+    t = TestTables(spark, sf_dir)
+    p = t.profile().filter((F.col("ddate") == F.lit(SCORING_MONTH))
+                           & (F.col("charge_type") == "Post-paid")
+                           & (F.col("mobile_status") == "Active"))
+    own = reduce.latest_rows(t.owners(), "ddate").select("national_id")
+    return reduce.anti_reduce(p, own, ["national_id"])
+
+
+_RISK_BASE_SQL = """
+, base AS (SELECT analytic_id, activation_date AS register_date, ddate, crm_sub_id
+           FROM profile WHERE charge_type = 'Post-paid' AND ddate >= DATE '2001-01-01')
+"""
+
+
+def _risk_base(t: TestTables):
+    return (t.profile().filter((F.col("charge_type") == "Post-paid")
+                               & (F.col("ddate") >= F.lit(date(2001, 1, 1))))
+            .select("analytic_id", F.col("activation_date").alias("register_date"),
+                    "ddate", "crm_sub_id"))
+
+
+@register("exclude_risk_cut0", with_ctes(["profile"], _RISK_BASE_SQL + "SELECT * FROM base"))
+def q_exclude_risk_cut0(spark, sf_dir):
+    """MO8 with the exclusion switched off (cut 0)."""
+    t = TestTables(spark, sf_dir)
+    return reduce.exclude_risk(_risk_base(t), t.fraud(), 0)
+
+
+@register("exclude_risk_cut3", with_ctes(["profile", "fraud"], _RISK_BASE_SQL + """
+SELECT * FROM base b WHERE NOT EXISTS (
+    SELECT 1 FROM fraud f
+    WHERE f.ddate = (SELECT max(ddate) FROM fraud) AND f.charge_type = 'Post-paid'
+      AND f.fraud_decile <= 3
+      AND f.analytic_id = b.analytic_id AND f.register_date = b.register_date)"""))
+def q_exclude_risk_cut3(spark, sf_dir):
+    """MO8 JO11 FI3 FI7: drop latest-month post-paid risk deciles 1-3."""
+    t = TestTables(spark, sf_dir)
+    return reduce.exclude_risk(_risk_base(t), t.fraud(), 3)
+
+
+@register("allow_list_filter", with_ctes(["app_usage"], """
+SELECT * FROM app_usage WHERE application IN
+    (SELECT event_type FROM events GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 3)"""))
+def q_allow_list_filter(spark, sf_dir):
+    """FI5 SO2: app rows of the three commonest applications (top-k list)."""
+    t = TestTables(spark, sf_dir)
+    top = reduce.top_values(t.raw("events"), "event_type", 3)
+    return reduce.allow_list(t.app_usage(), "application", top, "event_type")
+
+
+# ------------------------------------------------------------------ labels
+
+_RESP_IN = "('Success Closure', 'Success', 'Success Inbound', 'Closure Inbound')"
+_CLOSE_IN = "('Success Closure', 'Closure Inbound')"
+_TRIPLES_SQL = f"""
+, triples AS (
+    SELECT DISTINCT crm_sub_id,
+           CASE WHEN contact_status IN {_CLOSE_IN} THEN 1 ELSE 0 END AS camp_response,
+           last_day(last_upd) AS cam_month
+    FROM contacts
+    WHERE last_upd >= DATE '{LABEL_BEGIN}' AND last_upd < DATE '1997-01-01'
+      AND contact_status IN {_RESP_IN})
+"""
+_RESOLVED_SQL = {
+    "compat": """
+, resolved AS (
+    SELECT t.crm_sub_id, t.camp_response, t.cam_month FROM triples t
+    LEFT JOIN (SELECT crm_sub_id, count(*) AS n FROM triples GROUP BY crm_sub_id) c
+      ON t.crm_sub_id = c.crm_sub_id
+    WHERE NOT (t.camp_response = 0 AND c.n > 1))
+""",
+    "all": """
+, resolved AS (
+    SELECT * FROM triples t WHERE camp_response = 1 OR NOT EXISTS
+        (SELECT 1 FROM triples o WHERE o.crm_sub_id = t.crm_sub_id AND o.camp_response = 1))
+""",
+}
+_RESOLVED_SQL["earliest"] = _RESOLVED_SQL["all"].replace("resolved AS", "resolved_all AS") + """
+, resolved AS (
+    SELECT crm_sub_id, camp_response, min(cam_month) AS cam_month FROM resolved_all
+    GROUP BY crm_sub_id, camp_response)
+"""
+_ATTACH_SQL = """
+SELECT r.crm_sub_id, r.camp_response, r.cam_month,
+       last_day(r.cam_month - INTERVAL 2 MONTH) AS prof_month, p.analytic_id
+FROM resolved r LEFT JOIN profile p
+  ON p.crm_sub_id = r.crm_sub_id AND p.ddate = last_day(r.cam_month - INTERVAL 2 MONTH)"""
+
+
+def _label_query(mode):
+    def run(spark, sf_dir):
+        t = TestTables(spark, sf_dir)
+        return label.campaign_labels(t.contacts(), t.profile(), LABEL_BEGIN, LABEL_END, mode=mode)
+    run.__doc__ = f"FE10 FE11 WI1 WI2 Q2-Q4: campaign labels for 1996, mode {mode!r}."
+    return run
+
+
+for _mode in ("earliest", "all", "compat"):
+    register(f"campaign_label_{_mode}",
+             with_ctes(["contacts", "profile"], _TRIPLES_SQL + _RESOLVED_SQL[_mode] + _ATTACH_SQL)
+             )(_label_query(_mode))
+
+
+# ------------------------------------------------------------------ pivots
+
+_USAGE_MEASURES = [("data_vol_kb", "sum_data_vol", "mean_data_vol"),
+                   ("data_usg_minute", "sum_data_min", "mean_data_min"),
+                   ("voice_out_minute", "sum_voice_out", "mean_voice_out"),
+                   ("voice_in_minute", "sum_voice_in", "mean_voice_in")]
+_TWO_STAGE_SQL = f"""
+, tagged AS (
+    SELECT analytic_id, CAST(date_id AS DATE) AS date,
+           {WEEKDAY_SQL.format(d='CAST(date_id AS DATE)')} AS wday,
+           {DAY_PERIOD_SQL.format(h='hour_id')} AS period,
+           last_day(ddate) AS month_id, {", ".join(s for s, _, _ in _USAGE_MEASURES)}
+    FROM hourly_usage WHERE hour_id BETWEEN 0 AND 23)
+, daily AS (
+    SELECT analytic_id, wday, period, month_id, date,
+           {", ".join(f"sum({s}) AS {d}" for s, d, _ in _USAGE_MEASURES)}
+    FROM tagged GROUP BY analytic_id, wday, period, month_id, date)
+, usage_means AS (
+    SELECT analytic_id, wday, period, month_id,
+           {", ".join(f"avg({d}) AS {m}" for _, d, m in _USAGE_MEASURES)}
+    FROM daily GROUP BY analytic_id, wday, period, month_id)
+"""
+_USAGE_PIVOT_SQL = _TWO_STAGE_SQL + """
+, usage_long AS (SELECT *, concat_ws('_', wday, period) AS wday_period FROM usage_means)
+, usage_pivot AS (
+""" + pivot_sql("usage_long", ["analytic_id", "month_id"], "wday_period", pivot.WEEKDAY_PERIODS,
+                [(m, "avg", m) for m in pivot.USAGE_PIVOT_ORDER]) + ")\n"
+_APP_PIVOT_SQL = f"""
+, apps AS (SELECT *, volume_ul_kb + volume_dw_kb AS vol_sum_kb FROM app_usage
+           WHERE application IN ({", ".join(f"'{a}'" for a in APP_LIST)}))
+, app_pivot AS (
+""" + pivot_sql("apps", ["analytic_id", "last_date"], "application", APP_LIST,
+                [(s, f, x) for s, f, x in pivot.APP_MEASURES]) + ")\n"
+
+
+@register("two_stage_usage", with_ctes(["hourly_usage"], _TWO_STAGE_SQL + "SELECT * FROM usage_means"))
+def q_two_stage_usage(spark, sf_dir):
+    """AG6 AG7: daily sums, then means of daily sums per weekday x period."""
+    t = TestTables(spark, sf_dir)
+    return pivot.two_stage_mean(pivot.usage_periods(t.hourly_usage()))
+
+
+@register("usage_pivot", with_ctes(["hourly_usage"], _USAGE_PIVOT_SQL + "SELECT * FROM usage_pivot"))
+def q_usage_pivot(spark, sf_dir):
+    """AG8 JO7 FE3: one multi-metric pivot -> 112 columns, zero-filled."""
+    return pivot.usage_pivot(TestTables(spark, sf_dir).hourly_usage())
+
+
+@register("app_pivot_frozen", with_ctes(["app_usage"], _APP_PIVOT_SQL + "SELECT * FROM app_pivot"))
+def q_app_pivot_frozen(spark, sf_dir):
+    """AG8 IO3 Q10 SC14: app pivot over a frozen list (absent apps -> 0 columns)."""
+    return pivot.app_pivot(TestTables(spark, sf_dir).app_usage(), APP_LIST)
