@@ -348,3 +348,282 @@ def q_usage_pivot(spark, sf_dir):
 def q_app_pivot_frozen(spark, sf_dir):
     """AG8 IO3 Q10 SC14: app pivot over a frozen list (absent apps -> 0 columns)."""
     return pivot.app_pivot(TestTables(spark, sf_dir).app_usage(), APP_LIST)
+
+
+# -------------------------------------------------------------------- lags
+
+_LAG_HIST = [("profile", "p", PROFILE_LAG_COLS), ("hh_mart", "h", HH_COLS), ("pack", "k", PACK_LAG_COLS)]
+
+
+def _literal_lag_sql(base: str) -> str:
+    """Reference form: one left join per history table and lag."""
+    sel, joins = [], []
+    for k in (1, 2):
+        for table, alias, cols in _LAG_HIST:
+            a = f"{alias}{k}"
+            sel += [f"{a}.{c} AS {c}_p{k}" for c in cols]
+            joins.append(f"LEFT JOIN {table} {a} ON {a}.analytic_id = b.analytic_id "
+                         f"AND {a}.ddate = last_day(b.ddate - INTERVAL {k} MONTH)")
+    return f"SELECT b.*, {', '.join(sel)}\nFROM {base} b\n" + "\n".join(joins)
+
+
+def _histories(t: TestTables, prof, hh):
+    return [(prof, PROFILE_LAG_COLS), (hh, HH_COLS), (t.pack(), PACK_LAG_COLS)]
+
+
+@register("lag_features", with_ctes(["profile", "pack", "hh_members"], _HH_MART_CTES + f"""
+, base AS (SELECT analytic_id, ddate, {", ".join(PROFILE_LAG_COLS)} FROM profile)
+""" + _literal_lag_sql("base")))
+def q_lag_features(spark, sf_dir):
+    """JO5 JO2 PR11 SC4 Q1: months -1 and -2 of three history tables."""
+    t = TestTables(spark, sf_dir)
+    prof = t.profile()
+    base = prof.select("analytic_id", "ddate", *PROFILE_LAG_COLS)
+    return lags.month_lags(base, _histories(t, prof, household_mart(t)))
+
+
+def _derive_sql() -> str:
+    lag_cols = [f"{c}_p{k}" for k in (1, 2) for c in LAG_BASES]
+    fill = ", ".join(f"coalesce({c}, 0) AS {c}" for c in LAG_BASES + lag_cols)
+    avg = [f"({b} + {b}_p1 + {b}_p2) / 3.0::DOUBLE AS {n}" for n, b in derive.AVG_FEATURES]
+    slope = [f"coalesce({b} / nullif(({b}_p1 + {b}_p2) / 2.0::DOUBLE, 0) - 1.0::DOUBLE, 0) AS {n}"
+             for n, b in derive.SLOPE_FEATURES]
+    return f"""
+, star AS (SELECT p.analytic_id, p.ddate, {", ".join("p." + c for c in PROFILE_LAG_COLS)},
+                  {", ".join("k." + c for c in PACK_LAG_COLS)}, {", ".join("h." + c for c in HH_COLS)}
+           FROM profile p
+           LEFT JOIN pack k ON k.analytic_id = p.analytic_id AND k.ddate = p.ddate
+           LEFT JOIN hh_mart h ON h.analytic_id = p.analytic_id AND h.ddate = p.ddate)
+, lagged AS ({_literal_lag_sql("star")})
+, filled AS (SELECT analytic_id, ddate, {fill} FROM lagged)
+SELECT analytic_id, ddate, {", ".join(LAG_BASES)},
+       {", ".join(avg)},
+       {", ".join(slope)}
+FROM filled"""
+
+
+@register("avg_and_slope", with_ctes(["profile", "pack", "hh_members"], _HH_MART_CTES + _derive_sql()))
+def q_avg_and_slope(spark, sf_dir):
+    """FE7 FE8 FE9 SC15 PR4 Q7 Q18: 3-month averages and slopes, lags dropped."""
+    t = TestTables(spark, sf_dir)
+    prof, hh = t.profile(), household_mart(t)
+    star = (prof.select("analytic_id", "ddate", *PROFILE_LAG_COLS)
+            .join(t.pack().select("analytic_id", "ddate", *PACK_LAG_COLS), ["analytic_id", "ddate"], "left")
+            .join(hh.select("analytic_id", "ddate", *HH_COLS), ["analytic_id", "ddate"], "left")
+            .select("analytic_id", "ddate", *LAG_BASES))
+    lagged = lags.month_lags(star, _histories(t, prof, hh))
+    types = dict(lagged.dtypes)
+    filled = lagged.select(*[F.col(c) if c in ("analytic_id", "ddate")
+                             else pivot.zero_fill(c, types[c]).alias(c) for c in lagged.columns])
+    return derive.derive_features(filled)
+
+
+# ------------------------------------------------------------ feature star
+
+from lodestar.plans import prepare  # noqa: E402
+
+_STAR_BEGIN, _STAR_END = date(1995, 11, 1), date(1996, 10, 31)
+
+
+def _star_sql() -> str:
+    pc = ", ".join(prepare.PROFILE_COLS)
+    kc = ", ".join(prepare.PACK_COLS)
+    feat_cols = ([c for c in prepare.PROFILE_COLS if c not in ("analytic_id", "crm_sub_id", "ddate")]
+                 + [c for c in prepare.PACK_COLS if c not in ("analytic_id", "ddate")]
+                 + ["register_date", "home_analytic_id", "geo_home_shape_id"] + HH_COLS)
+    rng = f"ddate >= DATE '{_STAR_BEGIN}' AND ddate < DATE '1996-11-01'"
+    return (_TRIPLES_SQL + _RESOLVED_SQL["earliest"] + "\n, labels AS (" + _ATTACH_SQL + ")\n" + f"""
+, prof AS (SELECT {pc} FROM profile p
+           WHERE charge_type = 'Post-paid' AND mobile_status = 'Active' AND {rng}
+             AND EXISTS (SELECT 1 FROM labels l WHERE l.crm_sub_id = p.crm_sub_id
+                         AND l.prof_month = p.ddate))
+, pk AS (SELECT {kc} FROM pack k WHERE {rng}
+         AND EXISTS (SELECT 1 FROM prof f WHERE f.analytic_id = k.analytic_id AND f.ddate = k.ddate))
+, hh AS (SELECT * FROM hh_mart h WHERE {rng}
+         AND EXISTS (SELECT 1 FROM prof f WHERE f.analytic_id = h.analytic_id AND f.ddate = h.ddate))
+, feat AS (SELECT prof.crm_sub_id, prof.ddate, {", ".join(f"{c}" for c in feat_cols)}
+           FROM prof LEFT JOIN pk USING (analytic_id, ddate) LEFT JOIN hh USING (analytic_id, ddate))
+SELECT l.crm_sub_id, l.camp_response, l.cam_month, l.prof_month, l.analytic_id,
+       {", ".join("f." + c for c in feat_cols)}
+FROM labels l LEFT JOIN feat f ON f.crm_sub_id = l.crm_sub_id AND f.ddate = l.prof_month
+WHERE l.crm_sub_id IS NOT NULL""")
+
+
+@register("feature_star", with_ctes(["contacts", "profile", "pack", "hh_members"],
+                                    _HH_MART_CTES + _star_sql()))
+def q_feature_star(spark, sf_dir):
+    """JO1 JO2 JO3 JO8 JO9 PR1 PR2: labelled feature table (prep step)."""
+    t = TestTables(spark, sf_dir)
+    labels = label.campaign_labels(t.contacts(), t.profile(), LABEL_BEGIN, LABEL_END)
+    prof = prepare.population(t.profile(), _STAR_BEGIN, _STAR_END, labels=labels)
+    feats = prepare.feature_table(prof, t.pack(), household_mart(t), _STAR_BEGIN, _STAR_END)
+    return prepare.label_features(labels, feats)
+
+
+# ---------------------------------------------------------- impute, recode
+
+_MEAN_SRC = """
+, p AS (SELECT analytic_id, ddate, TRY_CAST(age AS DOUBLE) AS age, handset_launchprice, credit_limit
+        FROM profile WHERE analytic_id IS NOT NULL)
+"""
+
+
+def _impute_sql(fit_where: str, apply_where: str) -> str:
+    return _MEAN_SRC + f"""
+, m AS (SELECT avg(age) AS a, avg(handset_launchprice) AS h, avg(credit_limit) AS c
+        FROM p WHERE {fit_where})
+SELECT analytic_id, ddate, coalesce(age, m.a) AS age,
+       coalesce(handset_launchprice, m.h) AS handset_launchprice,
+       coalesce(credit_limit, m.c) AS credit_limit
+FROM p, m WHERE {apply_where}"""
+
+
+def _impute_src(t: TestTables):
+    p = t.profile().select("analytic_id", "ddate", *impute.MEAN_COLS)
+    return impute.prepare_numbers(p)
+
+
+@register("mean_impute", with_ctes(["profile"], _impute_sql("TRUE", "TRUE")))
+def q_mean_impute(spark, sf_dir):
+    """FE1 AG11 SC13: text -> number, then mean imputation fitted on the table."""
+    d = _impute_src(TestTables(spark, sf_dir))
+    return impute.fit_means(d).transform(d)
+
+
+@register("mean_impute_frozen", with_ctes(["profile"], _impute_sql(
+    "year(ddate) = 1996", "year(ddate) = 1997")))
+def q_mean_impute_frozen(spark, sf_dir):
+    """Q6: means fitted on the 1996 (training) months, applied to 1997."""
+    d = _impute_src(TestTables(spark, sf_dir))
+    model = impute.fit_means(d.filter(F.year("ddate") == 1996))
+    return model.transform(d.filter(F.year("ddate") == 1997))
+
+
+_FILL_ZERO = (["days_active", "service_month"] + PROFILE_LAG_COLS
+              + [c for c in prepare.PACK_COLS if c not in ("analytic_id", "ddate", "new_pack_cat")])
+
+
+def _recode_sql() -> str:
+    zero = ", ".join(f"coalesce({c}, 0) AS {c}" for c in _FILL_ZERO)
+    return f"""
+, base AS (SELECT p.*, {", ".join("k." + c for c in prepare.PACK_COLS if c not in ("analytic_id", "ddate"))}
+           FROM profile p LEFT JOIN pack k ON k.analytic_id = p.analytic_id AND k.ddate = p.ddate)
+, b2 AS (SELECT * REPLACE (TRY_CAST(age AS DOUBLE) AS age) FROM base WHERE analytic_id IS NOT NULL)
+, m AS (SELECT avg(age) AS a, avg(handset_launchprice) AS h, avg(credit_limit) AS c FROM b2)
+SELECT analytic_id, crm_sub_id, national_id, ddate,
+       coalesce(age, m.a) AS age, coalesce(handset_launchprice, m.h) AS handset_launchprice,
+       coalesce(credit_limit, m.c) AS credit_limit,
+       coalesce(mnp_flag, 'N') AS mnp_flag,
+       CASE WHEN gender IN ('Male', 'Female') THEN gender ELSE 'unknown' END AS gender,
+       CASE WHEN coalesce(handset_os, 'unknown') IN ('Android', 'iOS', 'Proprietary', 'Unknown')
+            THEN coalesce(handset_os, 'unknown') ELSE 'others' END AS handset_os,
+       coalesce(new_pack_cat, 'unknown') AS new_pack_cat,
+       {zero},
+       CASE WHEN master_segment_id IS NULL OR master_segment_id IN ('NA', 'Prospect Emerald') THEN 'Classic'
+            WHEN master_segment_id IN ('Platinum Plus', 'Prospect Plat Plus') THEN 'Platinum'
+            WHEN master_segment_id IN ('Prospect Platinum') THEN 'Gold'
+            WHEN master_segment_id IN ('Prospect Gold') THEN 'Emerald'
+            WHEN master_segment_id IN ('Standard') THEN 'Classic'
+            ELSE master_segment_id END AS serenade
+FROM b2, m"""
+
+
+@register("fill_and_recode", with_ctes(["profile", "pack"], _recode_sql()))
+def q_fill_and_recode(spark, sf_dir):
+    """FE2-FE6 FI10 PR6 JO6 Q5 Q15: one-pass cleansing; row count kept."""
+    t = TestTables(spark, sf_dir)
+    base = t.profile().join(t.pack(), ["analytic_id", "ddate"], "left")
+    clean, _ = impute.cleanse(base, ["analytic_id", "crm_sub_id", "national_id", "ddate"], _FILL_ZERO)
+    return clean
+
+
+# ----------------------------------------------------------------- ranking
+
+_DECILE_SQL = """
+SELECT crm_sub_id, analytic_id, register_date, p1 AS fmc_score,
+       CAST(11 - ntile(10) OVER (ORDER BY p1, analytic_id) AS BIGINT) AS fmc_decile,
+       CAST(101 - ntile(100) OVER (ORDER BY p1, analytic_id) AS BIGINT) AS fmc_percentile
+FROM scores"""
+
+
+@register("decile_percentile", with_ctes(["scores"], _DECILE_SQL))
+def q_decile_percentile(spark, sf_dir):
+    """WI3 WI4 SC17 Q11: exact global deciles/percentiles, distributed."""
+    s = TestTables(spark, sf_dir).scores()
+    r = rank.add_ntiles(s, [("p1", True), ("analytic_id", True)],
+                        {"fmc_decile": 10, "fmc_percentile": 100})
+    return r.select("crm_sub_id", "analytic_id", "register_date", F.col("p1").alias("fmc_score"),
+                    (F.lit(11) - F.col("fmc_decile")).alias("fmc_decile"),
+                    (F.lit(101) - F.col("fmc_percentile")).alias("fmc_percentile"))
+
+
+_RTC_SQL = """
+, rtc AS (SELECT crm_sub_id, prefer_time FROM call_times
+          WHERE month_id = (SELECT max(month_id) FROM call_times))
+"""
+
+
+@register("best_time_to_call", with_ctes(["call_times"], _RTC_SQL + """
+SELECT c.c_custkey AS crm_sub_id, coalesce(r.prefer_time, 'anytime') AS time2call
+FROM customer c LEFT JOIN rtc r ON r.crm_sub_id = c.c_custkey"""))
+def q_best_time_to_call(spark, sf_dir):
+    """MO9 FE4 PR7 Q13: latest month's preferred call period, default anytime."""
+    t = TestTables(spark, sf_dir)
+    cust = t.raw("customer").select(F.col("c_custkey").alias("crm_sub_id"))
+    return reduce.attach_call_time(cust, t.call_times())
+
+
+@register("campaign_list", with_ctes(["scores", "call_times"], _RTC_SQL + """
+SELECT s.crm_sub_id, s.analytic_id, s.register_date, s.p1 AS fmc_score,
+       CAST(11 - ntile(10) OVER (ORDER BY s.p1, s.analytic_id) AS BIGINT) AS fmc_decile,
+       CAST(101 - ntile(100) OVER (ORDER BY s.p1, s.analytic_id) AS BIGINT) AS fmc_percentile,
+       'Post-paid' AS charge_type, 'cvm' AS model, coalesce(r.prefer_time, 'anytime') AS time2call
+FROM scores s LEFT JOIN rtc r ON r.crm_sub_id = s.crm_sub_id"""))
+def q_campaign_list(spark, sf_dir):
+    """MO10 PR8 PR9: scores + call time -> ranked 9-column campaign list."""
+    from lodestar.operators.campaign import campaign_list
+    t = TestTables(spark, sf_dir)
+    return campaign_list(reduce.attach_call_time(t.scores(), t.call_times()))
+
+
+# -------------------------------------------------------------- evaluation
+
+_DOC_SCORE_SQL = """
+, s AS (SELECT l.doc_id, CAST(least(d.n_chars, 10000) AS DOUBLE) / 10000.0::DOUBLE AS score,
+               l.quality FROM labels l JOIN documents d ON d.doc_id = l.doc_id)
+"""
+
+
+def _doc_scores(t: TestTables):
+    d = t.raw("documents").select("doc_id", "n_chars")
+    return (t.raw("labels").select("doc_id", "quality").join(d, "doc_id")
+            .select("doc_id", (F.least(F.col("n_chars"), F.lit(10000)).cast("double")
+                               / F.lit(10000.0)).alias("score"), "quality"))
+
+
+@register("roc_points", "WITH _x AS (SELECT 1)" + _DOC_SCORE_SQL + """
+, b AS (SELECT round(score, 4) AS threshold, sum(quality) AS pos, count(*) AS cnt FROM s GROUP BY 1)
+, c AS (SELECT threshold, sum(pos) OVER w AS tp, sum(cnt - pos) OVER w AS fp,
+               sum(pos) OVER () AS P, sum(cnt - pos) OVER () AS N FROM b
+        WINDOW w AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, tp / P AS tpr, fp / N AS fpr FROM c""")
+def q_roc_points(spark, sf_dir):
+    """MO4: ROC table (cumulative TP/FP per binned score)."""
+    return roc_table(_doc_scores(TestTables(spark, sf_dir)), "score", "quality")
+
+
+@register("gains_lift", "WITH _x AS (SELECT 1)" + _DOC_SCORE_SQL + """
+, r AS (SELECT *, ntile(10) OVER (ORDER BY score DESC, doc_id ASC) AS grp FROM s)
+, per AS (SELECT grp, count(*) AS n, sum(quality) AS positives, min(score) AS min_score,
+                 max(score) AS max_score FROM r GROUP BY grp)
+, c AS (SELECT *, sum(n) OVER w AS cum_n, sum(positives) OVER w AS cum_positives,
+               sum(n) OVER () AS tn, sum(positives) OVER () AS tp FROM per
+        WINDOW w AS (ORDER BY grp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT CAST(grp AS BIGINT) AS "group", CAST(n AS BIGINT) AS n, CAST(positives AS BIGINT) AS positives,
+       min_score, max_score, positives / n AS response_rate, (positives / n) / (tp / tn) AS lift,
+       CAST(cum_n AS BIGINT) AS cum_n, CAST(cum_positives AS BIGINT) AS cum_positives,
+       cum_positives / tp AS cum_capture, (cum_positives / cum_n) / (tp / tn) AS cum_lift
+FROM c""")
+def q_gains_lift(spark, sf_dir):
+    """MO5: gains/lift table by score decile."""
+    return gains_lift(_doc_scores(TestTables(spark, sf_dir)), "score", "quality", "doc_id")
