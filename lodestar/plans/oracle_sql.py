@@ -33,7 +33,20 @@ _cte("contacts", (), """
                 ELSE 'No Contact' END AS contact_status
     FROM orders""")
 
-_cte("profile", ("sub_month",), """
+_cte("active_grid", ("sub_month",), """
+    SELECT g.analytic_id, g.ddate,
+           coalesce(s.n_orders, 0) AS n_orders, coalesce(s.rev, 0::DOUBLE) AS rev,
+           coalesce(s.rev_f, 0::DOUBLE) AS rev_f, coalesce(s.rev_o, 0::DOUBLE) AS rev_o,
+           coalesce(s.rev_p, 0::DOUBLE) AS rev_p, coalesce(s.n_urgent, 0) AS n_urgent
+    FROM (SELECT analytic_id, last_day(m) AS ddate FROM (
+            SELECT o_custkey AS analytic_id,
+                   unnest(generate_series(date_trunc('month', min(o_orderdate)),
+                                          date_trunc('month', max(o_orderdate)),
+                                          INTERVAL 1 MONTH)) AS m
+            FROM orders GROUP BY o_custkey) x) g
+    LEFT JOIN sub_month s ON s.analytic_id = g.analytic_id AND s.ddate = g.ddate""")
+
+_cte("profile", ("active_grid",), """
     SELECT s.analytic_id, c.c_custkey AS crm_sub_id, c.c_custkey AS national_id,
            DATE '1992-01-01' + CAST(c.c_custkey % 1000 AS INTEGER) AS activation_date,
            s.ddate,
@@ -54,7 +67,7 @@ _cte("profile", ("sub_month",), """
            CASE WHEN s.n_urgent >= 2 THEN 'Suspended' ELSE 'Active' END AS mobile_status,
            s.rev AS norms_net_revenue_avg_3mth_p0_p2, s.rev_f AS norms_net_revenue_gprs,
            s.rev_o AS norms_net_revenue_vas, s.rev_p AS norms_net_revenue_voice
-    FROM sub_month s JOIN customer c ON s.analytic_id = c.c_custkey""")
+    FROM active_grid s JOIN customer c ON s.analytic_id = c.c_custkey""")
 
 _cte("pack", (), """
     SELECT o.o_custkey AS analytic_id, last_day(o.o_orderdate) AS ddate,

@@ -627,3 +627,86 @@ FROM c""")
 def q_gains_lift(spark, sf_dir):
     """MO5: gains/lift table by score decile."""
     return gains_lift(_doc_scores(TestTables(spark, sf_dir)), "score", "quality", "doc_id")
+
+
+# ------------------------------------------------- sampling, model, flows
+# (no oracle: xxhash64 and tree fitting have no DuckDB equivalent; the
+# tests check them against brute force and invariants)
+
+from lodestar.operators import model as _model, sample  # noqa: E402
+
+QUERY_GBT = {"maxIter": 20, "maxDepth": 5}   # query-size trees; flows default to the reference's
+TRAIN_AS_OF, SCORE_AS_OF = date(1996, 3, 15), date(1996, 6, 15)
+
+
+def _doc_features(t: TestTables):
+    d = t.raw("documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return (t.raw("labels").select("doc_id", "quality").join(d, "doc_id")
+            .select("doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"),
+                    F.size(F.split("text", r"\s+")).cast("double").alias("n_words"),
+                    F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+                    "lang", "source"))
+
+
+@register("downsample")
+def q_downsample(spark, sf_dir):
+    """SA1 FI12 Q12: label 0 kept at 50% by key hash, label 1 kept whole."""
+    return sample.downsample(_doc_features(TestTables(spark, sf_dir)), "quality", {0: 0.5},
+                             ["doc_id"], seed=567)
+
+
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    """SA2: 75/25 train/test tag by key hash (seed 567)."""
+    return sample.hash_split(_doc_features(TestTables(spark, sf_dir)), ["doc_id"], 0.75, 567)
+
+
+@register("train_score")
+def q_train_score(spark, sf_dir):
+    """FE12 MO1 MO3 MO7 PR5 PR10 SC16: fit boosted trees on the train share,
+    score every document (p1 rounded to 4 digits)."""
+    feats = sample.hash_split(_doc_features(TestTables(spark, sf_dir)), ["doc_id"], 0.75, 567)
+    fitted = _model.fit(feats.filter("split = 'train'"), "quality",
+                        ["n_chars", "n_words", "n_lines"], ["lang", "source"], QUERY_GBT)
+    return _model.score(fitted, feats, ["doc_id", "split", "quality"])
+
+
+def _sources(t: TestTables, work: str, through):
+    from lodestar.plans.scoring import update_mart
+    from lodestar.plans.training import Sources
+    update_mart(t.household_members(), f"{work}/hh_mart", through)
+    house = t.spark.read.parquet(f"{work}/hh_mart")
+    return Sources(contacts=t.contacts(), profile=t.profile(), pack=t.pack(), house=house,
+                   apps=t.app_usage(), usage=t.hourly_usage(), owners=t.owners(),
+                   fraud=t.fraud(), call_times=t.call_times())
+
+
+def _work(spark, name):
+    import uuid
+
+    from lodestar.session import shared_dir
+    return shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("training_pipeline")
+def q_training_pipeline(spark, sf_dir):
+    """Training flow end to end; returns the hold-out gains table."""
+    from lodestar.functions.months import month_end
+    from lodestar.plans.training import run_training
+    t = TestTables(spark, sf_dir)
+    work = _work(spark, "training")
+    src = _sources(t, work, month_end(TRAIN_AS_OF, 1))
+    return run_training(spark, src, TRAIN_AS_OF, APP_LIST, work, gbt_params=QUERY_GBT)["gains"]
+
+
+@register("scoring_pipeline")
+def q_scoring_pipeline(spark, sf_dir):
+    """Scoring flow end to end (after a training run); returns the campaign file."""
+    from lodestar.functions.months import month_end
+    from lodestar.plans.scoring import run_scoring
+    from lodestar.plans.training import run_training
+    t = TestTables(spark, sf_dir)
+    work = _work(spark, "scoring")
+    src = _sources(t, work, month_end(SCORE_AS_OF, 1))
+    trained = run_training(spark, src, TRAIN_AS_OF, APP_LIST, work, gbt_params=QUERY_GBT)
+    return run_scoring(src, SCORE_AS_OF, APP_LIST, work, trained["model"], trained["means"])

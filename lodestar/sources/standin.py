@@ -11,7 +11,7 @@ oracle comparison bit-stable.
 Role -> source:
 
 * contacts        orders: status F/P (+ urgent priority) -> contact status
-* profile         orders summed per customer x month end, joined to customer
+* profile         every month of a customer's order span, order sums, customer
 * pack            lineitem x orders summed per customer x month end
 * household       profile months; household = nation, shape = market segment
 * hourly usage    events (user_id = customer, hour of ts, value)
@@ -88,11 +88,34 @@ def contacts(orders: DataFrame) -> DataFrame:
                          status.alias("contact_status"))
 
 
+def active_months(orders: DataFrame) -> DataFrame:
+    """Every month end from a customer's first to last order month.
+
+    A generator over each customer's span (no join against a calendar), so
+    the rows grow with customers x active months.
+    """
+    span = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("lo"),
+                                           F.max("o_orderdate").alias("hi"))
+    months = F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"),
+                        F.expr("INTERVAL 1 MONTH"))
+    return span.select(F.col("o_custkey").alias("analytic_id"),
+                       F.explode(months).alias("m")).select(
+        "analytic_id", F.last_day("m").alias("ddate"))
+
+
 def profile(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Monthly subscriber profile snapshot keyed (analytic_id, ddate)."""
+    """Monthly subscriber profile snapshot keyed (analytic_id, ddate): every
+    month of a customer's active span, with that month's order sums (0 when
+    the customer did not order)."""
     sm = subscriber_months(orders)
+    grid = active_months(orders).join(sm, ["analytic_id", "ddate"], "left")
+    grid = grid.select("analytic_id", "ddate",
+                       *[F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c)
+                         for c, t in [("n_orders", "bigint"), ("rev", "double"), ("rev_f", "double"),
+                                      ("rev_o", "double"), ("rev_p", "double"),
+                                      ("n_urgent", "bigint")]])
     c = customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    j = sm.join(c, sm.analytic_id == c.c_custkey)
+    j = grid.join(c, grid.analytic_id == c.c_custkey)
     return j.select(
         F.col("analytic_id"),
         F.col("c_custkey").alias("crm_sub_id"),
