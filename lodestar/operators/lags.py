@@ -1,16 +1,19 @@
 """Month-lag features: values of earlier months attached to the current row.
 
-All history tables are stacked (``unionByName``), every history row is
-emitted once per lag with its month moved forward to the month it serves
-(``last_day(add_months(month, k))``), and one aggregation on
-(key, month) spreads the lags into ``{col}_p{k}`` columns.  The result is
-hash-partitioned on (key, month), so the final left join with the base
-shuffles only the base.  That is two shuffles in total, where one join per
-table and lag shuffles the base once per lag and each history once per lag.
+The history tables are stacked (``unionByName``) and merged to one row per
+(key, month) by a plain ``max`` per column (each table fills its own
+columns; the merge is a map-side-combined aggregation).  For each lag ``k``
+the merged history is shifted forward (``last_day(add_months(month, k))``)
+and left-joined to the base on (key, month).  Every join uses the same
+(key, month) columns of the base, so the base -- the wide feature table --
+is shuffled once, not once per lag; the narrow history is shuffled once per
+lag.  The aggregate stays small enough for whole-stage code generation
+(a single aggregate spreading every lag into its own column does not).
 
 The join key includes the month, so a subscriber with a long history is
 spread over many keys; no window partitioned by subscriber is needed.
-Each history table must be unique on (key, month).
+Each history table must be unique on (key, month); duplicates are merged
+by ``max`` instead of multiplying rows.
 """
 
 from __future__ import annotations
@@ -20,13 +23,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.months import shift_month_end
+from lodestar.functions.months import month_end, shift_month_end
 
 
 def lag_name(col: str, k: int) -> str:
     return f"{col}_p{k}"
 
 
+def merged_history(histories: Sequence[tuple[DataFrame, Sequence[str]]],
+                   keys: Sequence[str], history_month: str = "ddate",
+                   month_range=None) -> tuple[DataFrame, list[str]]:
+    """One row per (keys, ``_m``) holding the columns of every history table."""
+    stacked, all_cols = None, []
+    for table, cols in histories:
+        cols = list(cols)
+        all_cols += cols
+        h = table.select(*keys, F.col(history_month).alias("_m"), *cols)
+        stacked = h if stacked is None else stacked.unionByName(h, allowMissingColumns=True)
+    if month_range is not None:
+        stacked = stacked.filter(F.col("_m").between(F.lit(month_range[0]), F.lit(month_range[1])))
+    if len(histories) > 1:
+        stacked = stacked.groupBy(*keys, "_m").agg(*[F.max(c).alias(c) for c in all_cols])
+    return stacked, all_cols
+
+
 def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[str]]],
                keys: Sequence[str] = ("analytic_id",), base_month: str = "ddate",
                history_month: str = "ddate", lags: Sequence[int] = (1, 2),
@@ -38,26 +58,17 @@ def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[st
     [first - max(lags), last - min(lags)] with literals that reach the scan.
     """
     keys = list(keys)
-    stacked = None
-    all_cols: list[str] = []
-    for table, cols in histories:
-        cols = list(cols)
-        all_cols += cols
-        h = table.select(*keys, F.col(history_month).alias("_m"), *cols)
-        stacked = h if stacked is None else stacked.unionByName(h, allowMissingColumns=True)
+    rng = None
     if month_bounds is not None:
         lo, hi = month_bounds
-        from lodestar.functions.months import month_end
-        stacked = stacked.filter(F.col("_m").between(
-            F.lit(month_end(lo, max(lags))), F.lit(month_end(hi, min(lags)))))
-    lag_arr = F.array(*[F.lit(k) for k in lags])
-    shifted = (stacked.withColumn("_k", F.explode(lag_arr))
-               .withColumn("_m", F.last_day(F.add_months(F.col("_m"), F.col("_k")))))
-    spread = shifted.groupBy(*keys, "_m").agg(
-        *[F.max(F.when(F.col("_k") == k, F.col(c))).alias(lag_name(c, k))
-          for k in lags for c in all_cols])
-    spread = spread.withColumnRenamed("_m", base_month)
-    return base.join(spread, keys + [base_month], "left")
+        rng = (month_end(lo, max(lags)), month_end(hi, min(lags)))
+    merged, all_cols = merged_history(histories, keys, history_month, rng)
+    out = base
+    for k in lags:
+        shifted = merged.select(*keys, F.last_day(F.add_months("_m", k)).alias(base_month),
+                                *[F.col(c).alias(lag_name(c, k)) for c in all_cols])
+        out = out.join(shifted, keys + [base_month], "left")
+    return out
 
 
 def month_lags_literal(base: DataFrame, histories, keys=("analytic_id",),
