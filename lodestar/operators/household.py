@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.operators.skew import salted_join_back
+
 HOUSEHOLD_KEYS = ("home_analytic_id", "geo_home_shape_id")
 MEMBER_KEYS = ("analytic_id", "register_date")
 
@@ -66,19 +68,28 @@ def household_stats(members: DataFrame, keys: Sequence[str] = HOUSEHOLD_KEYS,
 def household_features(members: DataFrame, keys: Sequence[str] = HOUSEHOLD_KEYS,
                        member_cols: Sequence[str] = MEMBER_KEYS,
                        partition_cols: Sequence[str] = (),
-                       stats=HOUSEHOLD_STATS, dedupe: bool = True) -> DataFrame:
+                       stats=HOUSEHOLD_STATS, dedupe: bool = True,
+                       rows_per_task: int | None = 2_000_000) -> DataFrame:
     """Members with their household statistics attached.
 
     ``partition_cols`` (e.g. the month) are added to the group and join
     keys, so one call builds the mart for every month at once.  Exact
-    duplicate member rows are dropped first (``dedupe``).
+    duplicate member rows are dropped first (``dedupe``).  Households with
+    more than ``rows_per_task`` members are joined back in salted slices
+    (``skew.salted_join_back``); ``None`` leaves skew to AQE alone.
     """
     group_keys = list(partition_cols) + list(keys)
     src = members.distinct() if dedupe else members
+    names = [name for name, _, _ in stats]
+    count_col = next((n for n, fn, _ in stats if fn == "count"), None)
     stats_df = household_stats(src, group_keys, stats)
     left = src.select(*member_cols, *keys, *partition_cols)
-    return left.join(stats_df, on=group_keys, how="left").select(
-        *member_cols, *keys, *[name for name, _, _ in stats], *partition_cols)
+    if rows_per_task and count_col:
+        joined = salted_join_back(left, stats_df, group_keys, count_col, rows_per_task,
+                                  salt_cols=list(member_cols))
+    else:
+        joined = left.join(stats_df, on=group_keys, how="left")
+    return joined.select(*member_cols, *keys, *names, *partition_cols)
 
 
 def household_month(members: DataFrame, month, month_col: str = "ddate",

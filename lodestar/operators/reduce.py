@@ -24,7 +24,13 @@ def _keys(on) -> list[tuple[str, str]]:
 
 
 def _aligned(right: DataFrame, pairs) -> DataFrame:
-    return right.select(*[F.col(r).alias(l) for l, r in pairs])
+    """Right-side keys renamed to the left names and de-duplicated.
+
+    The ``distinct`` is combined map-side and its output is already
+    hash-partitioned on the keys, so the join adds no second exchange on
+    this side and never shuffles repeated keys.
+    """
+    return right.select(*[F.col(r).alias(l) for l, r in pairs]).distinct()
 
 
 def semi_reduce(df: DataFrame, keys: DataFrame, on) -> DataFrame:

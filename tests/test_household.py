@@ -55,3 +55,28 @@ def test_household_month_filter_pushdown(spark):
     t = TestTables(spark, "/root/testdata/sf0.001")
     one = household.household_month(t.household_members(), date(1996, 1, 31))
     assert one.select(F.countDistinct("ddate")).first()[0] in (0, 1)
+
+
+def test_salted_join_back_hot_household(spark):
+    from lodestar.operators import skew
+    rows = [(f"m{i}", "hot" if i % 3 else f"c{i}", float(i)) for i in range(3000)]
+    m = spark.createDataFrame(rows, "analytic_id string, home string, arpu double")
+    g = m.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.sum("arpu").alias("s"))
+    salted = skew.salted_join_back(m, g, ["home"], "n", rows_per_task=100)
+    plain = m.join(g, ["home"], "left")
+    cols = sorted(plain.columns)
+    assert salted.count() == plain.count() == 3000
+    assert salted.select(cols).exceptAll(plain.select(cols)).count() == 0
+    # the hot key is spread over ceil(2000 / 100) = 20 salts
+    tagged = m.join(F.broadcast(g.filter("n > 100").select("home", F.ceil(F.col("n") / 100).alias("b"))),
+                    "home").select(F.pmod(F.xxhash64(*[F.col(c) for c in m.columns]), F.col("b")).alias("s"))
+    assert tagged.select("s").distinct().count() == 20
+
+
+def test_household_salted_equals_plain(spark):
+    from lodestar.sources.standin import TestTables
+    m = TestTables(spark, "/root/testdata/sf0.001").household_members()
+    a = household.household_features(m, partition_cols=["ddate"], rows_per_task=2)
+    b = household.household_features(m, partition_cols=["ddate"], rows_per_task=None)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0
