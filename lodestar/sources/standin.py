@@ -271,6 +271,8 @@ def customer_scores(customer: DataFrame) -> DataFrame:
 class TestTables:
     """Lazy access to the driver tables and their reference-role shapes."""
 
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 

@@ -77,9 +77,8 @@ def append_months(new_rows: DataFrame, target: str, month_col: str = "ddate",
     if not months:
         return 0
     if replace and has_target:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        rows.write.mode("overwrite").partitionBy(month_col).parquet(target)
-        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(month_col).parquet(target))
     else:
         rows.write.mode("append").partitionBy(month_col).parquet(target)
     return len(months)
