@@ -1,19 +1,21 @@
 """Month-lag features: values of earlier months attached to the current row.
 
-The history tables are stacked (``unionByName``) and merged to one row per
-(key, month) by a plain ``max`` per column (each table fills its own
-columns; the merge is a map-side-combined aggregation).  For each lag ``k``
-the merged history is shifted forward (``last_day(add_months(month, k))``)
-and left-joined to the base on (key, month).  Every join uses the same
-(key, month) columns of the base, so the base -- the wide feature table --
-is shuffled once, not once per lag; the narrow history is shuffled once per
-lag.  The aggregate stays small enough for whole-stage code generation
-(a single aggregate spreading every lag into its own column does not).
+Each history table is shifted forward by the lag (its month becomes
+``last_day(add_months(month, k))``, the month it serves) and left-joined
+to the base on the base's own (key, month).  Because every join uses the
+same base columns, the base -- in the flows the wide feature table -- is
+shuffled and sorted once, and each sort-merge join streams the previous
+join's ordered output; only the narrow history columns are shuffled, once
+per table and lag.  Shifting the base instead (the literal form) shuffles
+the wide side once per lag.
+
+Measured at sf0.1 (local[8]): 15.7 s vs 19.0 s for the literal form on a
+6-column base, 22.2 s vs 32.6 s on the 60-column feature base; a variant
+merging the histories first with one aggregate was slower than both.
 
 The join key includes the month, so a subscriber with a long history is
 spread over many keys; no window partitioned by subscriber is needed.
-Each history table must be unique on (key, month); duplicates are merged
-by ``max`` instead of multiplying rows.
+Each history table must be unique on (key, month), as in the reference.
 """
 
 from __future__ import annotations
@@ -30,21 +32,20 @@ def lag_name(col: str, k: int) -> str:
     return f"{col}_p{k}"
 
 
-def merged_history(histories: Sequence[tuple[DataFrame, Sequence[str]]],
-                   keys: Sequence[str], history_month: str = "ddate",
-                   month_range=None) -> tuple[DataFrame, list[str]]:
-    """One row per (keys, ``_m``) holding the columns of every history table."""
-    stacked, all_cols = None, []
-    for table, cols in histories:
-        cols = list(cols)
-        all_cols += cols
-        h = table.select(*keys, F.col(history_month).alias("_m"), *cols)
-        stacked = h if stacked is None else stacked.unionByName(h, allowMissingColumns=True)
-    if month_range is not None:
-        stacked = stacked.filter(F.col("_m").between(F.lit(month_range[0]), F.lit(month_range[1])))
-    if len(histories) > 1:
-        stacked = stacked.groupBy(*keys, "_m").agg(*[F.max(c).alias(c) for c in all_cols])
-    return stacked, all_cols
+def shifted_history(table: DataFrame, cols: Sequence[str], k: int, keys: Sequence[str],
+                    history_month: str = "ddate", base_month: str = "ddate",
+                    month_bounds=None) -> DataFrame:
+    """History rows moved to the month they serve as lag ``k``.
+
+    ``month_bounds`` = (first, last) base month; the history is filtered on
+    its own month column with literals (pushed to the scan) before shifting.
+    """
+    t = table
+    if month_bounds is not None:
+        lo, hi = month_bounds
+        t = t.filter(F.col(history_month).between(F.lit(month_end(lo, k)), F.lit(month_end(hi, k))))
+    return t.select(*keys, F.last_day(F.add_months(history_month, k)).alias(base_month),
+                    *[F.col(c).alias(lag_name(c, k)) for c in cols])
 
 
 def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[str]]],
@@ -53,21 +54,16 @@ def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[st
                month_bounds=None) -> DataFrame:
     """Attach ``{col}_p{k}`` for every history column and lag ``k``.
 
-    ``histories`` = [(table, columns)].  ``month_bounds`` = (first, last)
-    month end of the base; the history is then filtered to
-    [first - max(lags), last - min(lags)] with literals that reach the scan.
+    ``histories`` = [(table, columns)]; output columns are ordered by lag,
+    then table, then column.
     """
     keys = list(keys)
-    rng = None
-    if month_bounds is not None:
-        lo, hi = month_bounds
-        rng = (month_end(lo, max(lags)), month_end(hi, min(lags)))
-    merged, all_cols = merged_history(histories, keys, history_month, rng)
     out = base
     for k in lags:
-        shifted = merged.select(*keys, F.last_day(F.add_months("_m", k)).alias(base_month),
-                                *[F.col(c).alias(lag_name(c, k)) for c in all_cols])
-        out = out.join(shifted, keys + [base_month], "left")
+        for table, cols in histories:
+            right = shifted_history(table, list(cols), k, keys, history_month, base_month,
+                                    month_bounds)
+            out = out.join(right, keys + [base_month], "left")
     return out
 
 
