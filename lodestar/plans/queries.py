@@ -533,7 +533,10 @@ def q_fill_and_recode(spark, sf_dir):
     """FE2-FE6 FI10 PR6 JO6 Q5 Q15: one-pass cleansing; row count kept."""
     t = TestTables(spark, sf_dir)
     base = t.profile().join(t.pack(), ["analytic_id", "ddate"], "left")
-    clean, _ = impute.cleanse(base, ["analytic_id", "crm_sub_id", "national_id", "ddate"], _FILL_ZERO)
+    # means from the profile alone: the pack join is unique-key, rows are equal
+    means = impute.fit_means(impute.prepare_numbers(t.profile().select("analytic_id", *impute.MEAN_COLS)))
+    clean, _ = impute.cleanse(base, ["analytic_id", "crm_sub_id", "national_id", "ddate"], _FILL_ZERO,
+                              means=means)
     return clean
 
 

@@ -74,6 +74,13 @@ def build_features(src: Sources, as_of, app_values, work_dir: str, lag_shift: in
     dt = lags.month_lags(dt, history(src), base_month="prof_month",
                          month_bounds=(month_end(begin), end))
     dt = add_missing(dt, zero_fill_cols(app_values))
+    if means is None:
+        # Fit on the three profile columns only: every other join is a
+        # unique-key left join, so the rows are the same, and the fit pass
+        # does not re-run the whole feature plan.
+        narrow = prepare.label_features(
+            labels, prof.select("analytic_id", "crm_sub_id", "ddate", *impute.MEAN_COLS))
+        means = impute.fit_means(impute.prepare_numbers(narrow))
     clean, means = impute.cleanse(dt, model.ID_COLS, zero_fill_cols(app_values), means=means)
     final = derive.derive_features(clean)
     final = tables.checkpoint_table(final, f"{work_dir}/training_features")
