@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.functions.months import yyyymm
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,9 +112,7 @@ def export_list(campaign: DataFrame, out_dir: str, as_of, sep: str = "|") -> str
     it parallel and only the final write is one task.
     """
     as_of = as_of if isinstance(as_of, (date, datetime)) else date.fromisoformat(str(as_of))
-    spark = campaign.sparkSession
-    tag = spark.range(1).select(yyyymm(F.lit(as_of)).alias("m")).first()["m"]
-    path = f"{out_dir.rstrip('/')}/post_{tag}"
+    path = f"{out_dir.rstrip('/')}/post_{as_of.strftime('%Y%m')}"
     (campaign.repartition(1).write.mode("overwrite").option("header", True)
      .option("sep", sep).option("dateFormat", "yyyy-MM-dd").csv(path))
     return path

@@ -96,3 +96,14 @@ def test_model_fit_score_persist(spark, tmp_dir):
     assert all(0.0 <= r.p1 <= 1.0 and round(r.p1, 4) == r.p1 for r in s)
     imp = model.importance(spark, fitted, numeric, cats).collect()
     assert imp[0].feature == "x"
+
+
+def test_assert_unique(spark):
+    import pytest
+
+    from lodestar.operators.profile import assert_unique, duplicate_keys
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, m int")
+    assert assert_unique(df, ["k", "m"]) is df
+    with pytest.raises(ValueError):
+        assert_unique(df, ["k"])
+    assert [r.k for r in duplicate_keys(df, ["k"]).collect()] == ["a"]
