@@ -68,3 +68,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for written tables."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
+def cluster_settings(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 200 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized to the data, for a cluster session builder.
+
+    Shuffle partitions follow the widest stage's input (about
+    ``target_partition_bytes`` per partition, at least two waves of tasks),
+    so a partition fits in executor memory without spilling at 100 TB and
+    AQE can still coalesce small ones.  Skew joins and partition coalescing
+    stay on; the broadcast threshold is left at a size whose build side is
+    safe on every executor.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

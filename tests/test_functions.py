@@ -63,3 +63,11 @@ def test_values(spark):
                                               "Prospect Gold", "Prospect Emerald", "Gold"]], "s string")
     assert [r.c for r in m.select(values.loyalty_class("s").alias("c")).collect()] == [
         "Platinum", "Platinum", "Gold", "Emerald", "Classic", "Gold"]
+
+
+def test_cluster_settings_scale():
+    from lodestar.session import cluster_settings
+    big = cluster_settings(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 524288   # 100 TiB / 200 MiB
+    small = cluster_settings(10 * 1024 ** 2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
