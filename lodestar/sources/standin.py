@@ -88,18 +88,18 @@ def contacts(orders: DataFrame) -> DataFrame:
                          status.alias("contact_status"))
 
 
-def active_months(orders: DataFrame) -> DataFrame:
+def active_months(sub_months: DataFrame) -> DataFrame:
     """Every month end from a customer's first to last order month.
 
     A generator over each customer's span (no join against a calendar), so
-    the rows grow with customers x active months.
+    the rows grow with customers x active months.  The span comes from the
+    monthly sums, so ``orders`` is aggregated once.
     """
-    span = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("lo"),
-                                           F.max("o_orderdate").alias("hi"))
+    span = sub_months.groupBy("analytic_id").agg(F.min("ddate").alias("lo"),
+                                                 F.max("ddate").alias("hi"))
     months = F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"),
                         F.expr("INTERVAL 1 MONTH"))
-    return span.select(F.col("o_custkey").alias("analytic_id"),
-                       F.explode(months).alias("m")).select(
+    return span.select("analytic_id", F.explode(months).alias("m")).select(
         "analytic_id", F.last_day("m").alias("ddate"))
 
 
@@ -108,7 +108,7 @@ def profile(orders: DataFrame, customer: DataFrame) -> DataFrame:
     month of a customer's active span, with that month's order sums (0 when
     the customer did not order)."""
     sm = subscriber_months(orders)
-    grid = active_months(orders).join(sm, ["analytic_id", "ddate"], "left")
+    grid = active_months(sm).join(sm, ["analytic_id", "ddate"], "left")
     grid = grid.select("analytic_id", "ddate",
                        *[F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c)
                          for c, t in [("n_orders", "bigint"), ("rev", "double"), ("rev_f", "double"),
