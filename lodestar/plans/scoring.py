@@ -18,8 +18,15 @@ SCORE_KEEP = ["crm_sub_id", "analytic_id", "register_date"]
 
 
 def update_mart(members: DataFrame, target: str, through, month_col: str = "ddate") -> int:
-    """Append every missing month <= ``through`` to the household mart."""
+    """Append every missing month <= ``through`` to the household mart.
+
+    Members are reduced to the missing months before any statistic is
+    computed, so a monthly run costs one month, not the whole history.
+    """
     upto = members.filter(F.col(month_col) <= F.lit(through))
+    stored = tables.stored_months(members.sparkSession, target, month_col)
+    if stored is not None:
+        upto = upto.join(F.broadcast(stored), month_col, "left_anti")
     mart = household.household_features(upto, partition_cols=[month_col])
     return tables.append_months(mart, target, month_col)
 

@@ -53,34 +53,43 @@ def checkpoint_table(df: DataFrame, path: str, partition_by: Iterable[str] = ())
     return df.sparkSession.read.parquet(path)
 
 
+def stored_months(spark: SparkSession, target: str, month_col: str = "ddate") -> DataFrame | None:
+    """Distinct months already in a month-partitioned table (None if absent).
+
+    Only the partition column is selected, so no data pages are read.
+    """
+    try:
+        return spark.read.parquet(target).select(month_col).distinct()
+    except Exception:  # noqa: BLE001 - a missing target is an empty mart
+        return None
+
+
 def append_months(new_rows: DataFrame, target: str, month_col: str = "ddate",
                   replace: bool = False) -> int:
-    """Idempotent month-partitioned append; returns the number of months written.
+    """Idempotent month-partitioned append; returns the number of new months.
 
     Months already in the target are skipped (``replace=False``) or rewritten
     in place with dynamic partition overwrite (``replace=True``).  Unlike a
     "newer than the latest month" guard this allows backfills and works on
     an empty or missing target.  The month list is tiny (one row per stored
     month), so broadcasting it is bounded by the calendar, not the data.
+    ``new_rows`` is computed once, by the write itself; the new-month count
+    comes from the partition lists before and after.
     """
     spark = new_rows.sparkSession
-    try:
-        stored = spark.read.parquet(target).select(month_col).distinct()
-        has_target = True
-    except Exception:  # noqa: BLE001 - a missing target is an empty mart
-        stored, has_target = None, False
+    before = stored_months(spark, target, month_col)
+    before_set = {r[0] for r in before.collect()} if before is not None else set()
     rows = new_rows
-    if has_target and not replace:
-        rows = rows.join(F.broadcast(stored), month_col, "left_anti")
-    months = [r[0] for r in rows.select(month_col).distinct().collect()]
-    if not months:
-        return 0
-    if replace and has_target:
+    if before is not None and not replace:
+        rows = rows.join(F.broadcast(before), month_col, "left_anti")
+    if replace and before is not None:
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(month_col).parquet(target))
     else:
         rows.write.mode("append").partitionBy(month_col).parquet(target)
-    return len(months)
+    after = stored_months(spark, target, month_col)
+    after_set = {r[0] for r in after.collect()} if after is not None else set()
+    return len(after_set - before_set)
 
 
 # -- delimited files ---------------------------------------------------------

@@ -24,11 +24,25 @@ def test_append_months_edges(spark, tmp_dir):
     assert sorted(str(r.ddate) for r in stored.select("ddate").distinct().collect()) == [
         "2019-12-31", "2020-01-31", "2020-02-29"]
     changed = _mart_rows(spark, [jan]).withColumn("v", F.col("v") + 100)
-    assert tables.append_months(changed, target, replace=True) == 1
+    assert tables.append_months(changed, target, replace=True) == 0    # no new month, one rewritten
     again = spark.read.parquet(target)
     assert again.count() == 9 and again.filter(F.col("v") >= 100).count() == 3
 
 
+def test_update_mart_only_missing_months(spark, tmp_dir):
+    from lodestar.plans.scoring import update_mart
+    from lodestar.sources.standin import TestTables
+    m = TestTables(spark, "/root/testdata/sf0.001").household_members()
+    target = f"{tmp_dir}/hh"
+    first = update_mart(m, target, date(1995, 6, 30))
+    second = update_mart(m, target, date(1995, 8, 31))
+    assert first >= 1 and second == 2
+    assert update_mart(m, target, date(1995, 8, 31)) == 0
+    stored = spark.read.parquet(target)
+    exp = m.filter(F.col("ddate") <= F.lit(date(1995, 8, 31))).distinct().count()
+    assert stored.count() == exp
+
+
 def test_checkpoint_and_value_list(spark, tmp_dir):
     df = spark.range(10).withColumn("app", F.concat(F.lit("a"), (F.col("id") % 3).cast("string")))
     back = tables.checkpoint_table(df, f"{tmp_dir}/ck")
