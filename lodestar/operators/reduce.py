@@ -77,16 +77,27 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def allow_list(df: DataFrame, col: str, allowed, value_col: str | None = None,
-               max_values: int = 100_000) -> DataFrame:
+               max_values: int = 100_000, max_literals: int = 1_000) -> DataFrame:
     """Keep rows whose ``col`` is in ``allowed`` (a list or a one-column DataFrame).
 
-    A literal list becomes an ``IN`` filter pushed to the scan; a DataFrame
-    list is size-checked and broadcast into a semi join.
+    A DataFrame list is computed once with a size check: up to
+    ``max_literals`` values it becomes a literal ``IN`` filter (pushed to the
+    scan); a longer list, still at most ``max_values``, is broadcast into a
+    semi join.  More than ``max_values`` values is an error, never a silent
+    truncation.
     """
     if isinstance(allowed, DataFrame):
         vc = value_col or allowed.columns[0]
-        vals = bounded(allowed.select(F.col(vc).alias(col)).distinct(), max_values)
-        return df.join(F.broadcast(vals), col, "left_semi")
+        vals = (allowed.select(F.col(vc).alias(col)).distinct()
+                .filter(F.col(col).isNotNull()).limit(max_values + 1).collect())
+        if len(vals) > max_values:
+            raise ValueError(f"expected at most {max_values} allowed values, found more")
+        values = [r[0] for r in vals]
+        if len(values) > max_literals:
+            small = df.sparkSession.createDataFrame([(v,) for v in values],
+                                                    allowed.select(F.col(vc).alias(col)).schema)
+            return df.join(F.broadcast(small), col, "left_semi")
+        allowed = values
     return df.filter(F.col(col).isin(list(allowed)))
 
 

@@ -39,6 +39,7 @@ def test_allow_list_bound(spark):
     df = spark.createDataFrame([("x",), ("y",), ("z",)], "app string")
     allowed = spark.createDataFrame([("x",), ("z",)], "v string")
     assert reduce.allow_list(df, "app", allowed, "v", max_values=2).count() == 2
+    assert reduce.allow_list(df, "app", allowed, "v", max_literals=1).count() == 2   # broadcast path
     with pytest.raises(ValueError):
         reduce.allow_list(df, "app", allowed, "v", max_values=1)
     assert reduce.freeze_values(df, "app") == ["x", "y", "z"]
