@@ -675,6 +675,7 @@ def q_train_score(spark, sf_dir):
 
 
 def _sources(t: TestTables, work: str, through):
+    """The flows' input tables (the household mart is built and stored first)."""
     from lodestar.plans.scoring import update_mart
     from lodestar.plans.training import Sources
     update_mart(t.household_members(), f"{work}/hh_mart", through)

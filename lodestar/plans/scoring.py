@@ -36,6 +36,7 @@ def build_features(src: Sources, as_of, app_values, work_dir: str, lag_shift: in
     end = month_end(as_of, 1 + lag_shift)
     begin = month_start(as_of, 1 + lag_shift)
     prof = prepare.population(src.profile, begin, end, owners=src.owners)
+    prof = tables.checkpoint_table(prof, f"{work_dir}/population")   # reused by every source
     feats = prepare.feature_table(prof, src.pack, src.house, begin, end,
                                   apps=src.apps, app_values=app_values, usage=src.usage)
     dt = lags.month_lags(feats, history(src), base_month="ddate", month_bounds=(end, end))

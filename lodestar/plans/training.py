@@ -66,8 +66,14 @@ def build_features(src: Sources, as_of, app_values, work_dir: str, lag_shift: in
     """Labelled, cleansed, derived training table (checkpointed) and fitted means."""
     lb, le = label.label_window(as_of, 1 + lag_shift)
     labels = label.campaign_labels(src.contacts, src.profile, lb, le, mode=label_mode)
+    # The labels and the reduced population are read by every later step
+    # (semi joins of each source, the star, the means fit); writing them once
+    # keeps those reads to a scan of a small table instead of re-running the
+    # label and profile plans, and survives executor loss.
+    labels = tables.checkpoint_table(labels, f"{work_dir}/labels")
     begin, end = prepare.feature_window(as_of, 4 + lag_shift, training=True)
     prof = prepare.population(src.profile, begin, end, labels=labels)
+    prof = tables.checkpoint_table(prof, f"{work_dir}/population")
     feats = prepare.feature_table(prof, src.pack, src.house, begin, end,
                                   apps=src.apps, app_values=app_values, usage=src.usage)
     dt = prepare.label_features(labels, feats)
