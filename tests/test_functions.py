@@ -71,3 +71,19 @@ def test_cluster_settings_scale():
     assert int(big["spark.sql.shuffle.partitions"]) == 524288   # 100 TiB / 200 MiB
     small = cluster_settings(10 * 1024 ** 2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_driver_month_helpers_match_spark(spark):
+    import random
+
+    from pyspark.sql import functions as F
+    rnd = random.Random(7)
+    days = [date(1996, 1, 1).toordinal() + rnd.randint(0, 365 * 12) for _ in range(300)]
+    ds = [date.fromordinal(d) for d in days] + [date(2000, 2, 29), date(2100, 2, 28), date(2020, 3, 31)]
+    ks = [rnd.randint(-14, 14) for _ in ds]
+    df = spark.createDataFrame(list(zip(ds, ks)), "d date, k int")
+    rows = df.select("d", "k", F.last_day(F.expr("add_months(d, k)")).alias("e"),
+                     F.trunc(F.expr("add_months(d, k)"), "month").alias("s")).collect()
+    for r in rows:
+        assert months.month_end(r.d, -r.k) == r.e
+        assert months.month_start(r.d, -r.k) == r.s

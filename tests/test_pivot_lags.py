@@ -82,3 +82,25 @@ def test_month_bounds_prune_history(spark):
     out = lags.month_lags(base, [(h, ["x"])], month_bounds=(date(2020, 4, 30), date(2020, 4, 30)))
     got = {r.analytic_id: (r.x_p1, r.x_p2) for r in out.collect()}
     assert got == {"a": (30.0, None), "b": (0.0, 0.0)}
+
+
+def test_month_lags_equal_range_window_form(spark):
+    """Third formulation: a range frame over a month index (one row per key
+    and month), value exactly k months back."""
+    from pyspark.sql.window import Window
+
+    from lodestar.sources.standin import TestTables
+    prof = TestTables(spark, "/root/testdata/sf0.001").profile()
+    cols = ["norms_net_revenue_gprs", "norms_net_revenue_vas"]
+    base = prof.select("analytic_id", "ddate", *cols)
+    joined = lags.month_lags(base, [(base, cols)])
+    idx = base.withColumn("_i", F.year("ddate") * 12 + F.month("ddate"))
+    out = idx
+    for k in (1, 2):
+        w = Window.partitionBy("analytic_id").orderBy("_i").rangeBetween(-k, -k)
+        for c in cols:
+            out = out.withColumn(f"{c}_p{k}", F.first(c).over(w))
+    windowed = out.drop("_i")
+    names = sorted(joined.columns)
+    assert joined.select(names).exceptAll(windowed.select(names)).count() == 0
+    assert windowed.select(names).exceptAll(joined.select(names)).count() == 0
