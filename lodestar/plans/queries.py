@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.calendar import day_period, weekday_label
 from lodestar.functions.months import date_range_filter, shift_month_end, shift_month_start, yyyymm
-from lodestar.operators import derive, household, impute, label, lags, pivot, rank, reduce
+from lodestar.operators import derive, household, impute, label, lags, pivot, rank, reduce, sample
+from lodestar.operators import model as _model
+from lodestar.plans import prepare
 from lodestar.operators.evaluate import gains_lift, roc_table
-from lodestar.plans.oracle_sql import DAY_PERIOD_SQL, WEEKDAY_SQL, pivot_sql, q, with_ctes
+from lodestar.plans.oracle_sql import DAY_PERIOD_SQL, WEEKDAY_SQL, pivot_sql, with_ctes
 from lodestar.plans.registry import ORACLE, QUERIES, register, round_cols  # noqa: F401
 from lodestar.sources.standin import TestTables
 
@@ -420,8 +422,6 @@ def q_avg_and_slope(spark, sf_dir):
 
 # ------------------------------------------------------------ feature star
 
-from lodestar.plans import prepare  # noqa: E402
-
 _STAR_BEGIN, _STAR_END = date(1995, 11, 1), date(1996, 10, 31)
 
 
@@ -636,8 +636,6 @@ def q_gains_lift(spark, sf_dir):
 # (no oracle: xxhash64 and tree fitting have no DuckDB equivalent; the
 # tests check them against brute force and invariants)
 
-from lodestar.operators import model as _model, sample  # noqa: E402
-
 QUERY_GBT = {"maxIter": 20, "maxDepth": 5}   # query-size trees; flows default to the reference's
 TRAIN_AS_OF, SCORE_AS_OF = date(1996, 3, 15), date(1996, 6, 15)
 
