@@ -124,10 +124,17 @@ def run_training(spark, src: Sources, as_of, app_values, work_dir: str, lag_shif
     scored = model.score(fitted, test_df, ["crm_sub_id", "analytic_id", "camp_response"])
     gains = gains_lift(scored, "p1", "camp_response", "analytic_id")
     imp = model.importance(spark, fitted, numeric, cats)
+    # artifacts: small tables (one row per score group / per feature)
+    gains.write.mode("overwrite").parquet(f"{work_dir}/gains_lift")
+    imp.write.mode("overwrite").parquet(f"{work_dir}/importance")
     params = dict(model.GBT_PARAMS, **(gbt_params or {}))
-    params["profile_month"] = str(month_end(as_of, 4 + lag_shift))
+    first = month_end(as_of, 4 + lag_shift)
+    params["profile_month"] = f"{first} - {month_end(as_of, 3 + lag_shift)}"
     log = tables.run_log_rows(params=params, metrics=metrics,
-                              artifacts={"features": ",".join(numeric + cats)})
+                              artifacts={"features": ",".join(numeric + cats),
+                                         "gains_lift": f"{work_dir}/gains_lift",
+                                         "importance": f"{work_dir}/importance",
+                                         "model": f"{work_dir}/model"})
     tables.write_run_log(spark, log, f"{work_dir}/run_log")
     return {"features": final, "model": fitted, "means": means, "metrics": metrics,
             "gains": gains, "importance": imp, "scored_test": scored}

@@ -32,6 +32,10 @@ def test_training_then_scoring(spark, tmp_dir):
     assert {"avg_gprs", "slope_net_rev", "serenade"} <= set(final.columns)
     assert 0.0 <= out["metrics"]["auc"] <= 1.0
     assert out["gains"].count() <= 10
+    log = {(r.kind, r.key) for r in spark.read.parquet(f"{tmp_dir}/run_log").collect()}
+    assert {("metric", "auc"), ("param", "maxIter"), ("param", "profile_month"),
+            ("artifact", "importance"), ("artifact", "gains_lift")} <= log
+    assert spark.read.parquet(f"{tmp_dir}/importance").count() > 0
     # scoring with the saved means and model
     camp = run_scoring(src, Q.SCORE_AS_OF, Q.APP_LIST, tmp_dir, out["model"], out["means"])
     assert camp.columns == LIST_COLUMNS
