@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.values import safe_ratio
-from lodestar.operators.pivot import qcol, zero_fill
+from lodestar.operators.pivot import qcol
 
 # Fixed values (must equal the reference's feature names): average name <-
 # base column, in the reference's order.
@@ -106,13 +106,15 @@ def slope(base: str, lags: Sequence[int] = (1, 2)):
 
 def derive_features(df: DataFrame, avg_pairs=AVG_FEATURES, slope_pairs=SLOPE_FEATURES,
                     lags: Sequence[int] = (1, 2), drop_lags: bool = True) -> DataFrame:
-    """Add averages and slopes (NULL/NaN -> 0) and drop the lag columns."""
+    """Add averages and slopes (NULL/NaN -> 0) and drop the lag columns.
+
+    One ``select``: every derived value is a double, so its zero fill is
+    applied inline instead of in a second projection.
+    """
     lag_cols = {f"{b}_p{k}" for _, b in list(avg_pairs) + list(slope_pairs) for k in lags}
     keep = [c for c in df.columns if not (drop_lags and c in lag_cols)]
     derived = ([(n, moving_average(b, lags)) for n, b in avg_pairs]
                + [(n, slope(b, lags)) for n, b in slope_pairs])
-    tmp = df.select(*[qcol(c) for c in keep], *[e.alias(n) for n, e in derived])
-    names = {n for n, _ in derived}
-    types = dict(tmp.dtypes)
-    return tmp.select(*[zero_fill(c, types[c]).alias(c) if c in names else qcol(c)
-                        for c in tmp.columns])
+    zero = F.lit(0.0)
+    return df.select(*[qcol(c) for c in keep],
+                     *[F.coalesce(F.nanvl(e.cast("double"), zero), zero).alias(n) for n, e in derived])
