@@ -39,6 +39,8 @@ def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], out_col: str =
     exprs = _sort_exprs(order)
     ranged = df.repartitionByRange(n_parts, *exprs).sortWithinPartitions(*exprs)
     if materialize:
+        from lodestar.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)          # the shared spark.checkpoint.dir
         ranged = ranged.checkpoint(eager=True)
     mid = F.monotonically_increasing_id()
     pos = (ranged.withColumn("_mid", mid)
