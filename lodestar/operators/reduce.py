@@ -33,10 +33,19 @@ def _aligned(right: DataFrame, pairs) -> DataFrame:
     return right.select(*[F.col(r).alias(l) for l, r in pairs]).distinct()
 
 
-def semi_reduce(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    """Rows of ``df`` whose key appears in ``keys`` (left semi join)."""
+def semi_reduce(df: DataFrame, keys: DataFrame, on, broadcast_max_rows: int | None = None) -> DataFrame:
+    """Rows of ``df`` whose key appears in ``keys`` (left semi join).
+
+    With ``broadcast_max_rows`` the de-duplicated key set is counted (up to
+    the bound) and, if within it, broadcast: the fact table is then filtered
+    map-side, with no shuffle and no exposure to a hot key.  Past the bound
+    it stays a shuffle join (AQE splits skewed partitions).
+    """
     pairs = _keys(on)
-    return df.join(_aligned(keys, pairs), [l for l, _ in pairs], "left_semi")
+    right = _aligned(keys, pairs)
+    if broadcast_max_rows and right.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
+        right = F.broadcast(right)
+    return df.join(right, [l for l, _ in pairs], "left_semi")
 
 
 def anti_reduce(df: DataFrame, keys: DataFrame, on) -> DataFrame:

@@ -15,6 +15,16 @@ def test_anti_join_null_keys(spark):
     assert [r.key for r in reduce.semi_reduce(left, right, ["key"]).collect()] == ["a"]
 
 
+def test_semi_join_broadcast_bound(spark):
+    facts = spark.range(1000).withColumn("k", F.col("id") % 10)
+    keys = spark.createDataFrame([(1,), (2,), (2,)], "k long")
+    small = reduce.semi_reduce(facts, keys, ["k"], broadcast_max_rows=5)
+    big = reduce.semi_reduce(facts, keys, ["k"], broadcast_max_rows=1)
+    assert small.count() == big.count() == 200
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan
+
+
 def test_semi_join_different_names(spark):
     left = spark.createDataFrame([("a", date(2020, 1, 31)), ("a", date(2020, 2, 29))], "crm_sub_id string, ddate date")
     keys = spark.createDataFrame([("a", date(2020, 2, 29))], "crm_sub_id string, prof_month date")
