@@ -66,3 +66,20 @@ def test_attach_profile_left_join(spark):
     got = {(r.crm_sub_id, r.camp_response): (str(r.prof_month), r.analytic_id) for r in out.collect()}
     assert got[("a", 1)] == ("2019-11-30", "A1")
     assert got[("b", 0)][1] is None
+
+
+def test_hot_subscriber_is_bounded_before_the_window(spark):
+    from pyspark.sql import functions as F
+    n = 30000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id").cast("string")))
+         .alias("crm_sub_id"),
+        (F.lit(datetime(2020, 1, 1)) + F.make_interval(days=(F.col("id") % 59).cast("int"))).alias("last_upd"),
+        F.when(F.col("id") % 7 == 0, "Success Closure").otherwise("Success").alias("contact_status"))
+    triples = label.campaign_responses(base, date(2020, 1, 1), date(2020, 2, 29))
+    hot = triples.filter("crm_sub_id = 'hot'").count()
+    assert hot <= 2 * 2                       # at most (2 responses) x (2 months) rows reach the window
+    out = {(r.crm_sub_id, r.camp_response, str(r.cam_month))
+           for r in label.resolve_responses(triples, "earliest").collect()}
+    assert {(k, v) for k, v, _ in out if k == "hot"} == {("hot", 1)}
+    assert ("hot", 1, "2020-01-31") in out
