@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lodestar.llm import op6_exact, op7_neardup
+from lodestar.llm import op6_exact, op7_neardup, op8_substring
 
 QUERIES = {
     "op6_exact_dedup": op6_exact.query,
     "op7_minhash_neardup": op7_neardup.query,
+    "op8_substring_dedup": op8_substring.query,
 }
 
 ORACLE = {
