@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from lodestar.llm import op6_exact, op7_neardup, op8_substring
+from lodestar.llm import (op1_toxicity, op3_token_ids, op5_decontaminate, op6_exact, op7_neardup,
+                          op8_substring, op10_language)
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity.query,
+    "op3_token_ids": op3_token_ids.query,
+    "op5_decontaminate": op5_decontaminate.query,
     "op6_exact_dedup": op6_exact.query,
     "op7_minhash_neardup": op7_neardup.query,
     "op8_substring_dedup": op8_substring.query,
+    "op10_language": op10_language.query,
 }
 
 ORACLE = {
