@@ -16,14 +16,17 @@ Work stays linear in the size of a group:
   (smallest doc_id) goes on;
 * round 1 links each bucket's members to the bucket's smallest member only,
   the links are confirmed on full sets, and components are formed;
-* round 2 takes buckets that still hold several components and pairs the
-  members outside the bucket's leading component with members of other
-  components, so no possible link between different components is left out
-  and a settled group of any size emits nothing.
-
-Every candidate must pass the signature distance and the size ratio, then an
-exact intersection of the full shingle sets.  All joins are equi-joins that
-Spark may split at run time; no bucket or candidate is capped.
+* round 2 takes buckets that still hold several components.  A bucket is
+  split into blocks of about ``BLOCK_ROWS`` members, each pair of blocks goes
+  to a task of its own, and members outside the bucket's leading component
+  are compared there with members of other components on long signatures
+  (``LONG`` symbols).  Only pairs those allow at ``LONG_SIGMAS`` standard
+  deviations come out, so a group of loosely similar texts emits next to
+  nothing, and a settled group of any size nothing at all.
+
+Every candidate must pass the signature distance (round 1) or the long
+signature (round 2), and the size ratio, then an exact intersection of the
+full shingle sets.  No bucket or candidate is capped.
 
 Defined cases: null or empty text (or no words) has an empty set, size 0,
 and is its own component; a null doc_id is never linked; repeated rows form
@@ -44,6 +47,8 @@ from lodestar.llm.textnum import doc_chunks, inside, mix, sequence_hash, text_bu
 
 MISS = 1e-5
 WIDTH = 5                  # symbols per chunk; a key holds four of them, 64 bits
+LONG, LONG_SIGMAS = 1024, 5.0
+BLOCK_ROWS = 256
 CHUNK_BYTES = 4 << 20
 _U = np.uint64
 
@@ -122,7 +127,7 @@ def signatures(docs: DataFrame, k: int, threshold: float, id_col="doc_id", text_
 
 
 def _keys(reps: DataFrame, chunks: int, width: int) -> DataFrame:
-    """(key, rep): one key for each chunk and left-out symbol."""
+    """(key, at, rep): one key for each chunk and left-out symbol, numbered."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -135,8 +140,9 @@ def _keys(reps: DataFrame, chunks: int, width: int) -> DataFrame:
                     for s in range(width):
                         if s != out:
                             key = mix(key * _U(0x9E3779B97F4A7C15) + sig[:, c, s].astype(_U))
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), rep], ["key", "rep"])
-    return reps.select("rep", "sig").mapInArrow(run, "key long, rep long")
+                    at = np.full(len(rep), c * width + out, np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(at), rep], ["key", "at", "rep"])
+    return reps.select("rep", "sig").mapInArrow(run, "key long, at int, rep long")
 
 
 def _close(pairs: DataFrame, reps: DataFrame, threshold: float, distance: int) -> DataFrame:
@@ -176,17 +182,81 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(rep, set): full sorted sets of the documents in ``ids``."""
+    """(rep, set, n, long): full sorted sets and long signatures of ``ids``."""
     def run(batches):
         for batch in batches:
             buf, offs = text_buffer(batch.column(1))
             for a, b in doc_chunks(offs, CHUNK_BYTES):
                 ptr, v = shingle_sets(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a], k)
-                sets = [v[i:j].tobytes() for i, j in zip(ptr[:-1], ptr[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.binary())], ["rep", "set"])
+                n, longs = np.diff(ptr), [b""] * (b - a)
+                full = np.flatnonzero(n > 0)
+                if len(full):
+                    for i, x in zip(full, _signature(v, np.append(ptr[full], len(v)), LONG).astype(np.uint8)):
+                        longs[i] = x.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array([v[i:j].tobytes() for i, j in zip(ptr[:-1], ptr[1:])], pa.binary()),
+                     pa.array(n, pa.int64()), pa.array(longs, pa.binary())], ["rep", "set", "n", "long"])
 
     src = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    return src.join(ids, "rep", "left_semi").mapInArrow(run, "rep long, set binary")
+    return src.join(ids, "rep", "left_semi").mapInArrow(run, "rep long, set binary, n long, long binary")
+
+
+def _block_pairs(blocks: DataFrame, threshold: float, chunks: int, width: int) -> DataFrame:
+    """Pairs (a, b) of different components within each (key, i, j) group whose
+    long signatures allow the threshold; rows come sorted by group.  A pair
+    comes out under the first key it shares, not under all of them."""
+    percent = int(round(threshold * 100))
+    p = 1 - threshold
+    most = LONG * p + LONG_SIGMAS * math.sqrt(LONG * p * (1 - p))
+    names = ["key", "i", "j", "at", "rep", "comp", "lead", "block", "n", "sig", "long"]
+
+    def first_key(x, ys):
+        """Number of the first key that ``x`` shares with each of ``ys``."""
+        off = (ys != x).reshape(len(ys), chunks, width)
+        wrong = off.sum(axis=2)
+        c = (wrong <= 1).argmax(axis=1)
+        one = np.arange(len(ys))
+        return c * width + np.where(wrong[one, c] == 1, off[one, c].argmax(axis=1), 0)
+
+    def pairs(g):
+        rep, comp, n, block = g["rep"], g["comp"], g["n"], g["block"]
+        out = []
+        for x in np.flatnonzero(comp != g["lead"]):
+            ok = (comp != comp[x]) & (np.minimum(n, n[x]) * 100 >= np.maximum(n, n[x]) * percent)
+            ok &= (block != block[x]) | (g["i"][0] == g["j"][0])
+            y = np.flatnonzero(ok)
+            y = y[(g["long"][y] != g["long"][x]).sum(axis=1) <= most]
+            y = y[(comp[y] == g["lead"][x]) | (x < y)]
+            y = y[first_key(g["sig"][x], g["sig"][y]) == g["at"][x]]
+            out.append(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])], 1))
+        return out
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            g = {c: batch.column(k).to_numpy(zero_copy_only=False) for k, c in enumerate(names[:-2])}
+            g["sig"] = np.frombuffer(b"".join(batch.column(9).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+            g["long"] = np.frombuffer(b"".join(batch.column(10).to_pylist()), np.uint8).reshape(batch.num_rows, LONG)
+            if held is not None:
+                g = {c: np.concatenate([held[c], g[c]]) for c in names}
+            new = (g["key"][1:] != g["key"][:-1]) | (g["i"][1:] != g["i"][:-1]) | (g["j"][1:] != g["j"][:-1])
+            cut = np.flatnonzero(new) + 1
+            found = [x for s, e in zip(np.append(0, cut[:-1]), cut) for x in pairs({c: g[c][s:e] for c in names})]
+            yield from _pair_batch(found)
+            last = cut[-1] if len(cut) else 0
+            held = {c: g[c][last:] for c in names}
+        if held is not None:
+            yield from _pair_batch(pairs(held))
+
+    return blocks.select(*names).mapInArrow(run, "a long, b long")
+
+
+def _pair_batch(found):
+    if found:
+        ab = np.concatenate(found)
+        yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8,
@@ -207,20 +277,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8,
     sets = stored(_sets(docs, buckets.select("rep").distinct(), k, id_col, text_col), "op7-sets")
     edges = stored(_confirmed(near, sets, threshold), "op7-edges")
     comp = components(edges)
-    # round 2: buckets that still hold several components
-    held = stored(buckets.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-                  .select("key", "rep", F.coalesce("component", "rep").alias("comp")), "op7-held")
+    # round 2: buckets that still hold several components beside their first
+    # member, whose pairs are settled
+    held = (buckets.filter("rep <> first").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+            .select("key", "at", "rep", F.coalesce("component", "rep").alias("comp")))
     parts = held.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
-    lead = (parts.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"))
-            .filter("parts > 1").select("key", F.col("top.comp").alias("lead")))
-    mixed = held.join(lead, "key")
-    left = mixed.filter("comp <> lead").select("key", F.col("rep").alias("x"), F.col("comp").alias("cx"))
-    right = mixed.select("key", F.col("rep").alias("y"), F.col("comp").alias("cy"), "lead")
-    # pairs with the leading component once, pairs among the others once
-    cross = (left.join(right, "key").filter("cx <> cy and (cy = lead or x < y)")
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    more = _confirmed(stored(_close(cross, reps, threshold, distance), "op7-near2"), sets, threshold)
+    lead = (parts.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"),
+                                     F.ceil(F.sum("size") / F.lit(float(BLOCK_ROWS))).cast("int").alias("nb"))
+            .filter("parts > 1").select("key", F.col("top.comp").alias("lead"), "nb"))
+    longs = sets.select("rep", "n", "long").join(reps.select("rep", "sig"), "rep")
+    block = F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int")
+    blocks = (held.join(lead, "key").withColumn("block", block)
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+              .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                      "at", "rep", "comp", "lead", "block").join(longs, "rep")
+              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    more = _confirmed(stored(_block_pairs(blocks, threshold, chunks, width), "op7-near2"), sets, threshold)
     comp = components(edges.unionByName(more))
     final = reps.join(comp, F.col("rep") == F.col("node"), "left").select(
         *set_key, F.coalesce("component", "rep").alias("component"))
