@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lodestar.llm import (op1_toxicity, op3_token_ids, op5_decontaminate, op6_exact, op7_neardup,
-                          op8_substring, op10_language)
+from lodestar.llm import (op1_toxicity, op3_token_ids, op4_pii, op5_decontaminate, op6_exact,
+                          op7_neardup, op8_substring, op10_language)
 
 QUERIES = {
     "op1_toxicity": op1_toxicity.query,
     "op3_token_ids": op3_token_ids.query,
+    "op4_pii": op4_pii.query,
     "op5_decontaminate": op5_decontaminate.query,
     "op6_exact_dedup": op6_exact.query,
     "op7_minhash_neardup": op7_neardup.query,
