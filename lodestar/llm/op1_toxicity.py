@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.llm.common import documents, table
 from lodestar.llm.op5_decontaminate import _WORD
@@ -164,14 +165,17 @@ def fit(docs: DataFrame, labels: DataFrame):
     return w.astype(np.float32), t, reject_from(expected(kept.dot(w), t), toxic)
 
 
-def severity(docs: DataFrame, model) -> DataFrame:
-    """(doc_id, severity, grade, toxic) of every row."""
+def severity(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
+    """(row, severity, grade, toxic): ``row`` holds the input row as a struct,
+    so no column of it can clash with the others."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    src = docs.select(F.struct("*").alias("row"))
+    number = docs.columns.index(text_col)
 
     def run(batches):
         model = shared.value
         for batch in batches:
-            buf, offs = text_buffer(batch.column(1))
+            buf, offs = text_buffer(batch.column(0).field(number))
             for a, b in doc_chunks(offs, CHUNK_BYTES):
                 value, grade, reject = np.zeros(b - a), np.zeros(b - a, np.int64), np.inf
                 if model is not None:
@@ -182,13 +186,14 @@ def severity(docs: DataFrame, model) -> DataFrame:
                     value = np.where(n > 0, expected(score, t), 0.0)
                     grade = np.where(n > 0, (score[:, None] > t[None, :]).sum(axis=1), 0)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(value), pa.array(grade), pa.array(value >= reject)],
-                    ["doc_id", "severity", "grade", "toxic"])
+                    [batch.column(0).slice(a, b - a), pa.array(value), pa.array(grade), pa.array((value >= reject) & (value > 0))],
+                    ["row", "severity", "grade", "toxic"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, severity double, grade long, toxic boolean")
+    added = T.StructType().add("severity", "double").add("grade", "long").add("toxic", "boolean")
+    return src.mapInArrow(run, T.StructType(src.schema.fields + added.fields))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return severity(docs, fit(docs, table(spark, sf_dir, "labels")))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = severity(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("row.doc_id", "severity", "grade", "toxic")

@@ -132,45 +132,42 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, min_words: int) ->
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE,
                   min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, contaminated, n_items, best_share, items) of every row."""
-    ddl = "row long, doc_id long, best_share double, items array<long>"
-    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).alias("text"))
-    results = []
-    for block in _blocks(benchmark, item_col, item_text, min_words):
+    """(row, contaminated, n_items, best_share, items): ``row`` holds the input
+    row as a struct, so no column of it can clash with the others."""
+    span = max(map(len, MASKS))
+    cur = docs.select(F.struct("*").alias("row"), F.lit(0.0).alias("best_share"), F.array().cast("array<long>").alias("items"))
+    schema = cur.schema
+    number = docs.columns.index(text_col)
+    for turn, block in enumerate(_blocks(benchmark, item_col, item_text, min_words)):
         shared = docs.sparkSession.sparkContext.broadcast(block)     # at most BLOCK_BYTES of text
 
         def run(batches, shared=shared):
             block = shared.value
             for batch in batches:
-                buf, offs = text_buffer(batch.column(2))
+                buf, offs = text_buffer(batch.column(0).field(number))
+                share = batch.column(1).to_numpy(zero_copy_only=False).copy()
+                items = [set(x) for x in batch.column(2).to_pylist()]
                 for a, b in doc_chunks(offs, CHUNK_BYTES):
                     h, ptr = _words(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-                    share, items = np.zeros(b - a), [set() for _ in range(b - a)]
                     for doc, start, item in block.hits(h, ptr).tolist():
                         got, size = block.overlap(h, ptr, doc, start, item, window)
-                        need = size if len(block.h[block.ptr[item]:block.ptr[item + 1]]) < max(map(len, MASKS)) else least_share * size
-                        if got >= need:
-                            share[doc] = max(share[doc], got / size)
-                            items[doc].add(block.ids[item])
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(share),
-                         pa.array([sorted(x, key=lambda i: (i is None, i)) for x in items], pa.list_(pa.int64()))],
-                        ["row", "doc_id", "best_share", "items"])
-
-        results.append(base.mapInArrow(run, ddl))
-    if len(results) == 1:
-        found = results[0]
-    else:                       # one stored pass a block, then merged by row
-        merged = stored(results[0], "op5-block")
-        for more in results[1:]:
-            merged = merged.unionByName(stored(more, "op5-block"))
-        found = (merged.groupBy("row", "doc_id").agg(
-            F.max("best_share").alias("best_share"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
-    return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
-                        "best_share", "items")
+                        whole = block.ptr[item + 1] - block.ptr[item] < span
+                        if got >= (size if whole else least_share * size):
+                            share[a + doc] = max(share[a + doc], got / size)
+                            items[a + doc].add(block.ids[item])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(share),
+                     pa.array([sorted(x, key=lambda i: (i is None, i)) for x in items], pa.list_(pa.int64()))],
+                    ["row", "best_share", "items"])
+
+        if turn:              # one stored pass a block
+            cur = stored(cur, "op5-block")
+        cur = cur.mapInArrow(run, schema)
+    return cur.select("row", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
+                      "best_share", "items")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", "contaminated", "n_items", "best_share", "items")
