@@ -83,7 +83,7 @@ def _sampled(docs: DataFrame, labels: DataFrame):
 
     chosen = stratified(labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")),
                         "doc_id", "toxic", PER_CLASS)
-    got = (docs.filter(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "doc_id")
+    got = (docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "doc_id")
            .orderBy("doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
            .mapInArrow(run, "slots binary, toxic int, n long").toPandas())
     cols = [np.frombuffer(s, np.int32) for s in got["slots"]]
@@ -152,6 +152,8 @@ def reject_from(value: np.ndarray, toxic: np.ndarray) -> float:
     gain = np.cumsum(y == 1) / max(1, (y == 1).sum()) - FALSE_COST * np.cumsum(y == 0) / max(1, (y == 0).sum())
     gain[:-1][v[1:] == v[:-1]] = -np.inf            # equal severities are decided alike
     best = int(np.argmax(gain))
+    if gain[best] <= 0:                             # nothing tells the labels apart
+        return float("inf")
     return float((v[best] + (v[best + 1] if best + 1 < len(v) else 0.0)) / 2)
 
 
