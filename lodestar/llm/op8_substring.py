@@ -13,7 +13,7 @@ the anchor index with every rolling block finds every repeated window.
 2. *Hits.*  A bucket reports the positions whose block is an anchor and
    occurs in at least two documents.
 3. *Extend.*  A hit is extended to the windows around it: their whole word
-   sequences are hashed (128 bits) and matched; again a task settles its own
+   sequences are hashed (96 bits) and matched; again a task settles its own
    repeats first and sends one entry a window with its smallest doc_id.
    Neighbouring matched windows merge into maximal exact repeats.
 4. *Remove.*  A word goes if some window over it also starts in a document
@@ -21,7 +21,9 @@ the anchor index with every rolling block finds every repeated window.
 
 In a bucket, 32 bits of hash are enough for step 2 because buckets hold a
 bounded number of entries at any input size and a false hit only adds
-windows that step 3 rejects.  Buckets follow the input size.
+windows that step 3 rejects.  Buckets follow the input size; a task's entries
+travel as one row per bucket, so rows hold fewer entries as buckets multiply
+(``CHUNK_BYTES`` may rise with them where executors have the memory).
 
 Defined cases: null text has no words; a null doc_id neither removes nor
 loses words; rows that repeat a doc_id are told apart by their text and never
@@ -34,6 +36,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,7 @@ CHUNK_BYTES = 6 << 20          # text hashed together in a task
 BUCKET_BYTES = 8 << 20         # text whose entries share a bucket
 _U = np.uint64
 _SALT = _U(0xA24BAED4963EE407)
+KEY = np.dtype([("a", "<u8"), ("b", "<u4")])      # 96 bits of a window
 
 
 def _tags(buf, offs) -> np.ndarray:
@@ -74,33 +78,54 @@ def _part_of_doc(ids: np.ndarray, parts: int) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(_U)) % _U(parts)).astype(np.int64)
 
 
-COLUMNS = ["part", "docs", "tags", "counts", "pos", "key", "flag"]
+_ZSTD: list = []
+
+
+def _squeeze(a: np.ndarray) -> bytes:
+    """Bytes of an array, by byte planes, through zstandard."""
+    if not _ZSTD:
+        _ZSTD.extend([zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()])
+    a = np.ascontiguousarray(a)
+    return _ZSTD[0].compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
+
+
+def _spread(raw: bytes, kind) -> np.ndarray:
+    if not _ZSTD:
+        _squeeze(np.zeros(0, np.uint8))
+    planes = np.frombuffer(_ZSTD[1].decompress(raw), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).reshape(-1).view(kind)
+
+
+COLUMNS = ["part", "docs", "tags", "counts", "pos", "key", "flags"]
 PACKED = "part int, " + ", ".join(f"{c} binary" for c in COLUMNS[1:])
 
 
-def _pack(part: int, ids, tags, doc, pos, key, flag) -> dict:
-    """Entries (sorted by document) as one row: a document table with entry
-    counts, then positions, keys and flags."""
+def _pack(part: int, ids, tags, doc, pos, key, flag, several) -> dict:
+    """Entries (sorted by document and position) as one row: a document table
+    with entry counts, then position steps, keys and two flags an entry."""
     new = np.ones(len(doc), bool)
     new[1:] = doc[1:] != doc[:-1]
     first = np.flatnonzero(new)
     d = doc[first]
-    return {"part": part, "docs": ids[d].tobytes(), "tags": tags[d].astype(np.uint32).tobytes(),
-            "counts": np.diff(np.append(first, len(doc))).astype(np.uint32).tobytes(),
-            "pos": pos.astype(np.uint32).tobytes(), "key": key.tobytes(), "flag": np.packbits(flag).tobytes()}
+    step = pos.astype(np.int64)
+    step[1:] = np.where(new[1:], step[1:], step[1:] - step[:-1])
+    return {"part": part, "docs": _squeeze(np.diff(ids[d], prepend=0)), "tags": tags[d].astype(np.uint32).tobytes(),
+            "counts": _squeeze(np.diff(np.append(first, len(doc))).astype(np.uint32)), "pos": _squeeze(step.astype(np.uint32)),
+            "key": key.tobytes(), "flags": _squeeze(np.packbits(np.concatenate([flag, several])))}
 
 
 def _unpack(rows: pd.DataFrame, key_type):
-    """(ids, tags, pos, key, flag) of all entries in ``rows``."""
-    ids, tags, pos, key, flag = [], [], [], [], []
+    """(ids, tags, pos, key, flag, several) of all entries in ``rows``."""
+    out = []
     for r in rows.itertuples(index=False):
-        n = np.frombuffer(r.counts, np.uint32)
-        ids.append(np.repeat(np.frombuffer(r.docs, np.int64), n))
-        tags.append(np.repeat(np.frombuffer(r.tags, np.uint32), n))
-        pos.append(np.frombuffer(r.pos, np.uint32))
-        key.append(np.frombuffer(r.key, key_type))
-        flag.append(np.unpackbits(np.frombuffer(r.flag, np.uint8), count=len(pos[-1])).astype(bool))
-    return tuple(np.concatenate(x) for x in (ids, tags, pos, key, flag))
+        n, step = _spread(r.counts, np.uint32).astype(np.int64), _spread(r.pos, np.uint32).astype(np.int64)
+        run = np.cumsum(step)
+        first = np.cumsum(n) - n
+        flags = np.unpackbits(_spread(r.flags, np.uint8), count=2 * len(step)).astype(bool)
+        out.append((np.repeat(np.cumsum(_spread(r.docs, np.int64)), n), np.repeat(np.frombuffer(r.tags, np.uint32), n),
+                    run - np.repeat(run[first] - step[first], n), np.frombuffer(r.key, key_type), flags[:len(step)], flags[len(step):]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
@@ -135,18 +160,17 @@ def _probe(window: int, block: int, buckets: int, parts: int):
                 leader = np.zeros(len(key), bool)
                 leader[order[starts[several & anchored]]] = True
                 send = np.flatnonzero(~settled | leader)
-                flag = anchor | leader            # "is an anchor somewhere"
+                flag = anchor | leader            # is an anchor somewhere; a leader also stands for several documents
                 out = []
                 target = ((key[send] >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
                 low = key.astype(np.uint32)
                 for p, e in _split(target, buckets):
                     e = send[e]
-                    # a leader stands for several documents: its twin entry says so
-                    out.append(_pack(p, ids, tags, row[e], at[e] * 2 + leader[e], low[e], flag[e]))
+                    out.append(_pack(p, ids, tags, row[e], at[e], low[e], flag[e], leader[e]))
                 hit = np.flatnonzero(settled)
                 for p, e in _split(_part_of_doc(ids[row[hit]], parts), parts):
                     e = hit[e]
-                    out.append(_pack(-1 - p, ids, tags, row[e], at[e] * 2, low[:0], flag[e]))
+                    out.append(_pack(-1 - p, ids, tags, row[e], at[e], low[:0], flag[e], leader[e]))
                 yield _batch(out)
     return run
 
@@ -162,13 +186,13 @@ def _bucket_hits(parts: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if (own := _passed(pdf)) is not None:
             return own
-        ids, tags, pos, key, flag = _unpack(pdf, np.uint32)
+        ids, tags, pos, key, flag, several = _unpack(pdf, np.uint32)
         order, group, starts = _groups(key)
-        r, multi = ids[order], (pos[order] & 1).astype(bool)
-        several = (np.maximum.reduceat(r, starts) != np.minimum.reduceat(r, starts)) | np.logical_or.reduceat(multi, starts)
+        r = ids[order]
+        several = (np.maximum.reduceat(r, starts) != np.minimum.reduceat(r, starts)) | np.logical_or.reduceat(several[order], starts)
         good = several & np.logical_or.reduceat(flag[order], starts)
         hit = np.sort(order[good[group]])
-        return pd.DataFrame(_route(ids[hit], tags[hit], pos[hit] >> 1, parts), columns=COLUMNS)
+        return pd.DataFrame(_route(ids[hit], tags[hit], pos[hit], parts), columns=COLUMNS)
     return run
 
 
@@ -180,8 +204,8 @@ def _route(ids, tags, at, parts) -> list[dict]:
     new[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
     doc, first = np.cumsum(new) - 1, np.flatnonzero(new)
     for p, e in _split(_part_of_doc(ids, parts), parts):
-        out.append(_pack(p, ids[first], tags[first], doc[e], at[e].astype(np.int64) * 2,
-                         np.zeros(0, np.uint32), np.zeros(len(e), bool)))
+        none = np.zeros(len(e), bool)
+        out.append(_pack(p, ids[first], tags[first], doc[e], at[e], np.zeros(0, np.uint32), none, none))
     return out
 
 
@@ -189,9 +213,9 @@ def _positions(pdf: pd.DataFrame) -> dict[tuple[int, int], np.ndarray]:
     """Positions by (doc_id, tag)."""
     if not len(pdf):
         return {}
-    ids, tags, pos, _, _ = _unpack(pdf, np.uint32)
+    ids, tags, pos = _unpack(pdf, np.uint32)[:3]
     order = np.lexsort((pos, tags, ids))
-    ids, tags, pos = ids[order], tags[order], pos[order] >> 1
+    ids, tags, pos = ids[order], tags[order], pos[order]
     cut = np.flatnonzero((np.diff(ids) != 0) | (np.diff(tags.astype(np.int64)) != 0)) + 1
     return {(int(ids[s]), int(tags[s])): pos[s:e] for s, e in zip(np.append(0, cut), np.append(cut, len(ids)))}
 
@@ -201,60 +225,58 @@ def _extend(window: int, block: int, buckets: int, parts: int):
     def run(hits: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
         found = _positions(hits)
         out: list[dict] = []
-        docs = docs[docs["known"]]
-        if found and len(docs):
-            buf, offs = text_buffer(pa.array(docs["text"], pa.large_string()))
-            ids_all = docs["doc_id"].to_numpy(np.int64)
-            for a, b in doc_chunks(offs, CHUNK_BYTES):
-                part_buf, part_offs, ids = buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a], ids_all[a:b]
-                tags = _tags(part_buf, part_offs)
-                _, _, h, ptr = words(part_buf, part_offs)
-                near = np.zeros(len(h) + 1, np.int32)
-                for i in range(b - a):
-                    at = found.get((int(ids[i]), int(tags[i])))
-                    if at is not None:      # the window starts that contain the hit
-                        at = at.astype(np.int64)
-                        np.add.at(near, ptr[i] + np.maximum(at - (window - block), 0), 1)
-                        np.add.at(near, ptr[i] + at + 1, -1)
-                pos, row = inside(ptr, window)
-                cand = np.cumsum(near[:-1])[pos] > 0
-                pos, row = pos[cand], row[cand]
-                if not len(pos):
-                    continue
-                k1 = windows(h, window)[pos]
-                k2 = windows(mix(h ^ _SALT), window)[pos]
-                at, r = pos - ptr[row], ids[row]
-                order = np.lexsort((r, k2, k1))
-                new = np.ones(len(order), bool)
-                new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
-                group, starts = np.cumsum(new) - 1, np.flatnonzero(new)
-                least = r[order[starts]]
-                covered = np.zeros(len(pos), bool)
-                covered[order] = r[order] > least[group]
-                hit = np.flatnonzero(covered)
-                out += [x | {"part": -1 - x["part"]} for x in
-                        _route(r[hit], tags[row[hit]].astype(np.uint32), at[hit], parts)]
-                send = np.flatnonzero(~covered)
-                target = ((k1[send] >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
-                for p, e in _split(target, buckets):
-                    e = send[e]
-                    out.append(_pack(p, ids, tags, row[e], at[e] * 2, np.stack([k1[e], k2[e]], 1).ravel(), np.zeros(len(e), bool)))
+        for ids, known, buf, offs in _texts(docs) if found else ():
+            tags = _tags(buf, offs)
+            _, _, h, ptr = words(buf, offs)
+            near = np.zeros(len(h) + 1, np.int32)
+            for i in np.flatnonzero(known):
+                at = found.get((int(ids[i]), int(tags[i])))
+                if at is not None:          # the window starts that contain the hit
+                    np.add.at(near, ptr[i] + np.maximum(at - (window - block), 0), 1)
+                    np.add.at(near, ptr[i] + at + 1, -1)
+            pos, row = inside(ptr, window)
+            cand = np.cumsum(near[:-1])[pos] > 0
+            pos, row = pos[cand], row[cand]
+            if not len(pos):
+                continue
+            k1 = windows(h, window)[pos]
+            k2 = (windows(mix(h ^ _SALT), window)[pos] >> _U(32)).astype(np.uint32)
+            at, r = pos - ptr[row], ids[row]
+            order, group, starts = _equal(k1, k2, r)
+            covered = np.zeros(len(pos), bool)
+            covered[order] = r[order] > r[order[starts]][group]
+            hit = np.flatnonzero(covered)
+            out += [x | {"part": -1 - x["part"]} for x in
+                    _route(r[hit], tags[row[hit]].astype(np.uint32), at[hit], parts)]
+            send = np.flatnonzero(~covered)
+            target = ((k1[send] >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+            key = np.empty(len(k1), KEY)
+            key["a"], key["b"] = k1, k2
+            for p, e in _split(target, buckets):
+                e, none = send[e], np.zeros(len(e), bool)
+                out.append(_pack(p, ids, tags, row[e], at[e], key[e], none, none))
         return pd.DataFrame(out, columns=COLUMNS)
     return run
 
 
+def _equal(k1, k2, ids):
+    """(order, group of each ordered entry, starts) of equal 96-bit keys, each
+    group by ascending doc_id."""
+    order = np.lexsort((ids, k2, k1))
+    new = np.ones(len(order), bool)
+    new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
+    return order, np.cumsum(new) - 1, np.flatnonzero(new)
+
+
 def _bucket_covered(parts: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if (own := _passed(pdf)) is not None:
             return own
-        ids, tags, pos, key, _ = _unpack(pdf, _U)
-        k1, k2 = key[::2], key[1::2]
-        order = np.lexsort((ids, k2, k1))
-        new = np.ones(len(order), bool)
-        new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
-        least = ids[order[np.flatnonzero(new)]][np.cumsum(new) - 1]
+        ids, tags, pos, key, _, _ = _unpack(pdf, KEY)
+        order, group, starts = _equal(key["a"], key["b"], ids)
+        least = ids[order[starts]][group]
         hit = order[ids[order] > least]
-        return pd.DataFrame(_route(ids[hit], tags[hit], pos[hit] >> 1, parts), columns=COLUMNS)
+        return pd.DataFrame(_route(ids[hit], tags[hit], pos[hit], parts), columns=COLUMNS)
     return run
 
 
@@ -264,34 +286,65 @@ RESULT = "doc_id long, known boolean, n_words long, n_removed long, kept_text st
 def _remove(window: int):
     def run(covered: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
         found, rows = _positions(covered), []
-        buf, offs = text_buffer(pa.array(docs["text"], pa.large_string()))
-        ids, known = docs["doc_id"].to_numpy(np.int64), docs["known"].to_numpy(bool)
-        for a, b in doc_chunks(offs, CHUNK_BYTES):
-            part_buf, part_offs = buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a]
-            tags, raw = _tags(part_buf, part_offs), part_buf.tobytes()
-            for i in range(b - a):
-                w = raw[part_offs[i]:part_offs[i + 1]].split()
-                at = found.get((int(ids[a + i]), int(tags[i]))) if known[a + i] else None
+        for ids, known, buf, offs in _texts(docs):
+            tags, raw = _tags(buf, offs), buf.tobytes()
+            for i in range(len(ids)):
+                w = raw[offs[i]:offs[i + 1]].split()
+                at = found.get((int(ids[i]), int(tags[i]))) if known[i] else None
                 keep = w
                 if at is not None:
                     gone = np.zeros(len(w) + 1, np.int32)
                     np.add.at(gone, at, 1)
-                    np.add.at(gone, at.astype(np.int64) + window, -1)
+                    np.add.at(gone, at + window, -1)
                     keep = [x for x, g in zip(w, np.cumsum(gone[:-1])) if not g]
-                rows.append((ids[a + i], known[a + i], len(w), len(w) - len(keep), b" ".join(keep).decode()))
+                rows.append((ids[i], known[i], len(w), len(w) - len(keep), b" ".join(keep).decode()))
         return pd.DataFrame(rows, columns=["doc_id", "known", "n_words", "n_removed", "kept_text"])
     return run
 
 
+DEALT = "part int, ids binary, known binary, sizes binary, text binary"
+
+
 def _deal(parts: int):
+    """Documents to parts: one compressed row per part and chunk of a task."""
     def run(batches):
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(_part_of_doc(ids, parts), pa.int32()), *batch.columns],
-                                             ["part", "doc_id", "known", "text"])
+            buf, offs = text_buffer(batch.column(2))
+            ids, known = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            for a, b in doc_chunks(offs, CHUNK_BYTES):
+                rows = []
+                for p, e in _split(_part_of_doc(ids[a:b], parts), parts):
+                    e = e + a
+                    rows.append({"part": p, "ids": _squeeze(ids[e].astype(np.int64)), "known": _squeeze(known[e].astype(np.uint8)),
+                                 "sizes": _squeeze(offs[e + 1] - offs[e]),
+                                 "text": packer.compress(b"".join(buf[offs[i]:offs[i + 1]].tobytes() for i in e))})
+                yield pa.RecordBatch.from_pylist(rows, pa.schema(
+                    [("part", pa.int32())] + [(c, pa.binary()) for c in ("ids", "known", "sizes", "text")]))
     return run
 
 
+def _texts(docs: pd.DataFrame):
+    """(ids, known, buffer, offsets) of the dealt rows, joined up to about two
+    chunks of text, so that work is done on long arrays."""
+    unpack, held, size = zstandard.ZstdDecompressor(), [], 0
+
+    def joined():
+        ids, known, sizes, text = zip(*held)
+        return (np.concatenate(ids), np.concatenate(known), np.frombuffer(b"".join(text), np.uint8),
+                np.append(0, np.cumsum(np.concatenate(sizes))))
+
+    for r in docs.itertuples(index=False):
+        held.append((_spread(r.ids, np.int64), _spread(r.known, np.uint8).astype(bool), _spread(r.sizes, np.int64),
+                     unpack.decompress(r.text)))
+        size += len(held[-1][3])
+        if size >= 2 * CHUNK_BYTES:
+            yield joined()
+            held, size = [], 0
+    if held:
+        yield joined()
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every row."""
@@ -304,7 +357,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK,
     sent = base.filter("known").select("doc_id", "text").mapInArrow(_probe(window, block, buckets, parts), PACKED)
     hits = sent.groupBy("part").applyInPandas(_bucket_hits(parts), PACKED)
     # documents dealt to parts once; both steps below read the same exchange
-    dealt = base.mapInArrow(_deal(parts), "part int, doc_id long, known boolean, text string").groupBy("part")
+    dealt = base.mapInArrow(_deal(parts), DEALT).groupBy("part")
     matched = hits.groupBy("part").cogroup(dealt).applyInPandas(_extend(window, block, buckets, parts), PACKED)
     covered = matched.groupBy("part").applyInPandas(_bucket_covered(parts), PACKED)
     return (covered.groupBy("part").cogroup(dealt).applyInPandas(_remove(window), RESULT)
