@@ -73,6 +73,40 @@ def test_salted_join_back_hot_household(spark):
     assert tagged.select("s").distinct().count() == 20
 
 
+def test_every_hot_key_is_split(spark, monkeypatch):
+    """Far more hot keys than the list's bound: the rows per task rise until the
+    list is short, and no group is left out of the join."""
+    from lodestar.operators import skew
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 5)
+    m = spark.range(4000).select(F.col("id").alias("analytic_id"), (F.col("id") % 40).alias("home"))
+    g = m.groupBy("home").agg(F.count(F.lit(1)).alias("n"))
+    assert skew.hot_keys(g, ["home"], "n", 10).count() < 5
+    out = skew.salted_join_back(m, g, ["home"], "n", rows_per_task=10)
+    assert out.filter("n = 100").count() == 4000
+    big = spark.createDataFrame([(i, 0 if i < 3000 else i) for i in range(4000)], "analytic_id long, home long")
+    gb = big.groupBy("home").agg(F.count(F.lit(1)).alias("n"))
+    assert [(r.home, r._buckets) for r in skew.hot_keys(gb, ["home"], "n", 10).collect()] == [(0, 4)]
+
+
+def test_null_and_hot_households_are_spread_without_aqe(spark):
+    """A third of the rows without a household, a third in one: the largest
+    task of the join-back holds a small share of the rows, AQE off."""
+    from lodestar.operators import skew
+    rows = [(i, None if i % 3 == 0 else (0 if i % 3 == 1 else i)) for i in range(9000)]
+    m = spark.createDataFrame(rows, "analytic_id long, home long")
+    g = m.groupBy("home").agg(F.count(F.lit(1)).alias("n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = skew.salted_join_back(m, g, ["home"], "n", rows_per_task=100)
+        assert out.count() == 9000 and out.filter("home is null and n is not null").count() == 0
+        per = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(per) < 0.25 * 9000
+
+
 def test_household_salted_equals_plain(spark):
     from lodestar.sources.standin import TestTables
     m = TestTables(spark, "/root/testdata/sf0.001").household_members()
