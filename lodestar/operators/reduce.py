@@ -5,7 +5,7 @@ shared names.  The key sets on the right are usually much smaller than the
 fact tables; AQE turns such joins into broadcast joins when the runtime
 size of the right side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
 and keeps a shuffle join otherwise.  Explicit ``broadcast`` is only used for
-sides with a proven bound (one-row aggregates, checked value lists).
+sides with a proven bound (one-row aggregates).
 """
 
 from __future__ import annotations
@@ -33,19 +33,14 @@ def _aligned(right: DataFrame, pairs) -> DataFrame:
     return right.select(*[F.col(r).alias(l) for l, r in pairs]).distinct()
 
 
-def semi_reduce(df: DataFrame, keys: DataFrame, on, broadcast_max_rows: int | None = None) -> DataFrame:
+def semi_reduce(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key appears in ``keys`` (left semi join).
 
-    With ``broadcast_max_rows`` the de-duplicated key set is counted (up to
-    the bound) and, if within it, broadcast: the fact table is then filtered
-    map-side, with no shuffle and no exposure to a hot key.  Past the bound
-    it stays a shuffle join (AQE splits skewed partitions).
+    AQE broadcasts the key set when its runtime size allows it and splits
+    skewed partitions of a shuffle join otherwise.
     """
     pairs = _keys(on)
-    right = _aligned(keys, pairs)
-    if broadcast_max_rows and right.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
-        right = F.broadcast(right)
-    return df.join(right, [l for l, _ in pairs], "left_semi")
+    return df.join(_aligned(keys, pairs), [l for l, _ in pairs], "left_semi")
 
 
 def anti_reduce(df: DataFrame, keys: DataFrame, on) -> DataFrame:
@@ -77,47 +72,17 @@ def top_values(df: DataFrame, col: str, k: int) -> DataFrame:
             .orderBy(F.desc("_n"), F.asc(col)).limit(k).select(col))
 
 
-def bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Return ``df`` after checking it has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"expected at most {max_rows} rows, found more")
-    return df
+def allow_list(df: DataFrame, col: str, allowed, value_col: str | None = None) -> DataFrame:
+    """Keep rows whose ``col`` is in ``allowed``.
 
-
-def allow_list(df: DataFrame, col: str, allowed, value_col: str | None = None,
-               max_values: int = 100_000, max_literals: int = 1_000) -> DataFrame:
-    """Keep rows whose ``col`` is in ``allowed`` (a list or a one-column DataFrame).
-
-    A DataFrame list is computed once with a size check: up to
-    ``max_literals`` values it becomes a literal ``IN`` filter (pushed to the
-    scan); a longer list, still at most ``max_values``, is broadcast into a
-    semi join.  More than ``max_values`` values is an error, never a silent
-    truncation.
+    A Python list becomes a literal ``IN`` (pushed to the scan); a one-column
+    DataFrame of any size a semi join.
     """
     if isinstance(allowed, DataFrame):
-        vc = value_col or allowed.columns[0]
-        vals = (allowed.select(F.col(vc).alias(col)).distinct()
-                .filter(F.col(col).isNotNull()).limit(max_values + 1).collect())
-        if len(vals) > max_values:
-            raise ValueError(f"expected at most {max_values} allowed values, found more")
-        values = [r[0] for r in vals]
-        if len(values) > max_literals:
-            small = df.sparkSession.createDataFrame([(v,) for v in values],
-                                                    allowed.select(F.col(vc).alias(col)).schema)
-            return df.join(F.broadcast(small), col, "left_semi")
-        allowed = values
+        return semi_reduce(df, allowed, [(col, value_col or allowed.columns[0])])
     return df.filter(F.col(col).isin(list(allowed)))
 
 
-def freeze_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
-    """Sorted distinct values of ``col`` (a pivot's column list), size-checked."""
-    vals = df.select(col).distinct().filter(F.col(col).isNotNull()).limit(max_values + 1).collect()
-    if len(vals) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {col}")
-    return sorted(r[0] for r in vals)
-
-
 def exclude_risk(df: DataFrame, risk: DataFrame, cut: int,
                  keys: Sequence[str] = ("analytic_id", "register_date"),
                  month_col: str = "ddate", decile_col: str = "fraud_decile",

@@ -30,9 +30,6 @@ PACK_COLS = ["analytic_id", "ddate", "data_3g_usage_mb", "data_4g_usage_mb",
              "mou_ic_total", "mou_og_intl", "mou_og_roaming", "mou_og_total",
              "num_of_days_data_used", "sms_og_total", "distinct_out_number"]
 KEY = ["analytic_id", "ddate"]
-# Populations up to this many keys (about 40 MB of ids) are broadcast into
-# the semi joins that reduce the fact tables; larger ones use a shuffle join.
-BROADCAST_KEYS_MAX = 5_000_000
 
 
 def feature_window(as_of, lag_time: int, training: bool):
@@ -65,21 +62,18 @@ def feature_table(prof: DataFrame, pack: DataFrame, house: DataFrame, begin, end
                   usage: DataFrame | None = None) -> DataFrame:
     """profile + pack + household (+ app and usage pivots) at subscriber x month."""
     ids = prof.select(*KEY)
-    cap = BROADCAST_KEYS_MAX
-    pk = reduce.semi_reduce(pack.filter(date_range_filter("ddate", begin, end)), ids, KEY, cap)
-    hh = reduce.semi_reduce(house.filter(date_range_filter("ddate", begin, end)), ids, KEY, cap)
+    pk = reduce.semi_reduce(pack.filter(date_range_filter("ddate", begin, end)), ids, KEY)
+    hh = reduce.semi_reduce(house.filter(date_range_filter("ddate", begin, end)), ids, KEY)
     out = (prof.select(*PROFILE_COLS)
            .join(pk.select(*PACK_COLS), KEY, "left")
            .join(hh, KEY, "left"))
     subs = prof.select("analytic_id")
     if apps is not None:
-        a = reduce.semi_reduce(apps.filter(date_range_filter("last_date", begin, end)), subs,
-                               ["analytic_id"], cap)
+        a = reduce.semi_reduce(apps.filter(date_range_filter("last_date", begin, end)), subs, ["analytic_id"])
         wide = pivot.app_pivot(a, app_values).withColumnRenamed("last_date", "ddate")
         out = out.join(wide, KEY, "left")
     if usage is not None:
-        u = reduce.semi_reduce(usage.filter(date_range_filter("ddate", begin, end)), subs,
-                               ["analytic_id"], cap)
+        u = reduce.semi_reduce(usage.filter(date_range_filter("ddate", begin, end)), subs, ["analytic_id"])
         wide = pivot.usage_pivot(u).withColumnRenamed("month_id", "ddate")
         out = out.join(wide, KEY, "left")
     return out
