@@ -1,8 +1,6 @@
-import struct
+import hashlib
 from datetime import date
 
-import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from lodestar.operators import reduce, sample
@@ -15,14 +13,10 @@ def test_anti_join_null_keys(spark):
     assert [r.key for r in reduce.semi_reduce(left, right, ["key"]).collect()] == ["a"]
 
 
-def test_semi_join_broadcast_bound(spark):
+def test_semi_join_repeated_keys(spark):
     facts = spark.range(1000).withColumn("k", F.col("id") % 10)
     keys = spark.createDataFrame([(1,), (2,), (2,)], "k long")
-    small = reduce.semi_reduce(facts, keys, ["k"], broadcast_max_rows=5)
-    big = reduce.semi_reduce(facts, keys, ["k"], broadcast_max_rows=1)
-    assert small.count() == big.count() == 200
-    plan = small._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in plan
+    assert reduce.semi_reduce(facts, keys, ["k"]).count() == 200
 
 
 def test_semi_join_different_names(spark):
@@ -45,28 +39,33 @@ def test_latest_rows_and_risk(spark):
     assert sorted(r.analytic_id for r in reduce.exclude_risk(base, risk, 5).collect()) == ["b", "d", "e"]
 
 
-def test_allow_list_bound(spark):
+def test_allow_list_of_any_size(spark):
     df = spark.createDataFrame([("x",), ("y",), ("z",)], "app string")
-    allowed = spark.createDataFrame([("x",), ("z",)], "v string")
-    assert reduce.allow_list(df, "app", allowed, "v", max_values=2).count() == 2
-    assert reduce.allow_list(df, "app", allowed, "v", max_literals=1).count() == 2   # broadcast path
-    with pytest.raises(ValueError):
-        reduce.allow_list(df, "app", allowed, "v", max_values=1)
-    assert reduce.freeze_values(df, "app") == ["x", "y", "z"]
+    allowed = spark.createDataFrame([("x",), ("z",), ("z",), (None,)], "v string")
+    assert reduce.allow_list(df, "app", allowed, "v").count() == 2
+    assert reduce.allow_list(df, "app", ["y"]).count() == 1
+    many = spark.range(250_000).select(F.col("id").cast("string").alias("v"))
+    rows = spark.range(100, 250_100, 50).select(F.col("id").cast("string").alias("app"))
+    assert reduce.allow_list(rows, "app", many, "v").count() == 4998
 
 
-def _py_unit(key: int, seed: int) -> float:
-    # Spark's xxhash64(seed_long, key_long) with its seed 42: hash chained column by column
-    h = xxhash.xxh64_intdigest(struct.pack("<q", seed), 42)
-    h = xxhash.xxh64_intdigest(struct.pack("<q", key), h)
-    signed = h - (1 << 64) if h >= (1 << 63) else h
-    return (signed % 1_000_000) / 1_000_000
+def _py_unit(key: int, seed: int, purpose: str) -> float:
+    return int(hashlib.md5(f"{purpose}|{seed}|{key}".encode()).hexdigest()[:8], 16) / 2**32
 
 
 def test_hash_unit_matches_brute_force(spark):
-    df = spark.range(0, 500).withColumn("u", sample.hash_unit(["id"], 567))
+    df = spark.range(0, 500).withColumn("u", sample.hash_unit(["id"], 567, "split"))
     for r in df.collect():
-        assert abs(r.u - _py_unit(r.id, 567)) < 1e-12
+        assert r.u == _py_unit(r.id, 567, "split")
+    assert spark.createDataFrame([(None,)], "id long").select(
+        sample.hash_unit(["id"], 1, "sample").alias("u")).first().u < 1
+
+
+def test_sampling_and_splitting_are_independent(spark):
+    df = spark.range(0, 8000).withColumn("label", F.lit(0))
+    down = sample.downsample(df, "label", {0: 0.5}, ["id"], seed=567)
+    n = {r.split: r["count"] for r in sample.hash_split(down, ["id"], 0.75, 567).groupBy("split").count().collect()}
+    assert 0.22 < n["test"] / (n["test"] + n["train"]) < 0.28
 
 
 def test_downsample_and_split(spark):
@@ -80,5 +79,5 @@ def test_downsample_and_split(spark):
     split = sample.hash_split(df, ["id"], 0.75, 567)
     share = split.filter("split = 'train'").count() / 4000
     assert 0.72 < share < 0.78
-    exp = {i for i in range(4000) if _py_unit(i, 567) < 0.75}
+    exp = {i for i in range(4000) if _py_unit(i, 567, "split") < 0.75}
     assert {r.id for r in split.filter("split = 'train'").collect()} == exp
