@@ -1,9 +1,10 @@
 """Model evaluation tables: ROC points, AUC, gains/lift.
 
-Scores are binned to ``digits`` decimals before the ROC table is built, so
-it has at most 10**digits + 1 rows whatever the data size; the cumulative
-sums over it run in one task on that bounded table.  The gains table ranks
-with the distributed ntile and aggregates to one row per group.
+The ROC table has one row per distinct score, however many there are: scores
+are counted with map-side combining, range-partitioned by score, summed
+within each partition, and shifted by the sums of the partitions before (one
+row per partition meets in one place).  The gains table ranks with the
+distributed ntile and aggregates to one row per group.
 """
 
 from __future__ import annotations
@@ -12,44 +13,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestar.operators.rank import add_ntiles
+from lodestar.operators.rank import add_ntiles, ranged_positions
 
 
-def roc_table(scored: DataFrame, score_col: str, label_col: str, digits: int = 4) -> DataFrame:
-    """(threshold, tp, fp, tpr, fpr) per distinct binned score, best first."""
-    binned = (scored.select(F.round(F.col(score_col), digits).alias("threshold"),
-                            F.col(label_col).cast("long").alias("_y"))
-              .groupBy("threshold")
-              .agg(F.sum("_y").alias("_pos"), F.count(F.lit(1)).alias("_cnt")))
-    w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    all_rows = Window.partitionBy(F.lit(1))
-    t = (binned.withColumn("tp", F.sum("_pos").over(w))
-         .withColumn("fp", F.sum(F.col("_cnt") - F.col("_pos")).over(w))
-         .withColumn("_P", F.sum("_pos").over(all_rows))
-         .withColumn("_N", F.sum(F.col("_cnt") - F.col("_pos")).over(all_rows)))
-    return t.select("threshold", "tp", "fp",
-                    (F.col("tp") / F.col("_P")).alias("tpr"),
-                    (F.col("fp") / F.col("_N")).alias("fpr"))
+def _points(scored: DataFrame, score_col: str, label_col: str, digits: int | None) -> DataFrame:
+    """Per distinct score: counts, cumulative counts and the two totals."""
+    score = F.col(score_col) if digits is None else F.round(F.col(score_col), digits)
+    points = (scored.select(score.alias("threshold"), F.col(label_col).cast("long").alias("_y"))
+              .groupBy("threshold").agg(F.sum("_y").alias("_pos"), F.count(F.lit(1)).alias("_cnt"))
+              .withColumn("_neg", F.col("_cnt") - F.col("_pos")))
+    pos = ranged_positions(points, [("threshold", False)])
+    upto = Window.partitionBy("_pid").orderBy("_pos_in").rowsBetween(Window.unboundedPreceding, 0)
+    parts = pos.groupBy("_pid").agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(F.lit(1))
+    parts = parts.select("_pid", F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p0"),
+                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+                         F.sum("_p").over(whole).alias("_P"), F.sum("_n").over(whole).alias("_N"))
+    t = (pos.withColumn("_tp", F.sum("_pos").over(upto)).withColumn("_fp", F.sum("_neg").over(upto))
+         .join(F.broadcast(parts), "_pid"))
+    return t.select("threshold", "_pos", "_neg", (F.col("_tp") + F.col("_p0")).alias("tp"),
+                    (F.col("_fp") + F.col("_n0")).alias("fp"), "_P", "_N")
+
+
+def roc_table(scored: DataFrame, score_col: str, label_col: str, digits: int | None = None) -> DataFrame:
+    """(threshold, tp, fp, tpr, fpr) per distinct score, best first.
+
+    ``digits`` rounds the scores first (fewer points, merged thresholds)."""
+    return _points(scored, score_col, label_col, digits).select(
+        "threshold", "tp", "fp", (F.col("tp") / F.col("_P")).alias("tpr"), (F.col("fp") / F.col("_N")).alias("fpr"))
+
 
+def auc_from_roc(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
+    """Exact AUC (one row): the trapezoids under the exact ROC table.
 
-def auc_from_roc(roc: DataFrame) -> DataFrame:
-    """Trapezoid AUC over the ROC points (one row)."""
-    w = Window.orderBy(F.desc("threshold"))
-    pts = (roc.withColumn("_fpr0", F.coalesce(F.lag("fpr").over(w), F.lit(0.0)))
-           .withColumn("_tpr0", F.coalesce(F.lag("tpr").over(w), F.lit(0.0))))
-    return pts.agg(F.sum((F.col("fpr") - F.col("_fpr0")) * (F.col("tpr") + F.col("_tpr0")) / 2)
-                   .alias("auc"))
+    A distinct score with p positives and n negatives adds p (N - fp + n / 2)
+    / (P N), fp counting the negatives down to it; all counts are whole, so
+    twice the sum is exact."""
+    twice = F.sum((F.col("_pos") * (2 * (F.col("_N") - F.col("fp")) + F.col("_neg"))).cast("decimal(38,0)"))
+    return (_points(scored, score_col, label_col, None)
+            .agg(twice.alias("_s"), F.max("_P").alias("_P"), F.max("_N").alias("_N"))
+            .select((F.col("_s").cast("double") / (2.0 * F.col("_P") * F.col("_N"))).alias("auc")))
 
 
-def gains_lift(scored: DataFrame, score_col: str, label_col: str, key: str,
+def gains_lift(scored: DataFrame, score_col: str, label_col: str, key,
                groups: int = 10, **kw) -> DataFrame:
-    """Gains/lift by score group (1 = highest scores).
+    """Gains/lift by score group (1 = highest scores); ties go by ``key``, one
+    column or several that together are unique.
 
     Per group: rows, positives, response rate, lift (rate / overall rate),
     cumulative rows, positives, capture rate and lift.
     """
-    ranked = add_ntiles(scored.select(key, score_col, label_col),
-                        [(score_col, False), (key, True)], {"group": groups}, **kw)
+    keys = [key] if isinstance(key, str) else list(key)
+    ranked = add_ntiles(scored.select(*dict.fromkeys([*keys, score_col, label_col])),
+                        [(score_col, False), *[(k, True) for k in keys]], {"group": groups}, **kw)
     per = (ranked.groupBy("group")
            .agg(F.count(F.lit(1)).alias("n"),
                 F.sum(F.col(label_col).cast("long")).alias("positives"),

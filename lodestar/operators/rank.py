@@ -30,22 +30,29 @@ def _sort_exprs(order: Sequence[tuple[str, bool]]) -> list[Column]:
             for c, asc in order]
 
 
-def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], out_col: str = "_rank",
-                num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
-    """Add the 0-based global rank under ``order`` ([(column, ascending)]),
-    plus ``_n`` = total rows.  Include a unique key last in ``order``."""
+def ranged_positions(df: DataFrame, order: Sequence[tuple[str, bool]],
+                     num_partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order``, stored, with their
+    partition number ``_pid`` and 0-based position in it ``_pos_in``.
+
+    The checkpoint fixes the positions: every later read sees the same rows
+    in the same places, whatever executors are lost."""
+    from lodestar.session import ensure_checkpoint_dir
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     exprs = _sort_exprs(order)
-    ranged = df.repartitionByRange(n_parts, *exprs).sortWithinPartitions(*exprs)
-    if materialize:
-        from lodestar.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)          # the shared spark.checkpoint.dir
-        ranged = ranged.checkpoint(eager=True)
-    mid = F.monotonically_increasing_id()
-    pos = (ranged.withColumn("_mid", mid)
-           .withColumn("_pid", F.shiftrightunsigned(F.col("_mid"), _LOW_BITS))
-           .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
+    ensure_checkpoint_dir(spark)              # the shared spark.checkpoint.dir
+    ranged = df.repartitionByRange(n_parts, *exprs).sortWithinPartitions(*exprs).checkpoint(eager=True)
+    return (ranged.withColumn("_mid", F.monotonically_increasing_id())
+            .withColumn("_pid", F.shiftrightunsigned(F.col("_mid"), _LOW_BITS))
+            .withColumn("_pos_in", F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).drop("_mid"))
+
+
+def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], out_col: str = "_rank",
+                num_partitions: int | None = None) -> DataFrame:
+    """Add the 0-based global rank under ``order`` ([(column, ascending)]),
+    plus ``_n`` = total rows.  Include a unique key last in ``order``."""
+    pos = ranged_positions(df, order, num_partitions)
     counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per partition: ordering them in one task is bounded by n_parts.
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -53,8 +60,8 @@ def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], out_col: str =
                .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(F.lit(1))))
                .select("_pid", "_off", "_n"))
     ranked = pos.join(F.broadcast(offsets), "_pid")
-    return (ranked.withColumn(out_col, F.col("_off") + F.col("_pos"))
-            .drop("_mid", "_pid", "_pos", "_off"))
+    return (ranked.withColumn(out_col, F.col("_off") + F.col("_pos_in"))
+            .drop("_pid", "_pos_in", "_off"))
 
 
 def ntile_of_rank(rank: Column, n: Column, buckets: int) -> Column:
