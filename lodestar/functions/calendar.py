@@ -23,8 +23,7 @@ def day_period(hour: Column | str) -> Column:
     Hours outside 0..24 give NULL (filter them with ``between(0, 23)`` first).
     """
     h = F.col(hour) if isinstance(hour, str) else hour
-    return (F.when((h > 0) & (h <= 5), "night")
-            .when((h > 5) & (h <= 12), "morning")
-            .when((h > 12) & (h <= 18), "afternoon")
-            .when((h > 18) & (h <= 24), "prime")
-            .when(h == 0, "prime"))
+    name = F.lit("prime")
+    for last, period in ((18, "afternoon"), (12, "morning"), (5, "night")):
+        name = F.when(h <= last, period).otherwise(name)
+    return F.when(h.between(0, 24), F.when(h == 0, "prime").otherwise(name))

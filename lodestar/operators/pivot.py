@@ -61,15 +61,21 @@ def usage_periods(usage: DataFrame, id_col: str = "analytic_id", day_col: str =
 
 
 def two_stage_mean(usage: DataFrame, keys: Sequence[str] = ("analytic_id", "wday", "period", "month_id"),
-                   day_col: str = "date", measures=USAGE_MEASURES) -> DataFrame:
+                   day_col: str = "date", measures=USAGE_MEASURES, deal_by: Sequence[str] = ()) -> DataFrame:
     """Sum per day, then mean of the daily sums per (keys).
 
+    ``deal_by``, a subset of the keys, deals the daily sums once by those
+    columns; the means and any later grouping that holds them then need no
+    exchange of their own.
+
     Days without any row are not counted as zero.  Both levels aggregate
     map-side first, so a subscriber with a huge share of rows is reduced in
     every task before the shuffle.
     """
     daily = usage.groupBy(*keys, day_col).agg(
         *[F.sum(src).alias(s) for src, s, _ in measures])
+    if deal_by:
+        daily = daily.repartition(*deal_by)
     return daily.groupBy(*keys).agg(*[F.avg(s).alias(m) for _, s, m in measures])
 
 
@@ -103,7 +109,8 @@ def wide_pivot(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Seque
 def usage_pivot(usage: DataFrame, id_col: str = "analytic_id") -> DataFrame:
     """Hourly usage -> one row per (subscriber, month) with 7 x 4 x 4 means."""
     tagged = usage_periods(usage, id_col=id_col)
-    means = two_stage_mean(tagged, keys=(id_col, "wday", "period", "month_id"))
+    # at most 31 days x 28 periods a subscriber and month: dealing by both is even
+    means = two_stage_mean(tagged, keys=(id_col, "wday", "period", "month_id"), deal_by=(id_col, "month_id"))
     means = means.withColumn("wday_period", F.concat_ws("_", "wday", "period"))
     order = {m: i for i, m in enumerate(USAGE_PIVOT_ORDER)}
     measures = sorted([(m, "avg", m) for _, _, m in USAGE_MEASURES], key=lambda t: order[t[0]])
