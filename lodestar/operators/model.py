@@ -42,6 +42,8 @@ def predictors(df: DataFrame, exclude: Sequence[str] = ID_COLS) -> tuple[list[st
             cats.append(c)
         elif types[c] in ("double", "float", "int", "bigint", "smallint", "tinyint"):
             numeric.append(c)
+        else:
+            raise ValueError(f"predictor {c} has type {types[c]}: cast it or exclude it")
     return numeric, cats
 
 
@@ -60,10 +62,30 @@ def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], label_col
     return Pipeline(stages=stages)
 
 
+def bins_for(encoder: PipelineModel) -> int:
+    """Tree bins that hold every category of the fitted encoder and its bucket
+    for unseen values."""
+    sizes = [len(x) + 1 for s in encoder.stages if hasattr(s, "labelsArray") for x in s.labelsArray]
+    return max([32, *sizes])
+
+
 def fit(train: DataFrame, label_col: str, numeric: Sequence[str], categorical: Sequence[str],
         params: dict | None = None) -> PipelineModel:
+    """Fit the encoder, then the trees with as many bins as the widest
+    category needs; returns both as one pipeline model."""
     data = train.withColumn(label_col, F.col(label_col).cast("double"))
-    return build_pipeline(numeric, categorical, label_col, params).fit(data)
+    *encode, trees = build_pipeline(numeric, categorical, label_col, params).getStages()
+    encoder = Pipeline(stages=encode).fit(data)
+    trees.setMaxBins(max(trees.getMaxBins(), bins_for(encoder)))
+    return PipelineModel(stages=[*encoder.stages, trees.fit(encoder.transform(data))])
+
+
+def validation_loss(model: PipelineModel, test: DataFrame, label_col: str) -> list[float]:
+    """Log loss on ``test`` after each tree (no early stopping)."""
+    data = test.withColumn(label_col, F.col(label_col).cast("double"))
+    for stage in model.stages[:-1]:
+        data = stage.transform(data)
+    return model.stages[-1].evaluateEachIteration(data)
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], digits: int = 4,
@@ -77,7 +99,7 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], digits: int
 def auc(model: PipelineModel, test: DataFrame, label_col: str) -> float:
     pred = model.transform(test.withColumn(label_col, F.col(label_col).cast("double")))
     ev = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC")
+                                       metricName="areaUnderROC", numBins=0)
     return float(ev.evaluate(pred))
 
 

@@ -53,15 +53,31 @@ def checkpoint_table(df: DataFrame, path: str, partition_by: Iterable[str] = ())
     return df.sparkSession.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists, in whatever file system it names.  Errors other
+    than absence (permissions, an unreachable store) raise."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def stored_months(spark: SparkSession, target: str, month_col: str = "ddate") -> DataFrame | None:
-    """Distinct months already in a month-partitioned table (None if absent).
+    """Months already in a month-partitioned table (None if there is no table).
 
-    Only the partition column is selected, so no data pages are read.
-    """
-    try:
-        return spark.read.parquet(target).select(month_col).distinct()
-    except Exception:  # noqa: BLE001 - a missing target is an empty mart
+    The partition folders are listed; no data file is opened.  Only an absent
+    path counts as an empty mart; a table that can't be read raises, so a
+    broken mart never has its months appended again."""
+    if not path_exists(spark, target):
         return None
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(p).isDirectory():
+        raise ValueError(f"{target} is not a month-partitioned table")
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+    odd = [n for n in names if not n.startswith((f"{month_col}=", "_", "."))]
+    if odd:
+        raise ValueError(f"{target} is not partitioned by {month_col}: it holds {odd[0]}")
+    months = [(date.fromisoformat(n.split("=", 1)[1]),) for n in names if n.startswith(f"{month_col}=")]
+    return spark.createDataFrame(months, f"{month_col} date")
 
 
 def append_months(new_rows: DataFrame, target: str, month_col: str = "ddate",
@@ -74,7 +90,7 @@ def append_months(new_rows: DataFrame, target: str, month_col: str = "ddate",
     an empty or missing target.  The month list is tiny (one row per stored
     month), so broadcasting it is bounded by the calendar, not the data.
     ``new_rows`` is computed once, by the write itself; the new-month count
-    comes from the partition lists before and after.
+    comes from the partition folders before and after.
     """
     spark = new_rows.sparkSession
     before = stored_months(spark, target, month_col)
@@ -100,30 +116,26 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)
 
 
-SCORE_SCHEMA = T.StructType([
-    T.StructField("crm_sub_id", T.StringType()),
-    T.StructField("analytic_id", T.StringType()),
-    T.StructField("register_date", T.StringType()),
-    T.StructField("p1", T.DoubleType()),
-])
-
-
 def write_scores(scores: DataFrame, path: str) -> None:
     """Distributed score sink: one CSV part per partition."""
     scores.write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_list(campaign: DataFrame, out_dir: str, as_of, sep: str = "|") -> str:
-    """Write the campaign list as one delimited file in a ``post_yyyyMM`` folder.
+def export_path(out_dir: str, as_of) -> str:
+    as_of = as_of if isinstance(as_of, (date, datetime)) else date.fromisoformat(str(as_of))
+    return f"{out_dir.rstrip('/')}/post_{as_of.strftime('%Y%m')}"
+
 
-    ``repartition(1)`` (a shuffle) rather than ``coalesce(1)``: coalesce
-    would pull the whole upstream plan into a single task, repartition keeps
-    it parallel and only the final write is one task.
+def export_list(campaign: DataFrame, out_dir: str, as_of, sep: str = "|", single_file: bool = False) -> str:
+    """Write the campaign list to a ``post_yyyyMM`` folder of delimited parts.
+
+    ``single_file`` writes one part in one task, for receivers that take one
+    file only: ``repartition(1)`` rather than ``coalesce(1)``, so the plan
+    above it stays parallel.
     """
-    as_of = as_of if isinstance(as_of, (date, datetime)) else date.fromisoformat(str(as_of))
-    path = f"{out_dir.rstrip('/')}/post_{as_of.strftime('%Y%m')}"
-    (campaign.repartition(1).write.mode("overwrite").option("header", True)
-     .option("sep", sep).option("dateFormat", "yyyy-MM-dd").csv(path))
+    path = export_path(out_dir, as_of)
+    rows = campaign.repartition(1) if single_file else campaign
+    rows.write.mode("overwrite").option("header", True).option("sep", sep).option("dateFormat", "yyyy-MM-dd").csv(path)
     return path
 
 

@@ -67,7 +67,8 @@ def test_campaign_export_roundtrip(spark, tmp_dir):
     path = tables.export_list(cl, tmp_dir, date(2020, 3, 5))
     assert path.endswith("post_202003")
     import glob
-    files = [f for f in glob.glob(f"{path}/*.csv")]
+    one = tables.export_list(cl, f"{tmp_dir}/one", date(2020, 3, 5), single_file=True)
+    files = [f for f in glob.glob(f"{one}/*.csv")]
     assert len(files) == 1
     with open(files[0]) as fh:
         assert fh.readline().strip() == "|".join(LIST_COLUMNS)
@@ -81,9 +82,10 @@ def test_roc_and_gains_brute_force(spark):
     roc = {r.threshold: r for r in evaluate.roc_table(df, "score", "y").collect()}
     P = sum(y for _, _, y in rows)
     for thr, r in roc.items():
-        tp = sum(1 for _, s, y in rows if round(s, 4) >= thr and y == 1)
+        tp = sum(1 for _, s, y in rows if s >= thr and y == 1)
         assert r.tp == tp and abs(r.tpr - tp / P) < 1e-12
-    auc = evaluate.auc_from_roc(evaluate.roc_table(df, "score", "y")).first().auc
+    assert len(roc) == 13 and len(evaluate.roc_table(df, "score", "y", digits=0).collect()) == 2
+    auc = evaluate.auc_from_roc(df, "score", "y").first().auc
     pos = [s for _, s, y in rows if y]
     neg = [s for _, s, y in rows if not y]
     exact = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
@@ -112,6 +114,38 @@ def test_model_fit_score_persist(spark, tmp_dir):
     assert imp[0].feature == "x"
 
 
+def test_hundred_categories_fit(spark):
+    df = spark.range(1000).select(
+        F.concat(F.lit("c"), F.col("id") % 100).alias("cat"), (F.col("id") % 3).cast("double").alias("x"),
+        (F.col("id") % 100 > 60).cast("int").alias("camp_response"))
+    fitted = model.fit(df, "camp_response", ["x"], ["cat"], {"maxIter": 2, "maxDepth": 3})
+    assert fitted.stages[-1].getMaxBins() >= 101
+    assert len(model.validation_loss(fitted, df, "camp_response")) == 2
+    assert model.auc(fitted, df, "camp_response") > 0.9
+
+
+def test_other_predictor_types_are_refused(spark):
+    import pytest
+    df = spark.createDataFrame([(1.0, date(2020, 1, 1))], "x double, d date")
+    with pytest.raises(ValueError):
+        model.predictors(df)
+
+
+def test_unreadable_mart_raises(spark, tmp_dir):
+    import pytest
+    rows = spark.createDataFrame([(1, date(2020, 1, 31)), (2, date(2020, 2, 29))], "id int, ddate date")
+    assert tables.stored_months(spark, f"{tmp_dir}/none") is None
+    assert tables.append_months(rows, f"{tmp_dir}/mart", "ddate") == 2
+    assert tables.append_months(rows, f"{tmp_dir}/mart", "ddate") == 0
+    assert spark.read.parquet(f"{tmp_dir}/mart").count() == 2
+    with pytest.raises(ValueError):
+        tables.append_months(rows.withColumnRenamed("ddate", "month"), f"{tmp_dir}/mart", "month")
+    rows.write.parquet(f"{tmp_dir}/file")
+    import glob
+    with pytest.raises(ValueError):
+        tables.stored_months(spark, glob.glob(f"{tmp_dir.removeprefix('file://')}/file/*.parquet")[0])
+
+
 def test_assert_unique(spark):
     import pytest
 
