@@ -95,16 +95,18 @@ _cte("hh_members", ("sub_month",), """
            CAST((year(s.ddate) - 1995) * 12 + month(s.ddate) AS DOUBLE) AS service_month
     FROM sub_month s JOIN customer c ON s.analytic_id = c.c_custkey""")
 
-_cte("hourly_usage", (), """
-    SELECT user_id AS analytic_id, CAST(ts AS DATE) AS ddate, ts AS date_id,
+_USAGE_DAY = "CAST(CAST(ts AS DATE) + to_months(CAST(user_id % 12 - 338 AS INTEGER)) AS DATE)"
+
+_cte("hourly_usage", (), f"""
+    SELECT user_id AS analytic_id, {_USAGE_DAY} AS ddate, {_USAGE_DAY} AS date_id,
            hour(ts) AS hour_id, round(value * 100) AS data_vol_kb,
            CAST(minute(ts) AS DOUBLE) AS data_usg_minute,
            CASE WHEN event_type IN ('click', 'view') THEN round(value * 100) ELSE 0::DOUBLE END AS voice_out_minute,
            CASE WHEN event_type = 'purchase' THEN round(value * 100) ELSE 0::DOUBLE END AS voice_in_minute
     FROM events""")
 
-_cte("app_usage", (), """
-    SELECT user_id AS analytic_id, last_day(ts) AS last_date, event_type AS application,
+_cte("app_usage", (), f"""
+    SELECT user_id AS analytic_id, last_day({_USAGE_DAY}) AS last_date, event_type AS application,
            round(value * 100) AS volume_ul_kb, CAST(hour(ts) * 100 AS DOUBLE) AS volume_dw_kb,
            CAST(minute(ts) * 60 + second(ts) AS DOUBLE) AS duration_sec, 1.0::DOUBLE AS time_cnt
     FROM events""")

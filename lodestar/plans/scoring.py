@@ -32,7 +32,7 @@ def update_mart(members: DataFrame, target: str, through, month_col: str = "ddat
 
 
 def build_features(src: Sources, as_of, app_values, work_dir: str, lag_shift: int = 0,
-                   means: ImputerModel | None = None):
+                   means: ImputerModel | None = None, allow_missing: bool = False):
     end = month_end(as_of, 1 + lag_shift)
     begin = month_start(as_of, 1 + lag_shift)
     prof = prepare.population(src.profile, begin, end, owners=src.owners)
@@ -40,28 +40,35 @@ def build_features(src: Sources, as_of, app_values, work_dir: str, lag_shift: in
     feats = prepare.feature_table(prof, src.pack, src.house, begin, end,
                                   apps=src.apps, app_values=app_values, usage=src.usage)
     dt = lags.month_lags(feats, history(src), base_month="ddate", month_bounds=(end, end))
-    dt = add_missing(dt, zero_fill_cols(app_values))
+    dt = add_missing(dt, zero_fill_cols(app_values), allow_missing)
     ids = [c for c in model.ID_COLS if c != "camp_response"]
     clean, means = impute.cleanse(dt, ids, zero_fill_cols(app_values), means=means)
     final = derive.derive_features(clean)
     return tables.checkpoint_table(final, f"{work_dir}/scoring_features"), means
 
 
-def run_scoring(src: Sources, as_of, app_values, work_dir: str, fitted, means=None,
-                fraud_cut: int = 0, lag_shift: int = 0, out_dir: str | None = None) -> DataFrame:
-    """Score the month before ``as_of`` and write the campaign list."""
+def saved_apps(spark, train_dir: str) -> list[str]:
+    """The application list of the training run (a report-sized list)."""
+    return sorted(r[0] for r in tables.read_value_list(spark, f"{train_dir}/training_apps", "application").collect())
+
+
+def run_scoring(src: Sources, as_of, train_dir: str, work_dir: str, fraud_cut: int = 0, lag_shift: int = 0,
+                out_dir: str | None = None, refit_means: bool = False, allow_missing: bool = False) -> DataFrame:
+    """Score the month before ``as_of`` with the artifacts of a training run
+    (model, means, application list under ``train_dir``) and write the
+    campaign list.  ``refit_means`` fits the means on the scoring month."""
     spark = src.profile.sparkSession
-    final, _ = build_features(src, as_of, app_values, work_dir, lag_shift, means)
+    fitted = model.load_model(f"{train_dir}/model")
+    means = None if refit_means else ImputerModel.load(f"{train_dir}/means")
+    final, _ = build_features(src, as_of, saved_apps(spark, train_dir), work_dir, lag_shift, means, allow_missing)
     if src.fraud is not None:
         final = reduce.exclude_risk(final, src.fraud, fraud_cut)
-    scored = model.score(fitted, final, SCORE_KEEP).withColumn(
-        "register_date", F.col("register_date").cast("string"))
+    scored = model.score(fitted, final, SCORE_KEEP)
     score_path = f"{work_dir}/scores"
     tables.write_scores(scored, score_path)
-    back = tables.read_delimited(spark, score_path, tables.SCORE_SCHEMA, ",")
-    with_time = (reduce.attach_call_time(back, src.call_times.withColumn(
-        "crm_sub_id", F.col("crm_sub_id").cast("string")))
-        if src.call_times is not None else back.withColumn("time2call", F.lit("anytime")))
+    back = tables.read_delimited(spark, score_path, scored.schema, ",")
+    with_time = (reduce.attach_call_time(back, src.call_times) if src.call_times is not None
+                 else back.withColumn("time2call", F.lit("anytime")))
     cl = campaign_list(with_time)
     path = tables.export_list(cl, out_dir or f"{work_dir}/campaign", as_of)
-    return spark.read.option("header", True).option("sep", "|").csv(path)
+    return tables.read_delimited(spark, path, cl.schema, "|")

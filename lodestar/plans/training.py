@@ -8,14 +8,14 @@ data) never recomputes the joins.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.months import month_end
 from lodestar.operators import derive, household, impute, label, lags, model, pivot, sample
-from lodestar.operators.evaluate import gains_lift
+from lodestar.operators.evaluate import gains_lift, roc_table
 from lodestar.plans import prepare
 from lodestar.sources import tables
 
@@ -38,7 +38,6 @@ class Sources:
     owners: DataFrame | None = None
     fraud: DataFrame | None = None
     call_times: DataFrame | None = None
-    extra: dict = field(default_factory=dict)
 
 
 def zero_fill_cols(app_values) -> list[str]:
@@ -50,9 +49,13 @@ def zero_fill_cols(app_values) -> list[str]:
             + household.HOUSEHOLD_COLS + apps + usage + lag_cols)
 
 
-def add_missing(df: DataFrame, cols) -> DataFrame:
-    """NULL double columns for feature groups a run has no source for."""
+def add_missing(df: DataFrame, cols, allowed: bool) -> DataFrame:
+    """NULL double columns for feature groups a run has no source for; only
+    where the caller ``allowed`` that (scoring must match the training run)."""
     missing = [c for c in cols if c not in df.columns]
+    if missing and not allowed:
+        raise ValueError(f"{len(missing)} feature columns have no source, such as {missing[0]}; "
+                         "pass the missing table or allow_missing=True")
     return df.select("*", *[F.lit(None).cast("double").alias(c) for c in missing])
 
 
@@ -62,7 +65,7 @@ def history(src: Sources):
 
 
 def build_features(src: Sources, as_of, app_values, work_dir: str, lag_shift: int = 0,
-                   label_mode: str = "earliest", means=None):
+                   label_mode: str = "earliest", means=None, allow_missing: bool = False):
     """Labelled, cleansed, derived training table (checkpointed) and fitted means."""
     lb, le = label.label_window(as_of, 1 + lag_shift)
     labels = label.campaign_labels(src.contacts, src.profile, lb, le, mode=label_mode)
@@ -79,7 +82,7 @@ def build_features(src: Sources, as_of, app_values, work_dir: str, lag_shift: in
     dt = prepare.label_features(labels, feats)
     dt = lags.month_lags(dt, history(src), base_month="prof_month",
                          month_bounds=(month_end(begin), end))
-    dt = add_missing(dt, zero_fill_cols(app_values))
+    dt = add_missing(dt, zero_fill_cols(app_values), allow_missing)
     if means is None:
         # Fit on the three profile columns only: every other join is a
         # unique-key left join, so the rows are the same, and the fit pass
@@ -98,43 +101,58 @@ def train(final: DataFrame, label_col: str = "camp_response", sample_frac: float
     """Down-sample label 0, split 75/25 by key hash, fit, evaluate.
 
     Returns (pipeline model, test predictions-ready frame, metrics dict,
-    numeric predictors, categorical predictors).
+    numeric predictors, categorical predictors).  Both parts must hold both
+    labels, or no figure of the hold-out means anything.
     """
     down = sample.downsample(final, label_col, {0: sample_frac}, ["crm_sub_id", "analytic_id"], seed)
     split = sample.hash_split(down, ["crm_sub_id", "analytic_id"], model.SPLIT_RATIO, seed)
+    sizes = {(r["split"], r[label_col]): r["count"] for r in split.groupBy("split", label_col).count().collect()}
+    for part in ("train", "test"):
+        for y in (0, 1):
+            if not sizes.get((part, y)):
+                raise ValueError(f"the {part} part has no rows with label {y}: {sizes}")
     numeric, cats = model.predictors(final)
     train_df = split.filter("split = 'train'")
     test_df = split.filter("split = 'test'")
     fitted = model.fit(train_df, label_col, numeric, cats, gbt_params)
     metrics = {"auc": model.auc(fitted, test_df, label_col)}
+    metrics |= {f"n_{part}_{y}": n for (part, y), n in sizes.items()}
     return fitted, test_df, metrics, numeric, cats
 
 
 def run_training(spark, src: Sources, as_of, app_values, work_dir: str, lag_shift: int = 0,
-                 gbt_params: dict | None = None, sample_frac: float = 0.5) -> dict:
+                 gbt_params: dict | None = None, sample_frac: float = 0.5, allow_missing: bool = False) -> dict:
     """The whole training flow; saves model, means and app list under ``work_dir``."""
-    if src.apps is not None:
-        seen = src.apps.filter(F.col("application").isin(list(app_values)))
-        tables.write_value_list(seen, "application", f"{work_dir}/training_apps")
-    final, means = build_features(src, as_of, app_values, work_dir, lag_shift)
+    # the columns of the features are those of the whole list, seen or not
+    listed = spark.createDataFrame([(a,) for a in app_values], "application string")
+    tables.write_value_list(listed, "application", f"{work_dir}/training_apps")
+    final, means = build_features(src, as_of, app_values, work_dir, lag_shift, allow_missing=allow_missing)
     fitted, test_df, metrics, numeric, cats = train(final, sample_frac=sample_frac,
                                                      gbt_params=gbt_params)
     model.save_model(fitted, f"{work_dir}/model")
     means.write().overwrite().save(f"{work_dir}/means")
     scored = model.score(fitted, test_df, ["crm_sub_id", "analytic_id", "camp_response"])
-    gains = gains_lift(scored, "p1", "camp_response", "analytic_id")
+    scored = tables.checkpoint_table(scored, f"{work_dir}/scored_test")
+    # rows that tie on all of these count alike in every group
+    gains = gains_lift(scored, "p1", "camp_response", ["analytic_id", "crm_sub_id", "camp_response"])
+    roc = roc_table(scored, "p1", "camp_response")
+    loss = spark.createDataFrame(list(enumerate(map(float, model.validation_loss(fitted, test_df, "camp_response")), 1)),
+                                 "tree int, log_loss double")
     imp = model.importance(spark, fitted, numeric, cats)
     # artifacts: small tables (one row per score group / per feature)
     gains.write.mode("overwrite").parquet(f"{work_dir}/gains_lift")
     imp.write.mode("overwrite").parquet(f"{work_dir}/importance")
+    roc.write.mode("overwrite").parquet(f"{work_dir}/roc")
+    loss.write.mode("overwrite").parquet(f"{work_dir}/validation_loss")
     params = dict(model.GBT_PARAMS, **(gbt_params or {}))
     first = month_end(as_of, 4 + lag_shift)
     params["profile_month"] = f"{first} - {month_end(as_of, 3 + lag_shift)}"
     log = tables.run_log_rows(params=params, metrics=metrics,
                               artifacts={"features": ",".join(numeric + cats),
-                                         "gains_lift": f"{work_dir}/gains_lift",
+                                         "gains_lift": f"{work_dir}/gains_lift", "roc": f"{work_dir}/roc",
+                                         "validation_loss": f"{work_dir}/validation_loss",
                                          "importance": f"{work_dir}/importance",
                                          "model": f"{work_dir}/model"})
     tables.write_run_log(spark, log, f"{work_dir}/run_log")
     return {"features": final, "model": fitted, "means": means, "metrics": metrics,
-            "gains": gains, "importance": imp, "scored_test": scored}
+            "gains": gains, "importance": imp, "scored_test": scored, "roc": roc, "validation_loss": loss}

@@ -192,14 +192,25 @@ def household_members(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
+USAGE_MONTHS, USAGE_SHIFT = 12, -338      # 2024-01 -> 1995-11
+
+
+def usage_day():
+    """The events' day, moved into the order span: a user's events fall in one
+    of ``USAGE_MONTHS`` months from 1995-11 on, picked by the user id, so the
+    usage tables overlap the labelled months (all rows kept)."""
+    months = F.pmod(F.col("user_id"), F.lit(USAGE_MONTHS)).cast("int") + F.lit(USAGE_SHIFT)
+    return F.add_months(F.to_date("ts"), months)
+
+
 def hourly_usage(events: DataFrame) -> DataFrame:
     """Hourly usage rows (subscriber x day x hour grain)."""
     amt = cents("value")
     et = F.col("event_type")
     return events.select(
         F.col("user_id").alias("analytic_id"),
-        F.to_date("ts").alias("ddate"),
-        F.col("ts").alias("date_id"),
+        usage_day().alias("ddate"),
+        usage_day().alias("date_id"),
         F.hour("ts").alias("hour_id"),
         amt.alias("data_vol_kb"),
         F.minute("ts").cast("double").alias("data_usg_minute"),
@@ -212,7 +223,7 @@ def app_usage(events: DataFrame) -> DataFrame:
     """Application usage rows; the event type is the application."""
     return events.select(
         F.col("user_id").alias("analytic_id"),
-        F.last_day("ts").alias("last_date"),
+        F.last_day(usage_day()).alias("last_date"),
         F.col("event_type").alias("application"),
         cents("value").alias("volume_ul_kb"),
         (F.hour("ts") * 100).cast("double").alias("volume_dw_kb"),
