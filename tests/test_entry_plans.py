@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lodestar.plans.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -19,8 +20,8 @@ def test_keys_consistent():
     qs, sqls = entry.queries(), entry.oracle_sql()
     assert set(sqls) <= set(qs)
     assert len(qs) >= 30
-    assert set(qs) - set(sqls) == {"downsample", "hash_split", "train_score", "training_pipeline",
-                                   "scoring_pipeline"}
+    assert set(QUERIES) - set(ORACLE) == FLOWS
+    assert set(QUERIES) <= set(qs)
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +38,7 @@ def _norm(v):
     return v.isoformat() if hasattr(v, "isoformat") else repr(v)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle_matches_at_sf0001(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     cols = sorted(df.columns)
@@ -50,7 +51,7 @@ def test_oracle_matches_at_sf0001(spark, duck, name):
     assert got == exp
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - FLOWS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - FLOWS))
 def test_plans_have_no_cartesian_or_nested_loop(spark, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
