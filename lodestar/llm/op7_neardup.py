@@ -48,7 +48,7 @@ from lodestar.llm.textnum import doc_chunks, inside, mix, sequence_hash, text_bu
 MISS = 1e-5
 WIDTH = 5                  # symbols per chunk; a key holds four of them, 64 bits
 LONG, LONG_SIGMAS = 1024, 5.0
-BLOCK_ROWS = 256
+BLOCK_ROWS = 2048
 CHUNK_BYTES = 4 << 20
 _U = np.uint64
 
