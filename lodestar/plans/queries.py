@@ -9,7 +9,7 @@ check also proves the rewritten plans equal the literal ones.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +18,7 @@ from lodestar.functions.calendar import day_period, weekday_label
 from lodestar.functions.months import date_range_filter, shift_month_end, shift_month_start, yyyymm
 from lodestar.operators import derive, household, impute, label, lags, pivot, rank, reduce, sample
 from lodestar.operators import model as _model
-from lodestar.plans import prepare
+from lodestar.plans import prepare, scoring, training
 from lodestar.operators.evaluate import auc_from_roc, gains_lift, roc_table
 from lodestar.plans.oracle_sql import DAY_PERIOD_SQL, WEEKDAY_SQL, pivot_sql, q, with_ctes
 from lodestar.plans.registry import ORACLE, QUERIES, register, round_cols  # noqa: F401
@@ -29,10 +29,9 @@ from lodestar.sources.standin import TestTables
 LABEL_BEGIN, LABEL_END = date(1996, 1, 1), date(1996, 12, 31)
 SCORING_MONTH = date(2001, 7, 31)
 STORED_UNTIL, LAST_MONTH = date(1996, 12, 31), date(2100, 1, 31)
+TRAIN_AS_OF, SCORE_AS_OF = date(1996, 3, 15), date(1996, 6, 15)
 APP_LIST = ["click", "purchase", "view", "refund"]   # a saved training list
-PROFILE_LAG_COLS = ["norms_net_revenue_avg_3mth_p0_p2", "norms_net_revenue_gprs",
-                    "norms_net_revenue_vas", "norms_net_revenue_voice"]
-PACK_LAG_COLS = ["data_traffic_subs_mb", "mou_ic_total", "mou_og_total", "distinct_out_number"]
+PROFILE_LAG_COLS, PACK_LAG_COLS = training.PROFILE_LAG_COLS, training.PACK_LAG_COLS
 HH_COLS = household.HOUSEHOLD_COLS
 LAG_BASES = PROFILE_LAG_COLS + HH_COLS + PACK_LAG_COLS
 
@@ -93,12 +92,11 @@ def q_household_features(spark, sf_dir):
 def q_append_month(spark, sf_dir):
     """AG9 IO6: the mart written in three runs (late months, all months, the
     same again) and read back: backfilled, no month twice."""
-    from lodestar.plans.scoring import update_mart
     t = TestTables(spark, sf_dir)
     target, members = _work(spark, "mart"), t.household_members()
-    update_mart(members.filter(F.col("ddate") > F.lit(STORED_UNTIL)), target, LAST_MONTH)
-    update_mart(members, target, LAST_MONTH)
-    update_mart(members, target, LAST_MONTH)
+    scoring.update_mart(members.filter(F.col("ddate") > F.lit(STORED_UNTIL)), target, LAST_MONTH)
+    scoring.update_mart(members, target, LAST_MONTH)
+    scoring.update_mart(members, target, LAST_MONTH)
     back = spark.read.schema(household_mart(t).schema).parquet(target)
     return round_cols(back, _STD, 2)
 
@@ -431,37 +429,50 @@ def q_avg_and_slope(spark, sf_dir):
 _STAR_BEGIN, _STAR_END = date(1995, 11, 1), date(1996, 10, 31)
 
 
-def _star_sql() -> str:
-    pc = ", ".join(prepare.PROFILE_COLS)
-    kc = ", ".join(prepare.PACK_COLS)
-    feat_cols = ([c for c in prepare.PROFILE_COLS if c not in ("analytic_id", "crm_sub_id", "ddate")]
-                 + [c for c in prepare.PACK_COLS if c not in ("analytic_id", "ddate")]
-                 + ["register_date", "home_analytic_id", "geo_home_shape_id"] + HH_COLS)
-    wide = ([f"{a}_{x}" for _, _, x in pivot.APP_MEASURES for a in APP_LIST]
-            + [f"{v}_{m}" for m in pivot.USAGE_PIVOT_ORDER for v in pivot.WEEKDAY_PERIODS])
-    rng = f"ddate >= DATE '{_STAR_BEGIN}' AND ddate < DATE '1996-11-01'"
-    return (_TRIPLES_SQL + _RESOLVED_SQL["earliest"] + "\n, labels AS (" + _ATTACH_SQL + ")\n" + f"""
-, prof AS (SELECT {pc} FROM profile p
-           WHERE charge_type = 'Post-paid' AND mobile_status = 'Active' AND {rng}
-             AND EXISTS (SELECT 1 FROM labels l WHERE l.crm_sub_id = p.crm_sub_id
-                         AND l.prof_month = p.ddate))
-, pk AS (SELECT {kc} FROM pack k WHERE {rng}
+_WIDE_COLS = ([f"{a}_{x}" for _, _, x in pivot.APP_MEASURES for a in APP_LIST]
+              + [f"{v}_{m}" for m in pivot.USAGE_PIVOT_ORDER for v in pivot.WEEKDAY_PERIODS])
+_FEAT_COLS = ([c for c in prepare.PROFILE_COLS if c not in ("analytic_id", "crm_sub_id", "ddate")]
+              + [c for c in prepare.PACK_COLS if c not in ("analytic_id", "ddate")]
+              + ["register_date", "home_analytic_id", "geo_home_shape_id"] + HH_COLS + _WIDE_COLS)
+_STAR_TABLES = ["contacts", "profile", "pack", "hh_members", "hourly_usage", "app_usage"]
+
+
+def _labels_sql(begin, end) -> str:
+    """Labels of the campaign months from ``begin`` to ``end``, earliest mode."""
+    triples = _TRIPLES_SQL.replace(str(LABEL_BEGIN), str(begin)).replace("1997-01-01", str(end + timedelta(days=1)))
+    return triples + _RESOLVED_SQL["earliest"] + "\n, labels AS (" + _ATTACH_SQL + ")\n"
+
+
+def _feat_sql(begin, end, keep: str) -> str:
+    """Population (``keep`` filters profile rows ``p``) joined to all sources."""
+    rng = f"ddate >= DATE '{begin}' AND ddate <= DATE '{end}'"
+    return f"""
+, prof AS (SELECT {", ".join(prepare.PROFILE_COLS)} FROM profile p
+           WHERE charge_type = 'Post-paid' AND mobile_status = 'Active' AND {rng} AND {keep})
+, pk AS (SELECT {", ".join(prepare.PACK_COLS)} FROM pack k WHERE {rng}
          AND EXISTS (SELECT 1 FROM prof f WHERE f.analytic_id = k.analytic_id AND f.ddate = k.ddate))
 , hh AS (SELECT * FROM hh_mart h WHERE {rng}
          AND EXISTS (SELECT 1 FROM prof f WHERE f.analytic_id = h.analytic_id AND f.ddate = h.ddate))
-, feat AS (SELECT prof.crm_sub_id, prof.ddate, {", ".join(f"{c}" for c in feat_cols)}
-                  , {", ".join(q(c) for c in wide)}
+, feat AS (SELECT prof.analytic_id, prof.crm_sub_id, prof.ddate, {", ".join(q(c) for c in _FEAT_COLS)}
            FROM prof LEFT JOIN pk USING (analytic_id, ddate) LEFT JOIN hh USING (analytic_id, ddate)
            LEFT JOIN (SELECT * RENAME (last_date AS ddate) FROM app_pivot) USING (analytic_id, ddate)
            LEFT JOIN (SELECT * RENAME (month_id AS ddate) FROM usage_pivot) USING (analytic_id, ddate))
+"""
+
+
+_LABELLED = "EXISTS (SELECT 1 FROM labels l WHERE l.crm_sub_id = p.crm_sub_id AND l.prof_month = p.ddate)"
+_LABELLED_SQL = f"""
 SELECT l.crm_sub_id, l.camp_response, l.cam_month, l.prof_month, l.analytic_id,
-       {", ".join("f." + q(c) for c in feat_cols + wide)}
+       {", ".join("f." + q(c) for c in _FEAT_COLS)}
 FROM labels l LEFT JOIN feat f ON f.crm_sub_id = l.crm_sub_id AND f.ddate = l.prof_month
-WHERE l.crm_sub_id IS NOT NULL""")
+WHERE l.crm_sub_id IS NOT NULL"""
 
 
-@register("feature_star", with_ctes(["contacts", "profile", "pack", "hh_members", "hourly_usage", "app_usage"],
-                                    _HH_MART_CTES + _USAGE_PIVOT_SQL + _APP_PIVOT_SQL + _star_sql()))
+def _star_sql() -> str:
+    return _labels_sql(LABEL_BEGIN, LABEL_END) + _feat_sql(_STAR_BEGIN, _STAR_END, _LABELLED) + _LABELLED_SQL
+
+
+@register("feature_star", with_ctes(_STAR_TABLES, _HH_MART_CTES + _USAGE_PIVOT_SQL + _APP_PIVOT_SQL + _star_sql()))
 def q_feature_star(spark, sf_dir):
     """JO1 JO2 JO3 JO8 JO9 PR1 PR2: labelled feature table (prep step)."""
     t = TestTables(spark, sf_dir)
@@ -663,7 +674,6 @@ def q_gains_lift(spark, sf_dir):
 # ------------------------------------------------- sampling, model, flows
 # (no oracle for fitted trees; the tests check them by invariants)
 
-TRAIN_AS_OF, SCORE_AS_OF = date(1996, 3, 15), date(1996, 6, 15)
 
 
 def _doc_features(t: TestTables):
@@ -772,34 +782,96 @@ def q_run_log(spark, sf_dir):
 
 def _sources(t: TestTables, work: str, through):
     """The flows' input tables (the household mart is built and stored first)."""
-    from lodestar.plans.scoring import update_mart
-    from lodestar.plans.training import Sources
-    update_mart(t.household_members(), f"{work}/hh_mart", through)
+    scoring.update_mart(t.household_members(), f"{work}/hh_mart", through)
     house = t.spark.read.parquet(f"{work}/hh_mart")
-    return Sources(contacts=t.contacts(), profile=t.profile(), pack=t.pack(), house=house,
+    return training.Sources(contacts=t.contacts(), profile=t.profile(), pack=t.pack(), house=house,
                    apps=t.app_usage(), usage=t.hourly_usage(), owners=t.owners(),
                    fraud=t.fraud(), call_times=t.call_times())
 
 
+def _final_sql(base: str, month: str, ids: list[str]) -> str:
+    """Lags, cleansing and derived features over the CTE ``base`` whose feature
+    month is ``month``: one join per history and lag, one step per CTE."""
+    lag_cols = [f"{c}_p{k}" for k in (1, 2) for c in LAG_BASES]
+    sel, joins = [], []
+    for k in (1, 2):
+        for table, alias, cols in _LAG_HIST:
+            a = f"{alias}{k}"
+            sel += [f"{a}.{c} AS {c}_p{k}" for c in cols]
+            joins.append(f"LEFT JOIN {table} {a} ON {a}.analytic_id = b.analytic_id "
+                         f"AND {a}.ddate = last_day(b.{month} - INTERVAL {k} MONTH)")
+    zero = (["days_active", "service_month"] + PROFILE_LAG_COLS + training.PACK_NUMERIC + HH_COLS + _WIDE_COLS)
+    recode = _recode_sql()
+    recode = recode[recode.index("       coalesce(age, m.a)"):recode.rindex("FROM b2, m")]
+    for c in _FILL_ZERO:
+        recode = recode.replace(f"coalesce({c}, 0) AS {c}, ", "").replace(f"coalesce({c}, 0) AS {c},", "")
+    avg = [f"({b} + {b}_p1 + {b}_p2) / 3.0::DOUBLE AS {n}" for n, b in derive.AVG_FEATURES]
+    slope = [f"coalesce({b} / nullif(({b}_p1 + {b}_p2) / 2.0::DOUBLE, 0) - 1.0::DOUBLE, 0) AS {n}"
+             for n, b in derive.SLOPE_FEATURES]
+    named = (ids + ["age", "handset_launchprice", "credit_limit", "mnp_flag", "gender", "handset_os", "new_pack_cat",
+                    "serenade"] + zero)
+    return f"""
+, lagged AS (SELECT b.*, {", ".join(sel)} FROM {base} b {" ".join(joins)})
+, c0 AS (SELECT * REPLACE (TRY_CAST(age AS DOUBLE) AS age) FROM lagged WHERE analytic_id IS NOT NULL)
+, m AS (SELECT avg(age) AS a, avg(handset_launchprice) AS h, avg(credit_limit) AS c FROM c0)
+, clean AS (SELECT {", ".join(ids)}, {", ".join(f"coalesce({q(c)}, 0) AS {q(c)}" for c in zero + lag_cols)},
+{recode} FROM c0, m)
+SELECT {", ".join(q(c) for c in named)},
+       {", ".join(avg)},
+       {", ".join(slope)}
+FROM clean"""
+
+
+def _feature_sources(t: TestTables, work: str):
+    """All sources, the household mart with its deviations rounded to cents."""
+    house = tables.checkpoint_table(household_mart(t), f"{work}/house")
+    return training.Sources(contacts=t.contacts(), profile=t.profile(), pack=t.pack(), house=house,
+                            apps=t.app_usage(), usage=t.hourly_usage(), owners=t.owners())
+
+
+_TRAIN_IDS = ["analytic_id", "crm_sub_id", "camp_response", "national_id", "register_date"]
+
+
+@register("training_features", with_ctes(_STAR_TABLES, _HH_MART_CTES + _USAGE_PIVOT_SQL + _APP_PIVOT_SQL
+          + _labels_sql(*label.label_window(TRAIN_AS_OF))
+          + _feat_sql(*prepare.feature_window(TRAIN_AS_OF, 4, True), _LABELLED)
+          + ", dt AS (" + _LABELLED_SQL + ")" + _final_sql("dt", "prof_month", _TRAIN_IDS)))
+def q_training_features(spark, sf_dir):
+    """The training flow up to the model: labels, star, lags, cleansing, derived
+    features, from all five sources."""
+    work = _work(spark, "training-features")
+    src = _feature_sources(TestTables(spark, sf_dir), work)
+    return training.build_features(src, TRAIN_AS_OF, APP_LIST, work)[0]
+
+
+@register("scoring_features", with_ctes(_STAR_TABLES + ["owners"], _HH_MART_CTES + _USAGE_PIVOT_SQL + _APP_PIVOT_SQL
+          + _feat_sql(*prepare.feature_window(SCORE_AS_OF, 1, False), """NOT EXISTS (
+              SELECT 1 FROM owners o WHERE o.national_id = p.national_id
+              AND o.ddate = (SELECT max(ddate) FROM owners))""")
+          + _final_sql("feat", "ddate", [c for c in _TRAIN_IDS if c != "camp_response"])))
+def q_scoring_features(spark, sf_dir):
+    """The scoring flow up to the model, means fitted on the scoring month."""
+    work = _work(spark, "scoring-features")
+    src = _feature_sources(TestTables(spark, sf_dir), work)
+    return scoring.build_features(src, SCORE_AS_OF, APP_LIST, work)[0]
+
+
 @register("training_pipeline")
 def q_training_pipeline(spark, sf_dir):
     """Training flow end to end; returns the hold-out gains table."""
     from lodestar.functions.months import month_end
-    from lodestar.plans.training import run_training
     t = TestTables(spark, sf_dir)
     work = _work(spark, "training")
     src = _sources(t, work, month_end(TRAIN_AS_OF, 1))
-    return run_training(spark, src, TRAIN_AS_OF, APP_LIST, work)["gains"]
+    return training.run_training(spark, src, TRAIN_AS_OF, APP_LIST, work)["gains"]
 
 
 @register("scoring_pipeline")
 def q_scoring_pipeline(spark, sf_dir):
     """Scoring flow end to end (after a training run); returns the campaign file."""
     from lodestar.functions.months import month_end
-    from lodestar.plans.scoring import run_scoring
-    from lodestar.plans.training import run_training
     t = TestTables(spark, sf_dir)
     work = _work(spark, "scoring")
     src = _sources(t, work, month_end(SCORE_AS_OF, 1))
-    run_training(spark, src, TRAIN_AS_OF, APP_LIST, work)
-    return run_scoring(src, SCORE_AS_OF, work, f"{work}/scoring")
+    training.run_training(spark, src, TRAIN_AS_OF, APP_LIST, work)
+    return scoring.run_scoring(src, SCORE_AS_OF, work, f"{work}/scoring")
