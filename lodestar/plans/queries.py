@@ -29,6 +29,7 @@ from lodestar.sources.standin import TestTables
 LABEL_BEGIN, LABEL_END = date(1996, 1, 1), date(1996, 12, 31)
 SCORING_MONTH = date(2001, 7, 31)
 STORED_UNTIL, LAST_MONTH = date(1996, 12, 31), date(2100, 1, 31)
+TREE_FITS = ("train_score", "training_pipeline", "scoring_pipeline")    # 400 trees each
 TRAIN_AS_OF, SCORE_AS_OF = date(1996, 3, 15), date(1996, 6, 15)
 APP_LIST = ["click", "purchase", "view", "refund"]   # a saved training list
 PROFILE_LAG_COLS, PACK_LAG_COLS = training.PROFILE_LAG_COLS, training.PACK_LAG_COLS

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -65,6 +68,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, so task
+    functions can import it wherever the driver was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    buffer = Path(tempfile.mkdtemp(prefix="lodestar-code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(buffer, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(buffer))
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for written tables."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
