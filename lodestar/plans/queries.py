@@ -616,7 +616,7 @@ def q_campaign_list(spark, sf_dir):
     """MO10 PR8 PR9: scores + call time -> ranked 9-column campaign list."""
     from lodestar.operators.campaign import campaign_list
     t = TestTables(spark, sf_dir)
-    return campaign_list(reduce.attach_call_time(t.scores(), t.call_times()))
+    return campaign_list(t.scores(), call_times=t.call_times())
 
 
 # -------------------------------------------------------------- evaluation

@@ -67,8 +67,8 @@ def run_scoring(src: Sources, as_of, train_dir: str, work_dir: str, fraud_cut: i
     score_path = f"{work_dir}/scores"
     tables.write_scores(scored, score_path)
     back = tables.read_delimited(spark, score_path, scored.schema, ",")
-    with_time = (reduce.attach_call_time(back, src.call_times) if src.call_times is not None
-                 else back.withColumn("time2call", F.lit("anytime")))
-    cl = campaign_list(with_time)
+    if src.call_times is None:
+        back = back.withColumn("time2call", F.lit("anytime"))
+    cl = campaign_list(back, call_times=src.call_times)
     path = tables.export_list(cl, out_dir or f"{work_dir}/campaign", as_of)
     return tables.read_delimited(spark, path, cl.schema, "|")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.months import month_end
 from lodestar.operators import derive, household, impute, label, lags, model, pivot, sample
 from lodestar.operators.evaluate import gains_lift, roc_table
+from lodestar.operators.profile import assert_unique
 from lodestar.plans import prepare
 from lodestar.sources import tables
 
@@ -64,9 +65,19 @@ def history(src: Sources):
             (src.pack, PACK_LAG_COLS)]
 
 
+def check_histories(src: Sources) -> None:
+    """Every join and lag takes profile, household mart and pack as unique on
+    (subscriber, month); this reads them once each and raises if they aren't."""
+    for table in (src.profile, src.house, src.pack):
+        assert_unique(table, ["analytic_id", "ddate"])
+
+
 def build_features(src: Sources, as_of, app_values, work_dir: str, lag_shift: int = 0,
-                   label_mode: str = "earliest", means=None, allow_missing: bool = False):
+                   label_mode: str = "earliest", means=None, allow_missing: bool = False,
+                   check_keys: bool = False):
     """Labelled, cleansed, derived training table (checkpointed) and fitted means."""
+    if check_keys:
+        check_histories(src)
     lb, le = label.label_window(as_of, 1 + lag_shift)
     labels = label.campaign_labels(src.contacts, src.profile, lb, le, mode=label_mode)
     # The labels and the reduced population are read by every later step
