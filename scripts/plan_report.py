@@ -13,10 +13,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from lodestar.plans.queries import QUERIES, TREE_FITS  # noqa: E402
 from lodestar.session import local_session  # noqa: E402
 
-SKIP = {"training_pipeline", "scoring_pipeline", "train_score"}   # these run jobs while planning
+SKIP = set(TREE_FITS)   # these fit whole tree ensembles while planning
 
 
 def main():
@@ -26,7 +26,7 @@ def main():
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     print("| query | shuffles | of which reused | broadcasts | sort-merge joins | windows | single-partition | scans | pushed filters |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         if name in SKIP:
             continue
         p = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
