@@ -237,12 +237,18 @@ def read_ids(spark: SparkSession, out: str) -> DataFrame:
                     if len(got) != n:
                         raise ValueError("a frame does not hold the ids its index states")
                     crc.append(zlib.crc32(got.astype("<u4").tobytes()))
+                n = len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64(), mask=~known), pa.array(r["start"] + np.cumsum(counts) - counts, pa.int64()),
-                     pa.array(counts, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return (shards.join(starts, ["part", "seq"]).select("n_docs", "dict_hash", "index", "payload", "start")
-            .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+                    [pa.array(np.full(n, r["part"], np.int32)), pa.array(np.full(n, r["seq"], np.int32)),
+                     pa.array(ids, pa.int64(), mask=~known), pa.array(np.cumsum(counts) - counts),
+                     pa.array(counts, pa.int64()), pa.array(crc, pa.int64())],
+                    ["part", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"])
+
+    # decoded where the shard is read: only narrow rows meet the starts
+    rows = shards.select("part", "seq", "n_docs", "dict_hash", "index", "payload").mapInArrow(
+        run, "part int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    return rows.join(starts, ["part", "seq"]).select(
+        "doc_id", (F.col("start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def read_document(spark: SparkSession, out: str, doc_id: int) -> list[int] | None:
