@@ -7,10 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.session import ensure_checkpoint_dir, shared_dir
+from lodestar.session import shared_dir
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-DOCUMENT_DDL = "doc_id long, text string, lang string, source string, n_chars long"
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +36,38 @@ def text_bytes(df: DataFrame, text: str = "text") -> int:
     return df.select(F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0))).first()[0]
 
 
-def checkpoint_ready(spark: SparkSession) -> None:
-    ensure_checkpoint_dir(spark)
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows from here on: batches of
+    whole texts are what fills an executor's memory outside the heap.  The
+    session keeps a smaller setting of its own."""
+    if int(spark.conf.get(BATCH_CONF)) > BATCH_ROWS or int(spark.conf.get(BATCH_CONF)) <= 0:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+
+
+FILTER_BITS = 1 << 23
+
+
+def possible(rows: DataFrame, key, members: DataFrame, member_key, bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` with ``_maybe``: false only where ``key`` is in no row of
+    ``members``.  The members set bits of a bitmap of fixed size (1 MB, the one
+    thing broadcast), so wide rows that can't match never enter a join."""
+    def slot(k):
+        return F.pmod(F.xxhash64(k), F.lit(bits)) + 1
+
+    bitmap = members.select(slot(member_key).alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    byte = F.expr("cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int)")
+    hit = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(_at % 8 as int))")) != 0, F.lit(False))
+    return (rows.withColumns({"_bucket": F.bitmap_bucket_number(slot(key)), "_at": F.bitmap_bit_position(slot(key))})
+            .join(F.broadcast(bitmap), "_bucket", "left").withColumn("_maybe", hit).drop("_bucket", "_at", "_bits"))
+
+
+def without(rows: DataFrame, key, members: DataFrame, member_key) -> DataFrame:
+    """``rows`` whose key is in no row of ``members`` (null keys stay).  Only
+    rows that the bitmap can't clear are shuffled."""
+    marked = possible(rows, key, members, member_key)
+    unsure = marked.filter("_maybe").drop("_maybe").join(members, key == member_key, "left_anti")
+    return marked.filter("not _maybe").drop("_maybe").unionByName(unsure)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

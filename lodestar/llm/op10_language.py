@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import documents
+from lodestar.llm.common import bounded_batches, documents
 from lodestar.llm.sparse import Rows, descend, sigmoid, stratified
 from lodestar.llm.textnum import LOWER, doc_chunks, text_buffer
 
@@ -186,6 +186,8 @@ def fit(docs: DataFrame) -> Model | None:
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row."""
+    bounded_batches(docs.sparkSession)
+
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

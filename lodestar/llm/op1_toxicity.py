@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import documents, table
+from lodestar.llm.common import bounded_batches, documents, table
 from lodestar.llm.op5_decontaminate import _WORD
 from lodestar.llm.sparse import Rows, descend, sigmoid, stratified
 from lodestar.llm.textnum import LOWER, doc_chunks, mix, span_hashes, text_buffer, words
@@ -170,6 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame):
 def severity(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     """(row, severity, grade, toxic): ``row`` holds the input row as a struct,
     so no column of it can clash with the others."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     src = docs.select(F.struct("*").alias("row"))
     number = docs.columns.index(text_col)

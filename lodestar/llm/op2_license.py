@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import documents
+from lodestar.llm.common import bounded_batches, documents
 
 # Notices of common licenses.
 TEMPLATES = {
@@ -147,6 +147,8 @@ _FOUND = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("license", pa.s
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_blocks, found): confirmed notices of every row, with span,
     license, size reduction and differences in wording."""
+    bounded_batches(docs.sparkSession)
+
     def run(batches):
         known: dict[str, tuple | None] = {}
         for batch in batches:

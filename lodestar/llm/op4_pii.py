@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import documents, stored
+from lodestar.llm.common import bounded_batches, documents, stored
 
 KINDS = ("email", "ip", "card", "phone", "ctx")
 ROUNDS, PRIOR, LEAST_SCORE, LEAST_SUPPORT, MIN_DIGITS = 3, 2.0, 0.6, 5, 3
@@ -45,7 +45,6 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"\S+")
@@ -103,6 +102,15 @@ def _patterns(text: str, start: int) -> list[str]:
     return [f"w1:{left[-1]}"] + [f"w2:{' '.join(left)}"] * (len(left) == 2) if left else []
 
 
+def _overlaps(base: list[tuple[int, int, int]], i: int, start: int, end: int) -> bool:
+    """Whether a base span from number ``i`` on overlaps [start, end)."""
+    while i < len(base) and base[i][0] < end:
+        if base[i][2] > start:
+            return True
+        i += 1
+    return False
+
+
 def instances(text: str, base: list[tuple[int, int, int]]):
     """(start, end, instance, seed, patterns) of seeds and look-alikes."""
     out = [(s, e, text[s:e].lower(), True, _patterns(text, s)) for s, _, e in base]
@@ -116,7 +124,7 @@ def instances(text: str, base: list[tuple[int, int, int]]):
             e = m.end() - (len(token) - len(token.rstrip(_EDGE)))
             while i < len(base) and base[i][2] <= s:
                 i += 1
-            if s >= e or any(b[0] < e and s < b[2] for b in base[i:i + 8]):
+            if s >= e or _overlaps(base, i, s, e):
                 continue
             found = _patterns(text, m.start())
             keyed = _KEYED.fullmatch(text, s, e)
@@ -143,7 +151,6 @@ def _scan(batches):
             b = base_spans(text)
             base.append([{"s": s, "k": k, "e": e} for s, k, e in b])
             sha.append(hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in b).encode()).hexdigest())
-            # an instance longer than a line of text is no identifier
             seen.append([{"s": s, "e": e, "instance": i, "seed": seed, "patterns": p}
                          for s, e, i, seed, p in instances(text, b) if p])
         yield pa.RecordBatch.from_arrays(
@@ -170,6 +177,7 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, base, base_sha256, added): spans as arrays of (s, k, e)."""
+    bounded_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = stored(src.mapInArrow(_scan, _FOUND).withColumn("row", F.monotonically_increasing_id()), "op4-found")
     seen = found.select("row", F.explode("seen").alias("x")).select("row", "x.*")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import documents, stored, table
+from lodestar.llm.common import bounded_batches, documents, stored, table
 from lodestar.llm.textnum import LOWER, doc_chunks, inside, mix, text_buffer, windows, words
 
 MASKS = ("1010010111", "1100101011", "1101011001")
@@ -134,6 +134,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, l
                   item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(row, contaminated, n_items, best_share, items): ``row`` holds the input
     row as a struct, so no column of it can clash with the others."""
+    bounded_batches(docs.sparkSession)
     span = max(map(len, MASKS))
     cur = docs.select(F.struct("*").alias("row"), F.lit(0.0).alias("best_share"), F.array().cast("array<long>").alias("items"))
     schema = cur.schema

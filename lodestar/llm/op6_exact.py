@@ -28,15 +28,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import documents, stored
+from lodestar.llm.common import FILTER_BITS, documents, possible, stored
 from lodestar.operators.skew import salted_join_back
 
 PREFIX_CHARS = 64
-BITMAP_BITS = 1 << 23
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 prefix_chars: int = PREFIX_CHARS, bitmap_bits: int = BITMAP_BITS,
+                 prefix_chars: int = PREFIX_CHARS, bitmap_bits: int = FILTER_BITS,
                  digest_all: bool = False) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of every row.
 
@@ -48,17 +47,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # level 1: lengths that repeat; level 2: (length, prefix) classes that repeat
     by_len = first.groupBy("len").agg(F.sum("count").alias("n")).filter("n > 1").select("len")
     classes = first.join(by_len, "len", "left_semi").filter("count > 1")
-    bit = F.pmod(F.xxhash64("len", "prefix"), F.lit(bitmap_bits)) + 1
-    bitmap = classes.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    byte = F.expr("cast(conv(hex(substring(bits, cast(at div 8 as int) + 1, 1)), 16, 10) as int)")
-    suspect = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(at % 8 as int))")) != 0, F.lit(False))
     full = F.sha2("t", 256)        # level 3: full content
-    rows = stored(base.withColumns({"len": length, "prefix": prefix})
-                  .withColumns({"bucket": F.bitmap_bucket_number(bit), "at": F.bitmap_bit_position(bit)})
-                  .join(F.broadcast(bitmap), "bucket", "left").withColumn("suspect", suspect)
-                  .select("doc_id", "len", "suspect",
-                          (full if digest_all else F.when(F.col("suspect"), full)).alias("text_sha256")), "op6-rows")
+    marked = possible(base.withColumns({"len": length, "prefix": prefix}), F.struct("len", "prefix"),
+                      classes.select("len", "prefix"), F.struct("len", "prefix"), bitmap_bits)
+    rows = stored(marked.select("doc_id", "len", F.col("_maybe").alias("suspect"),
+                                (full if digest_all else F.when(F.col("_maybe"), full)).alias("text_sha256")), "op6-rows")
     keys = ["len", "text_sha256"]
     groups = (rows.filter("suspect").groupBy(keys)
               .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))

@@ -42,14 +42,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import components, documents, stored
+from lodestar.llm.common import bounded_batches, components, documents, possible, stored
 from lodestar.llm.textnum import doc_chunks, inside, mix, sequence_hash, text_buffer, windows, words
 
 MISS = 1e-5
-WIDTH = 5                  # symbols per chunk; a key holds four of them, 64 bits
+MOST_KEYS = 60             # keys a document that wider chunks may cost
 LONG, LONG_SIGMAS = 1024, 5.0
 BLOCK_ROWS = 2048
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _U = np.uint64
 
 
@@ -62,10 +62,15 @@ def plan_signature(threshold: float, miss: float = MISS) -> tuple[int, int]:
 
     def tail(n: int, least: int, p: float) -> float:
         return sum(math.comb(n, k) * p**k * (1 - p)**(n - k) for k in range(least, n + 1))
-    chunks = 4
-    while tail(chunks * WIDTH, 2 * chunks, 1 - threshold) > miss:
-        chunks += 1
-    return chunks, WIDTH
+    def least_chunks(width: int) -> int:
+        chunks = 4
+        while tail(chunks * width, 2 * chunks, 1 - threshold) > miss:
+            chunks += 1
+        return chunks
+
+    # keys of four symbols where they are cheap, else of three
+    wide = least_chunks(5)
+    return (wide, 5) if wide * 5 <= MOST_KEYS else (least_chunks(4), 4)
 
 
 def shingle_sets(buf, offs, k: int):
@@ -182,7 +187,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(rep, set, n, long): full sorted sets and long signatures of ``ids``."""
+    """(rep, set, n, long): full sorted sets and long signatures of ``ids``,
+    made where the texts are scanned; texts never cross a shuffle."""
     def run(batches):
         for batch in batches:
             buf, offs = text_buffer(batch.column(1))
@@ -198,7 +204,8 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -
                      pa.array(n, pa.int64()), pa.array(longs, pa.binary())], ["rep", "set", "n", "long"])
 
     src = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    return src.join(ids, "rep", "left_semi").mapInArrow(run, "rep long, set binary, n long, long binary")
+    kept = possible(src, F.col("rep"), ids, F.col("rep")).filter("_maybe").select("rep", "text")
+    return kept.mapInArrow(run, "rep long, set binary, n long, long binary").join(ids, "rep", "left_semi")
 
 
 def _block_pairs(blocks: DataFrame, threshold: float, chunks: int, width: int) -> DataFrame:
@@ -262,6 +269,7 @@ def _pair_batch(found):
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
+    bounded_batches(docs.sparkSession)
     chunks, width = plan_signature(threshold)
     distance = 2 * chunks - 1
     marks = stored(signatures(docs, k, threshold, id_col, text_col), "op7-marks")
@@ -274,7 +282,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8,
     # a rep repeats only if one doc_id has several texts: all of them count
     star = buckets.filter("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     near = stored(_close(star, reps, threshold, distance), "op7-near")
-    sets = stored(_sets(docs, buckets.select("rep").distinct(), k, id_col, text_col), "op7-sets")
+    sets = stored(_sets(docs, stored(buckets.select("rep").distinct(), "op7-wanted"), k, id_col, text_col), "op7-sets")
     edges = stored(_confirmed(near, sets, threshold), "op7-edges")
     comp = components(edges)
     # round 2: buckets that still hold several components beside their first
@@ -305,3 +313,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8,
 
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=3, threshold=0.85)
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents)
+, g AS (SELECT DISTINCT doc_id, s FROM (
+            SELECT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3) t
+            UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) IN (1, 2)) u)
+, n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id)
+, pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+           FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+, link AS (SELECT x, y FROM pair JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+           WHERE 100 * shared >= 85 * (nx.n + ny.n - shared))
+, reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y)
+, comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, comp.c AS component_id, d.doc_id = comp.c AS kept
+FROM d JOIN comp ON comp.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

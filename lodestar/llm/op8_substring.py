@@ -367,3 +367,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK,
 def query(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
+, win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13) t)
+, first AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g)
+, gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (
+              SELECT win.doc_id, unnest(range(win.i, win.i + 13)) AS p
+              FROM win JOIN first ON win.g = first.g AND first.m < win.doc_id) t GROUP BY doc_id)
+, word AS (SELECT d.doc_id, d.w[i] AS x, i, list_contains(coalesce(ps, []), i) AS cut
+           FROM (SELECT d.doc_id, d.w, gone.ps, unnest(range(1, len(d.w) + 1)) AS i
+                 FROM d LEFT JOIN gone ON gone.doc_id = d.doc_id) d)
+, kept AS (SELECT doc_id, count(*) FILTER (WHERE cut) AS n, string_agg(x, ' ' ORDER BY i) FILTER (WHERE NOT cut) AS t
+           FROM word GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(kept.n, 0) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

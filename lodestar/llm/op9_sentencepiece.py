@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import documents
+from lodestar.llm.common import bounded_batches, documents
 from lodestar.llm.segments import SegmentEncoder
 from lodestar.llm.textnum import doc_chunks, ragged_take, text_buffer
 
@@ -147,6 +147,8 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): ids of every whole text, as unsigned 32-bit
     little-endian binary."""
+    bounded_batches(docs.sparkSession)
+
     def run(batches):
         p = pieces(path)
         for batch in batches:

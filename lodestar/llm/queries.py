@@ -22,4 +22,6 @@ QUERIES = {
 
 ORACLE = {
     "op6_exact_dedup": op6_exact.ORACLE,
+    "op7_minhash_neardup": op7_neardup.ORACLE,
+    "op8_substring_dedup": op8_substring.ORACLE,
 }

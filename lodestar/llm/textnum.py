@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20                    # bytes (or words) hashed at a time
+PIECE = 1 << 18                    # bytes (or words) hashed at a time
 _U = np.uint64
 _BASE_BYTES, _BASE_WORDS = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 

@@ -61,7 +61,7 @@ def test_near_duplicates(spark, k, threshold):
 def test_signature_plan():
     for t in (0.7, 0.8, 0.85, 0.95):
         chunks, width = op7_neardup.plan_signature(t)
-        assert chunks >= 4 and width == op7_neardup.WIDTH
+        assert chunks >= 4 and width in (4, 5)
     with pytest.raises(ValueError):
         op7_neardup.plan_signature(0.3)
 
