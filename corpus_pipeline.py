@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import op1_toxicity, op5_decontaminate, op6_exact, op7_neardup, op9_sentencepiece
-from lodestar.llm.common import documents, stored, table
+from lodestar.llm.common import documents, stored, table, without
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
@@ -30,14 +30,15 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     that repeat a doc_id and text, one."""
     found = stored(op6_exact.exact_groups(docs, digest_all=True)
                    .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept"), "pipeline-exact")
-    tagged = docs.select(F.struct("*").alias("row")).withColumns({
-        "id": F.col("row.doc_id"), "sha": F.sha2(F.coalesce("row.text", F.lit("")), 256)})
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha"))
-    rest = tagged.join(found.filter("not kept").select("_id", "_sha").distinct(), same, "left_anti")
-    again = found.filter("kept").groupBy("_id", "_sha").count().filter("count > 1").select("_id", "_sha")
+    tagged = docs.select(F.struct("*").alias("row")).withColumn("key", F.struct(
+        F.col("row.doc_id").alias("id"), F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("sha")))
+    keyed = F.struct(F.col("_id").alias("id"), F.col("_sha").alias("sha"))
+    gone = found.filter("not kept").select(keyed.alias("_key")).distinct()
+    rest = without(tagged, F.col("key"), gone, F.col("_key"))
+    again = found.filter("kept").groupBy("_id", "_sha").count().filter("count > 1").select(keyed.alias("_key"))
     if not again.isEmpty():
-        rest = rest.join(again, same, "left_anti").unionByName(
-            rest.join(again, same, "left_semi").dropDuplicates(["id", "sha"]))
+        once = rest.join(again, F.col("key") == F.col("_key"), "left_semi").dropDuplicates(["key"])
+        rest = without(rest, F.col("key"), again, F.col("_key")).unionByName(once)
     return rest.select("row.*")
 
 
@@ -45,8 +46,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the smallest doc_id."""
     found = op7_neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILARITY)
     gone = found.filter("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(gone, F.col("row.doc_id") == F.col("_id"), "left_anti").select("row.*")
+    rows = docs.select(F.struct("*").alias("row")).withColumn("key", F.col("row.doc_id"))
+    return without(rows, F.col("key"), stored(gone, "pipeline-gone"), F.col("_id")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
