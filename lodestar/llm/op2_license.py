@@ -2,16 +2,19 @@
 
 1. *Candidates.*  Every line of every whole text that holds a cue word
    belongs to a candidate block; adjoining such lines form one block.  A line
-   over ``LONG_LINE`` characters is cut into sentences first.
-2. *Rank.*  The block is compressed by itself and with each license template
-   as a raw zstandard dictionary.  What the template takes off the size, as a
-   share, ranks the templates: the more of the block's wording it explains,
+   over ``LONG_LINE`` characters is cut into sentences first.  A cue line is
+   judged with ``REACH`` words on both sides, so a notice may be wrapped.
+2. *Rank.*  These words are compressed by themselves and with each license
+   template as a raw zstandard dictionary.  What the template takes off the
+   size, as a share, ranks the templates: the more of the wording it explains,
    the smaller the result.
-3. *Confirm.*  The ranked templates are laid beside the block word by word,
-   in rank order; those within ``NEAR_SHARE`` of the best reduction compete
-   and the fewest differing words win.  The winner counts when at least
-   ``LEAST_MATCH`` of its words stand in the block in order; the words missing
-   and added are returned as the exact differences in wording.
+3. *Confirm.*  The ranked templates are laid beside the words one by one, in
+   rank order; those within ``NEAR_SHARE`` of the best reduction compete and
+   the fewest differing words win; where none of them is confirmed, the next
+   ones do.  The winner counts when at least ``LEAST_MATCH`` of its words stand
+   there in order and, if it leaves the cue line, the words added between them
+   are at most the share that may be missing; the words missing and added are
+   returned as the exact differences in wording.
 
 Everything happens in the scan; nothing is shuffled and only the templates
 (a fixed list) travel to the tasks.
@@ -19,13 +22,18 @@ Everything happens in the scan; nothing is shuffled and only the templates
 Defined cases: null and empty texts have no block; rows are judged one by
 one, repeated or not; ties between templates go to the fewest differences,
 then the name; an empty table gives an empty result; other columns are
-ignored.  Offsets are code points, the end exclusive.
+ignored.  Spans run from a notice's first to its last word that stands in the
+template, with the punctuation after it; offsets are code points, the end
+exclusive.
 """
 
 from __future__ import annotations
 
 import difflib
+import math
 import re
+from bisect import bisect_left, bisect_right
+from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
@@ -46,8 +54,20 @@ TEMPLATES = {
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
     "cc0-1.0": "To the extent possible under law, the author has dedicated all copyright to the public domain.",
     "gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                      "General Public License as published by the Free Software Foundation; either version 2 of the "
+                      "License, or (at your option) any later version.",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                      "General Public License as published by the Free Software Foundation, either version 3 of the "
+                      "License, or (at your option) any later version.",
+    "lgpl-2.1-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                       "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                       "the License, or (at your option) any later version.",
     "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "lgpl-3.0-notice": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                       "Lesser General Public License as published by the Free Software Foundation, either version 3 of "
+                       "the License, or (at your option) any later version.",
     "mit": "Released under the MIT License.",
     "mit-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
                   "associated documentation files",
@@ -58,12 +78,14 @@ CUES = ("licen", "copyright", "permission", "redistribut", "warrant", "public do
 LONG_LINE = 2000
 LEAST_MATCH, NEAR_SHARE = 0.8, 0.15
 LEVEL = 19
-STORED = 20_000              # distinct blocks remembered per worker
+STORED = 20_000              # distinct cue lines with the words around remembered per worker
 
 _SENTENCE = re.compile(r"(?<=[.;!?])\s+")
 _WORDS = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 _COMPRESS: dict[str | None, zstandard.ZstdCompressor] = {}
 _TEMPLATE_WORDS = {k: _WORDS.findall(t.lower()) for k, t in TEMPLATES.items()}
+# the longest stretch that a template may fill outside its cue line
+REACH = math.ceil((2 - LEAST_MATCH) * max(map(len, _TEMPLATE_WORDS.values())))
 
 
 def _size(block: bytes, name: str | None) -> int:
@@ -74,58 +96,117 @@ def _size(block: bytes, name: str | None) -> int:
     return len(_COMPRESS[name].compress(block))
 
 
-def differences(template: list[str], block: list[str]) -> tuple[list[str], list[str], int]:
-    """(words missing, words added inside the matched stretch, words in order)."""
-    missing, added, same = [], [], 0
-    ops = difflib.SequenceMatcher(None, template, block, autojunk=False).get_opcodes()
-    for n, (op, a, b, c, d) in enumerate(ops):
-        if op == "equal":
-            same += b - a
+def differences(template: list[str], words: list[str]):
+    """(words missing, words added inside the matched stretch, words in order,
+    start, end of the stretch), or None without a common word."""
+    runs = [r for r in difflib.SequenceMatcher(None, template, words, autojunk=False).get_matching_blocks() if r.size]
+    best = None
+    for i in range(len(runs)):             # a far word that happens to agree isn't part of the stretch
+        same = 0
+        for j in range(i, len(runs)):
+            same += runs[j].size
+            start, end = runs[i].b, runs[j].b + runs[j].size
+            cost = end - start - 3 * same  # words missing and added against words in order
+            if best is None or cost < best[0]:
+                best = cost, i, j, same, start, end
+    if best is None:
+        return None
+    _, i, j, same, start, end = best
+    at = {a for r in runs[i:j + 1] for a in range(r.a, r.a + r.size)}
+    held = {b for r in runs[i:j + 1] for b in range(r.b, r.b + r.size)}
+    missing = [w for a, w in enumerate(template) if a not in at]
+    return missing, [words[b] for b in range(start, end) if b not in held], same, start, end
+
+
+@lru_cache(maxsize=STORED)
+def _winner(raw: str, lo: int, hi: int):
+    """(license, missing, added, start, end) of the best confirmed notice among
+    the words of ``raw``, whose cue line is words lo to hi; or None."""
+    data, words = raw.encode(), [w.lower() for w in _WORDS.findall(raw)]
+    plain = _size(data, None)
+    best, found = None, []
+    for share, name in sorted(((plain - _size(data, t)) / plain, t) for t in TEMPLATES)[::-1]:
+        if best is None or share < best - NEAR_SHARE:
+            if found:
+                break
+            best = share                   # nothing confirmed so far: the next ones compete
+        template = _TEMPLATE_WORDS[name]
+        match = differences(template, words)
+        if match is None:
             continue
-        missing += template[a:b]
-        if 0 < n < len(ops) - 1:           # what stands before or after is not part of the notice
-            added += block[c:d]
-    return missing, added, same
+        missing, added, same, start, end = match
+        tight = (lo <= start and end <= hi) or len(added) <= len(template) - math.ceil(LEAST_MATCH * len(template))
+        if same >= LEAST_MATCH * len(template) and tight:
+            # a longer notice explains more words, so matched words count against differences
+            found.append((len(missing) + len(added) - same, name, missing, added, start, end))
+    return min(found)[1:] if found else None
+
+
+def _reduction(stretch: str, name: str) -> float:
+    plain = _size(stretch.encode(), None)
+    return (plain - _size(stretch.encode(), name)) / plain
 
 
 def classify(block: str):
     """(license, reduction, missing, added) of a block, or None."""
-    raw, words = block.encode(), _WORDS.findall(block.lower())
-    plain = _size(raw, None)
-    ranked = sorted(((plain - _size(raw, t)) / plain, t) for t in TEMPLATES)[::-1]
-    best = ranked[0][0]
-    found = []
-    for share, name in ranked:
-        if share <= 0 or share < best - NEAR_SHARE:
-            break
-        missing, added, same = differences(_TEMPLATE_WORDS[name], words)
-        if same >= LEAST_MATCH * len(_TEMPLATE_WORDS[name]):
-            # a longer notice explains more words, so matched words count against differences
-            found.append((len(missing) + len(added) - same, name, share, missing, added))
-    if not found:
-        return None
-    _, name, share, missing, added = min(found)
-    return name, share, missing, added
+    won = _winner(block, 0, len(_WORDS.findall(block)))
+    return won and (won[0], _reduction(block, won[0]), *won[1:3])
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
-    """(start, end) of candidate blocks."""
+def notices(text: str) -> tuple[int, list[tuple]]:
+    """(number of blocks, [(start, end, license, reduction, missing, added)])."""
+    lines = cue_lines(text)
+    if not lines:
+        return 0, []
+    spans = [m.span() for m in _WORDS.finditer(text)]
+    starts, ends = [a for a, _ in spans], [b for _, b in spans]
+    out, done = [], 0                      # words before ``done`` belong to a notice already
+    for _, _, a, b in lines:
+        lo, hi = max(bisect_right(ends, a), done), bisect_left(starts, b)
+        if lo >= hi:
+            continue
+        first, last = max(lo - REACH, done), min(hi + REACH, len(spans))
+        won = _winner(text[starts[first]:ends[last - 1]], lo - first, hi - first)
+        if won is None or first + won[4] <= lo or first + won[3] >= hi:
+            continue                       # a notice of other lines comes up with its own cue line
+        name, missing, added, start, end = won
+        x, y, done = starts[first + start], ends[first + end - 1], first + end
+        while y < len(text) and not text[y].isalnum() and not text[y].isspace():
+            y += 1
+        out.append((x, y, name, _reduction(text[x:y], name), missing, added))
+    return len(merged(lines)), out
+
+
+def cue_lines(text: str) -> list[tuple[int, int, int, int]]:
+    """(start, end, from, to): lines, or sentences of a long line, that hold a
+    cue, and what of them is judged at once: all, or each cue of a long one."""
     low = text.lower()
-    at = sorted({i for cue in CUES for i in _all(low, cue)})
+    at = sorted({(i, i + len(cue)) for cue in CUES for i in _all(low, cue)})
     if not at:
         return []
     if len(low) != len(text):              # a letter changed its length: look again, place by place
-        at = sorted({m.start() for cue in CUES for m in re.finditer(re.escape(cue), text, re.I)})
-    out: list[list[int]] = []
-    for i in at:
-        if out and i < out[-1][1]:
+        at = sorted({m.span() for cue in CUES for m in re.finditer(re.escape(cue), text, re.I)})
+    out: list[tuple[int, int, int, int]] = []
+    line, cuts = (-1, -1), []
+    for i, j in at:
+        if out and i < out[-1][3]:
             continue
-        start, end = text.rfind("\n", 0, i) + 1, text.find("\n", i)
-        end = len(text) if end < 0 else end
-        if end - start > LONG_LINE:
-            cuts = [start] + [m.end() for m in _SENTENCE.finditer(text, start, end)] + [end]
-            k = max(j for j, c in enumerate(cuts) if c <= i and j < len(cuts) - 1)
-            start, end = cuts[k], cuts[k + 1]
+        if i >= line[1]:
+            end = text.find("\n", i)
+            line = text.rfind("\n", 0, i) + 1, len(text) if end < 0 else end
+            cuts = [line[0], line[1]]
+            if line[1] - line[0] > LONG_LINE:
+                cuts[1:1] = [m.end() for m in _SENTENCE.finditer(text, *line)]
+        k = min(bisect_right(cuts, i), len(cuts) - 1)
+        start, end = cuts[k - 1], cuts[k]
+        out.append((start, end, *((start, end) if end - start <= LONG_LINE else (i, j))))
+    return out
+
+
+def merged(lines) -> list[tuple[int, int]]:
+    """Adjoining lines as one block."""
+    out: list[list[int]] = []
+    for start, end, *_ in lines:
         if out and start <= out[-1][1] + 1:
             out[-1][1] = end
         else:
@@ -133,6 +214,11 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def blocks(text: str) -> list[tuple[int, int]]:
+    """(start, end) of candidate blocks."""
+    return merged(cue_lines(text))
+
+
 def _all(text: str, cue: str):
     i = text.find(cue)
     while i >= 0:
@@ -142,6 +228,7 @@ def _all(text: str, cue: str):
 
 _FOUND = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("license", pa.string()), ("reduction", pa.float64()),
                     ("missing", pa.list_(pa.string())), ("added", pa.list_(pa.string()))])
+_FOUND_NAMES = [f.name for f in _FOUND]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,23 +237,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     bounded_batches(docs.sparkSession)
 
     def run(batches):
-        known: dict[str, tuple | None] = {}
         for batch in batches:
             n, found = [], []
             for t in batch.column(1):
-                text, rows = t.as_py() or "", []
-                spans = blocks(text)
-                for a, b in spans:
-                    block = text[a:b]
-                    if block not in known:
-                        if len(known) >= STORED:
-                            known.clear()
-                        known[block] = classify(block)
-                    if known[block] is not None:
-                        name, share, missing, added = known[block]
-                        rows.append({"start": a, "end": b, "license": name, "reduction": share, "missing": missing, "added": added})
-                n.append(len(spans))
-                found.append(rows)
+                held, rows = notices(t.as_py() or "")
+                n.append(held)
+                found.append([dict(zip(_FOUND_NAMES, x)) for x in rows])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(found, pa.list_(_FOUND))],
                                              ["doc_id", "n_blocks", "found"])
 

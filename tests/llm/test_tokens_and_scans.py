@@ -1,4 +1,5 @@
 import re
+import textwrap
 import uuid
 import zlib
 from collections import Counter
@@ -202,3 +203,42 @@ def test_licenses(spark):
 def test_every_template_wins_on_its_own_wording(name):
     won, share, missing, added = op2_license.classify(op2_license.TEMPLATES[name])
     assert (won, missing, added) == (name, [], []) and share > 0.3
+
+
+@pytest.mark.parametrize("name", sorted(op2_license.TEMPLATES))
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_wrapped_templates_are_found(name, mark):
+    notice = "\n".join(textwrap.wrap(op2_license.TEMPLATES[name], 72, initial_indent=mark, subsequent_indent=mark))
+    text = f"first words of a file\n\nsome {'other words ' * 30}\n{notice}\nand {'more of them ' * 30}"
+    for t in (notice, text):
+        _, [(start, end, won, share, missing, added)] = op2_license.notices(t)
+        assert (won, missing, added) == (name, [], []) and share > 0.3
+        assert t[start:end] == notice[len(mark):]
+
+
+def test_whole_license_headers():
+    mit = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+    bsd = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+"""
+    for text, name in ((mit, "mit-notice"), (bsd, "bsd")):
+        assert [(x[2], x[4], x[5]) for x in op2_license.notices(text)[1]] == [(name, [], [])]
+    # words that agree but lie apart are no notice
+    far = "It was released in May " + "and some words " * 8 + "\nunder the " + "other words " * 8 + "\nof a driving license\n"
+    assert op2_license.notices(far)[1] == []
