@@ -15,6 +15,9 @@
    there in order and, if it leaves the cue line, the words added between them
    are at most the share that may be missing; the words missing and added are
    returned as the exact differences in wording.
+4. *Go on.*  The winner's stretch is taken out and the words before and after
+   it are ranked and confirmed anew until nothing is confirmed: a text holds as
+   many notices as stand in it, however close.
 
 Everything happens in the scan; nothing is shuffled and only the templates
 (a fixed list) travel to the tasks.
@@ -165,16 +168,25 @@ def notices(text: str) -> tuple[int, list[tuple]]:
         lo, hi = max(bisect_right(ends, a), done), bisect_left(starts, b)
         if lo >= hi:
             continue
-        first, last = max(lo - REACH, done), min(hi + REACH, len(spans))
-        won = _winner(text[starts[first]:ends[last - 1]], lo - first, hi - first)
-        if won is None or first + won[4] <= lo or first + won[3] >= hi:
-            continue                       # a notice of other lines comes up with its own cue line
-        name, missing, added, start, end = won
-        x, y, done = starts[first + start], ends[first + end - 1], first + end
-        while y < len(text) and not text[y].isalnum() and not text[y].isspace():
-            y += 1
-        out.append((x, y, name, _reduction(text[x:y], name), missing, added))
-    return len(merged(lines)), out
+        pieces = [(max(lo - REACH, done), min(hi + REACH, len(spans)))]
+        while pieces:
+            p, q = pieces.pop()
+            if p >= q or q <= lo or p >= hi:
+                continue                   # no word of the line is left
+            won = _winner(text[starts[p]:ends[q - 1]], lo - p, hi - p)
+            if won is None:
+                continue
+            name, missing, added, first, last = won
+            first, last = first + p, last + p
+            pieces += [(last, q), (p, first)]
+            if last <= lo or first >= hi:
+                continue                   # a notice of other lines comes up with its own cue line
+            done = max(done, last)
+            x, y = starts[first], ends[last - 1]
+            while y < len(text) and not text[y].isalnum() and not text[y].isspace():
+                y += 1
+            out.append((x, y, name, _reduction(text[x:y], name), missing, added))
+    return len(merged(lines)), sorted(out)
 
 
 def cue_lines(text: str) -> list[tuple[int, int, int, int]]:

@@ -242,3 +242,48 @@ modification, are permitted provided that the following conditions are met:
     # words that agree but lie apart are no notice
     far = "It was released in May " + "and some words " * 8 + "\nunder the " + "other words " * 8 + "\nof a driving license\n"
     assert op2_license.notices(far)[1] == []
+
+
+NAMES = sorted(op2_license.TEMPLATES)
+
+
+@pytest.mark.parametrize("between", ["\n", " ", "\n\n", " or, at your choice,\n"])
+def test_two_notices_side_by_side(between):
+    for a, b in [("mit", "apache-2.0"), ("apache-2.0", "mit"), ("mit", "mit"), ("gpl-2.0", "gpl-3.0"), ("cc-by-4.0", "cc-by-nc-4.0"),
+                 ("bsd", "mit-notice"), ("gpl-2.0-notice", "lgpl-3.0-notice")]:
+        text = op2_license.TEMPLATES[a] + between + op2_license.TEMPLATES[b]
+        got = op2_license.notices(text)[1]
+        assert [(x[2], x[4], x[5]) for x in got] == [(a, [], []), (b, [], [])], (a, b)
+        assert [text[x[0]:x[1]].rstrip(",") for x in got] == [op2_license.TEMPLATES[a], op2_license.TEMPLATES[b]]
+
+
+@pytest.mark.parametrize("between", ["\n", " ", "\n* "])
+def test_a_list_of_licenses(spark, between):
+    text = between.join(op2_license.TEMPLATES[k] for k in NAMES * 3)
+    got = op2_license.scan(brute.frame(spark, [(1, text, "en", None, 1)])).collect()[0]
+    assert [x.license for x in got.found] == NAMES * 3
+
+
+def test_a_license_header_is_one_notice():
+    gpl = op2_license.TEMPLATES["gpl-2.0-notice"] + """
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY
+WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with
+this program; if not, see <https://www.gnu.org/licenses/>.
+"""
+    apache = op2_license.TEMPLATES["apache-2.0-notice"] + """
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+    for text, name in ((gpl, "gpl-2.0-notice"), (apache, "apache-2.0-notice")):
+        assert [x[2] for x in op2_license.notices(text)[1]] == [name]
