@@ -3,8 +3,11 @@
 A mask such as ``1010010111`` hashes the words at its ones and ignores the
 others, so a copied passage still matches where words were replaced.  The
 three masks are chosen so that every window of 13 words with any two words
-replaced holds an untouched seed (tests enumerate all 78 cases): no overlap
-that the check below accepts is missed.
+replaced holds an untouched seed (tests enumerate all 78 cases).  An item
+shorter than the window has masks of its own length besides, enough of them
+to leave one untouched by any substitutions that the check accepts
+(``cover``; tests enumerate lengths 10 to 12): no overlap that the check below
+accepts is missed.
 
 The benchmark is a query set: it is read in blocks of at most
 ``BLOCK_BYTES`` of text, and each block is matched against all documents in
@@ -27,6 +30,8 @@ empty tables give clean or empty results; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -63,10 +68,28 @@ def spaced(h: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mix(out)
 
 
+@lru_cache(maxsize=None)
+def cover(size: int, most: int) -> tuple[str, ...]:
+    """Masks of ``size`` words, with as many ones as ``MASKS`` have where that
+    can be, such that any ``most`` replaced words leave one of them untouched."""
+    blanks = [frozenset(b) for b in combinations(range(size), max(most, size - MASKS[0].count("1")))]
+    left, out = {frozenset(c) for c in combinations(range(size), most)}, []
+    while left:
+        best = max(blanks, key=lambda b: sum(c <= b for c in left))
+        left = {c for c in left if not c <= best}
+        out.append("".join("0" if j in best else "1" for j in range(size)))
+    return tuple(out)
+
+
+def accepted(size: int, least_share: float) -> int:
+    """Most replaced words of ``size`` that the check accepts."""
+    return max(n for n in range(size + 1) if n == 0 or size - n >= least_share * size)
+
+
 class Block:
     """Seeds of some benchmark items, ready to be looked up."""
 
-    def __init__(self, ids: list, texts: list[str], min_words: int):
+    def __init__(self, ids: list, texts: list[str], min_words: int, window: int = WINDOW, least_share: float = LEAST_SHARE):
         buf, offs = text_buffer(pa.array(texts, pa.large_string()))
         self.h, self.ptr = _words(buf, offs)
         self.ids, n = ids, np.diff(self.ptr)
@@ -77,6 +100,10 @@ class Block:
             pos, item = inside(self.ptr, len(mask))
             long = n[item] >= span
             self._add(mask, spaced(self.h, mask, number)[pos[long]], pos[long], item[long])
+        for size in sorted({int(x) for x in n if span <= x < min(window, WINDOW)}):
+            item = np.flatnonzero(n == size)
+            for mask in cover(size, accepted(size, least_share)):
+                self._add(mask, spaced(self.h, mask, len(self.seeds))[self.ptr[item]], self.ptr[item], item)
         for size in self.whole:
             item = np.flatnonzero(n == size)
             self._add(size, windows(self.h, size)[self.ptr[item]], self.ptr[item], item)
@@ -117,16 +144,16 @@ class Block:
         return int((same[size:] - same[:-size]).max()), size
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, min_words: int) -> Iterator[Block]:
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, *limits) -> Iterator[Block]:
     ids, texts, size = [], [], 0
     for r in benchmark.select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).toLocalIterator():
         if texts and size + len(r.t) > BLOCK_BYTES:
-            yield Block(ids, texts, min_words)
+            yield Block(ids, texts, *limits)
             ids, texts, size = [], [], 0
         ids.append(r.i)
         texts.append(r.t)
         size += len(r.t)
-    yield Block(ids, texts, min_words)
+    yield Block(ids, texts, *limits)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE,
@@ -139,7 +166,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, l
     cur = docs.select(F.struct("*").alias("row"), F.lit(0.0).alias("best_share"), F.array().cast("array<long>").alias("items"))
     schema = cur.schema
     number = docs.columns.index(text_col)
-    for turn, block in enumerate(_blocks(benchmark, item_col, item_text, min_words)):
+    for turn, block in enumerate(_blocks(benchmark, item_col, item_text, min_words, window, least_share)):
         shared = docs.sparkSession.sparkContext.broadcast(block)     # at most BLOCK_BYTES of text
 
         def run(batches, shared=shared):

@@ -3,6 +3,7 @@ import textwrap
 import uuid
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -287,3 +288,27 @@ limitations under the License.
 """
     for text, name in ((gpl, "gpl-2.0-notice"), (apache, "apache-2.0-notice")):
         assert [x[2] for x in op2_license.notices(text)[1]] == [name]
+
+
+@pytest.mark.parametrize("size", [10, 11, 12])
+def test_masks_of_short_items_cover_every_accepted_substitution(size):
+    most = op5_decontaminate.accepted(size, op5_decontaminate.LEAST_SHARE)
+    assert most == 2
+    masks = op5_decontaminate.cover(size, most)
+    assert all(len(m) == size and m.count("1") == op5_decontaminate.MASKS[0].count("1") for m in masks)
+    for n in range(most + 1):
+        for gone in combinations(range(size), n):
+            assert any(all(m[j] == "0" for j in gone) for m in masks), gone
+
+
+def test_short_items_with_replaced_words(spark):
+    items = [(n, " ".join(f"item{n}x{j}" for j in range(n))) for n in (10, 11, 12)]
+    rows = []
+    for n, q in items:
+        for gone in [c for most in range(4) for c in combinations(range(n), most)]:
+            text = " ".join("other" if j in gone else w for j, w in enumerate(q.split()))
+            rows.append((len(rows), text if len(gone) % 2 else f"before it {text} and after", None, None, None))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.row.doc_id: list(r["items"]) for r in op5_decontaminate.contamination(brute.frame(spark, rows), bench).collect()}
+    want = {i: [k for k, q in items if brute.leaks(t, q)] for i, t, *_ in rows}
+    assert got == want and sum(map(len, want.values())) == sum(1 + n + n * (n - 1) // 2 for n in (10, 11, 12))
