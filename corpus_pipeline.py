@@ -43,11 +43,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the smallest doc_id."""
+    """One document of each near-duplicate group: the smallest doc_id.  Rows are
+    known by doc_id and text, as one doc_id may have several texts."""
     found = op7_neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILARITY)
-    gone = found.filter("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row")).withColumn("key", F.col("row.doc_id"))
-    return without(rows, F.col("key"), stored(gone, "pipeline-gone"), F.col("_id")).select("row.*")
+    gone = found.filter("not kept").select(F.struct(F.col("doc_id").alias("id"), "text_hash").alias("_key")).distinct()
+    rows = docs.select(F.struct("*").alias("row")).withColumn("key", F.struct(
+        F.col("row.doc_id").cast("long").alias("id"), op7_neardup.text_hash(F.col("row.text")).alias("text_hash")))
+    return without(rows, F.col("key"), stored(gone, "pipeline-gone"), F.col("_key")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

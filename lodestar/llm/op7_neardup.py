@@ -13,7 +13,8 @@ threshold exceeds that distance with a chance below 1e-5.
 Work stays linear in the size of a group:
 
 * documents with equal sets form a class first; only its representative
-  (smallest doc_id) goes on;
+  (smallest doc_id) goes on; where a doc_id stands for several classes, all
+  but one go on under a hash of (doc_id, set), so its texts stay apart;
 * round 1 links each bucket's members to the bucket's smallest member only,
   the links are confirmed on full sets, and components are formed;
 * round 2 takes buckets that still hold several components.  A bucket is
@@ -30,7 +31,9 @@ full shingle sets.  No bucket or candidate is capped.
 
 Defined cases: null or empty text (or no words) has an empty set, size 0,
 and is its own component; a null doc_id is never linked; repeated rows form
-one class; an empty table gives an empty result; other columns are ignored.
+one class; of different texts under one doc_id each has the component of its
+own text, and one class of a component is kept; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,6 +53,7 @@ MOST_KEYS = 60             # keys a document that wider chunks may cost
 LONG, LONG_SIGMAS = 1024, 5.0
 BLOCK_ROWS = 2048
 CHUNK_BYTES = 2 << 20
+SET_KEY = ["n", "f1", "f2"]
 _U = np.uint64
 
 
@@ -105,8 +109,18 @@ def _signature(values, ptr, n_symbols: int) -> np.ndarray:
     return out
 
 
+def _fingerprints(values, at):
+    """The two halves of a set's fingerprint, for sets starting ``at``."""
+    return (np.add.reduceat(mix(values ^ _U(0x5851F42D4C957F2D)), at), np.add.reduceat(mix(values ^ _U(0x14057B7EF767814F)), at))
+
+
+def text_hash(text):
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def signatures(docs: DataFrame, k: int, threshold: float, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, n, f1, f2, sig): set size, 128-bit set fingerprint, signature."""
+    """(doc_id, n, f1, f2, sig, text_hash): set size, 128-bit set fingerprint, signature."""
     chunks, width = plan_signature(threshold)
 
     def run(batches):
@@ -119,16 +133,16 @@ def signatures(docs: DataFrame, k: int, threshold: float, id_col="doc_id", text_
                 f1, f2, sig = np.zeros(b - a, _U), np.zeros(b - a, _U), [b""] * (b - a)
                 if len(full):
                     at = ptr[full]
-                    f1[full] = np.add.reduceat(mix(v ^ _U(0x5851F42D4C957F2D)), at)
-                    f2[full] = np.add.reduceat(mix(v ^ _U(0x14057B7EF767814F)), at)
+                    f1[full], f2[full] = _fingerprints(v, at)
                     for i, s in zip(full, _signature(v, np.append(at, len(v)), chunks * width)):
                         sig[i] = s.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(f1.view(np.int64)),
-                     pa.array(f2.view(np.int64)), pa.array(sig, pa.binary())], ["doc_id", "n", "f1", "f2", "sig"])
+                     pa.array(f2.view(np.int64)), pa.array(sig, pa.binary()), batch.column(2).slice(a, b - a)],
+                    ["doc_id", "n", "f1", "f2", "sig", "text_hash"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sig binary")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("text_hash"))
+    return src.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sig binary, text_hash long")
 
 
 def _keys(reps: DataFrame, chunks: int, width: int) -> DataFrame:
@@ -187,8 +201,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(rep, set, n, long): full sorted sets and long signatures of ``ids``,
-    made where the texts are scanned; texts never cross a shuffle."""
+    """(rep, set, n, long): full sorted sets and long signatures of the classes
+    ``ids`` (rep, doc_id, n, f1, f2), made where the texts are scanned; texts
+    never cross a shuffle."""
     def run(batches):
         for batch in batches:
             buf, offs = text_buffer(batch.column(1))
@@ -196,16 +211,20 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -
                 ptr, v = shingle_sets(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a], k)
                 n, longs = np.diff(ptr), [b""] * (b - a)
                 full = np.flatnonzero(n > 0)
+                f1, f2 = np.zeros(b - a, _U), np.zeros(b - a, _U)
                 if len(full):
+                    f1[full], f2[full] = _fingerprints(v, ptr[full])
                     for i, x in zip(full, _signature(v, np.append(ptr[full], len(v)), LONG).astype(np.uint8)):
                         longs[i] = x.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array([v[i:j].tobytes() for i, j in zip(ptr[:-1], ptr[1:])], pa.binary()),
-                     pa.array(n, pa.int64()), pa.array(longs, pa.binary())], ["rep", "set", "n", "long"])
+                     pa.array(n, pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array(longs, pa.binary())],
+                    ["doc_id", "set", "n", "f1", "f2", "long"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    kept = possible(src, F.col("rep"), ids, F.col("rep")).filter("_maybe").select("rep", "text")
-    return kept.mapInArrow(run, "rep long, set binary, n long, long binary").join(ids, "rep", "left_semi")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    kept = possible(src, F.col("doc_id"), ids, F.col("doc_id")).filter("_maybe").select("doc_id", "text")
+    return (kept.mapInArrow(run, "doc_id long, set binary, n long, f1 long, f2 long, long binary")
+            .join(ids, ["doc_id", *SET_KEY]).select("rep", "set", "n", "long"))
 
 
 def _block_pairs(blocks: DataFrame, threshold: float, chunks: int, width: int) -> DataFrame:
@@ -268,21 +287,29 @@ def _pair_batch(found):
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+    """(doc_id, n_shingles, component_id, kept, text_hash) of every row;
+    (doc_id, text_hash) names the row where a doc_id has several texts."""
     bounded_batches(docs.sparkSession)
     chunks, width = plan_signature(threshold)
     distance = 2 * chunks - 1
     marks = stored(signatures(docs, k, threshold, id_col, text_col), "op7-marks")
-    set_key = ["n", "f1", "f2"]
-    reps = stored(marks.filter("n > 0 and doc_id is not null").groupBy(set_key)
-                  .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "op7-reps")
+    reps = stored(marks.filter("n > 0 and doc_id is not null").groupBy(SET_KEY)
+                  .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
+                  .withColumn("rep", F.col("doc_id")), "op7-reps")
+    several = (reps.groupBy("doc_id").agg(F.min(F.struct(*SET_KEY)).alias("main"), F.count(F.lit(1)).alias("size"))
+               .filter("size > 1").select("doc_id", "main"))
+    if not several.isEmpty():
+        other = F.col("main").isNotNull() & (F.struct(*SET_KEY) != F.col("main"))
+        reps = stored(reps.join(several, "doc_id", "left").withColumn(
+            "rep", F.when(other, F.xxhash64("doc_id", *SET_KEY)).otherwise(F.col("doc_id"))).drop("main"), "op7-reps")
+    classes = reps.select("rep", "doc_id", *SET_KEY)
     keys = _keys(reps, chunks, width)
     shared = keys.groupBy("key").agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     buckets = stored(keys.join(shared.select("key", "first"), "key"), "op7-buckets")
-    # a rep repeats only if one doc_id has several texts: all of them count
     star = buckets.filter("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     near = stored(_close(star, reps, threshold, distance), "op7-near")
-    sets = stored(_sets(docs, stored(buckets.select("rep").distinct(), "op7-wanted"), k, id_col, text_col), "op7-sets")
+    wanted = stored(classes.join(buckets.select("rep").distinct(), "rep", "left_semi"), "op7-wanted")
+    sets = stored(_sets(docs, wanted, k, id_col, text_col), "op7-sets")
     edges = stored(_confirmed(near, sets, threshold), "op7-edges")
     comp = components(edges)
     # round 2: buckets that still hold several components beside their first
@@ -302,17 +329,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8,
               .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
     more = _confirmed(stored(_block_pairs(blocks, threshold, chunks, width), "op7-near2"), sets, threshold)
     comp = components(edges.unionByName(more))
-    final = reps.join(comp, F.col("rep") == F.col("node"), "left").select(
-        *set_key, F.coalesce("component", "rep").alias("component"))
-    return (marks.select("doc_id", *set_key).join(final, set_key, "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component"))
-                    .otherwise(F.col("doc_id")).alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    comp = comp.join(classes, F.col("node") == F.col("rep")).select("rep", "component", F.struct("doc_id", *SET_KEY).alias("own"))
+    lead = comp.groupBy("component").agg(F.min("own").alias("lead"))
+    linked = comp.join(lead, "component").select("rep", F.col("lead.doc_id").alias("component"), (F.col("own") == F.col("lead")).alias("leads"))
+    final = classes.join(linked, "rep", "left").select(
+        *SET_KEY, F.coalesce("component", "doc_id").alias("component"), F.coalesce("leads", F.lit(True)).alias("leads"))
+    placed = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    return (marks.select("doc_id", *SET_KEY, "text_hash").join(final, SET_KEY, "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.when(placed, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+                    F.when(placed, F.col("leads") & (F.col("doc_id") == F.col("component"))).otherwise(True).alias("kept"), "text_hash"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir), k=3, threshold=0.85)
+    return near_duplicates(documents(spark, sf_dir), k=3, threshold=0.85).drop("text_hash")
 
 
 ORACLE = r"""

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from lodestar.llm import op6_exact, op7_neardup, op8_substring
 from lodestar.llm.common import components
 from conftest import SF_SMALL
@@ -90,3 +91,21 @@ def test_components_of_a_long_chain(spark):
 @pytest.mark.parametrize("run", [op6_exact.exact_groups, op7_neardup.near_duplicates, op8_substring.remove_repeats])
 def test_empty_tables(spark, run):
     assert run(brute.frame(spark, [])).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    texts = [" ".join(f"{name}{j}" for j in range(60)) for name in "abcdef"]
+    near = [t.replace("30", "other") for t in texts]
+    rows = [(3, texts[0]), (4, texts[1]), (7, near[0]), (7, near[1]), (7, texts[2]),      # 7: near copies of 3 and 4, and a text of its own
+            (8, texts[3]), (8, near[3]), (8, near[3]),                                    # 8: near copies under one id
+            (2, texts[4]), (2, texts[5]), (9, near[4]), (9, near[5].upper())]
+    docs = brute.frame(spark, [(*r, "en", "s", 1) for r in rows], True)
+    got = op7_neardup.near_duplicates(docs, 5, 0.8)
+    comp = Counter((r.doc_id, r.component_id, r.kept) for r in got.collect())
+    one = comp.pop((8, 8, True))
+    assert comp.pop((8, 8, False)) + one == 3 and one in (1, 2)                           # all rows of one class
+    assert comp == Counter([(3, 3, True), (4, 4, True), (7, 3, False), (7, 4, False), (7, 7, True),
+                            (2, 2, True), (2, 2, True), (9, 2, False), (9, 2, False)])
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, None).collect()]
+    assert sorted(x for x in left if x[0] != 8) == sorted([rows[0], rows[1], rows[4], rows[8], rows[9]])
+    assert len({x for x in left if x[0] == 8}) == 1
