@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from lodestar.llm import (op1_toxicity, op2_license, op3_token_ids, op4_pii, op5_decontaminate, op6_exact,
-                          op7_neardup, op8_substring, op9_sentencepiece, op10_language)
+                          op7_neardup, op8_substring, op9_sentencepiece, op10_language, op11_align, op12_collocations,
+                          op13_simhash)
 
 QUERIES = {
     "op1_toxicity": op1_toxicity.query,
@@ -17,6 +18,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring.query,
     "op9_sentencepiece": op9_sentencepiece.query,
     "op10_language": op10_language.query,
+    "op11_align": op11_align.query,
+    "op12_collocations": op12_collocations.query,
+    "op13_simhash": op13_simhash.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +28,5 @@ ORACLE = {
     "op6_exact_dedup": op6_exact.ORACLE,
     "op7_minhash_neardup": op7_neardup.ORACLE,
     "op8_substring_dedup": op8_substring.ORACLE,
+    "op12_collocations": op12_collocations.ORACLE,
 }

@@ -16,12 +16,14 @@ CONTRACT = {
     "op7_minhash_neardup": ["doc_id", "n_shingles", "component_id", "kept"],
     "op8_substring_dedup": ["doc_id", "n_words", "n_removed", "kept_sha256"],
     "op10_language": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11_align": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+    "op13_simhash": ["doc_id", "fingerprint", "component_id"],
 }
 
 
 def test_one_query_an_operator():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(queries.ORACLE) <= set(queries.QUERIES)
 
@@ -33,7 +35,7 @@ def test_contract_columns(spark, name):
     kinds = dict(got.dtypes)
     for c in CONTRACT[name]:
         want = {"held_out": "boolean", "kept": "boolean", "score": "double"}.get(
-            c, "string" if c in ("spans", "lang_pred") or c.endswith("sha256") else "bigint")
+            c, "string" if c in ("spans", "lang_pred", "fingerprint") or c.endswith("sha256") else "bigint")
         assert kinds[c] == want, c
     assert got.count() == 200
 
@@ -51,6 +53,6 @@ def test_oracles(spark, name):
 
 def test_no_local_checkpoint_and_no_row_limits():
     for module in ("op1_toxicity", "op2_license", "op4_pii", "op5_decontaminate", "op6_exact", "op7_neardup",
-                   "op8_substring", "op9_sentencepiece", "op10_language"):
+                   "op8_substring", "op9_sentencepiece", "op10_language", "op11_align", "op12_collocations", "op13_simhash"):
         source = inspect.getsource(__import__(f"lodestar.llm.{module}", fromlist=["x"]))
         assert "localCheckpoint" not in source and ".limit(" not in source and "crossJoin" not in source
