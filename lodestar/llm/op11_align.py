@@ -36,6 +36,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -199,7 +200,8 @@ def group_digests(a: pa.Table, b: pa.Table, links: pa.Table, n_rows: int):
     def key(t):
         return (t["row"].to_numpy() << 40) | t["end"].to_numpy()
 
-    cuts = np.unique(key(links))
+    cuts = key(links)                          # ascending
+    cuts = cuts[np.append(True, cuts[1:] != cuts[:-1])] if len(cuts) else cuts
     row = cuts >> 40
     text = pc.binary_join_element_wise(_sides(a, "a", key(a), cuts), _sides(b, "b", key(b), cuts), "|")
     ptr = np.searchsorted(row, np.arange(n_rows + 1))
@@ -230,7 +232,7 @@ def _chunk(ids: pa.Array, buf, offs, ta, tb, part: int, seq: int) -> pa.RecordBa
     return pa.RecordBatch.from_arrays(
         [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
          one(np.diff(qa), pa.int64()), one(np.diff(qb), pa.int64()), one(n_groups, pa.int64()), one(n_links, pa.int64()),
-         one(digest, pa.string()), pa.array([at.to_numpy().astype("<u4").tobytes()], pa.binary()),
+         one(digest, pa.string()), pa.array([zstandard.compress(at.to_numpy().astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)], pa.binary()),
          one(counted["pair"].to_numpy(), pa.int64()), one(counted["row_count"].to_numpy(), pa.int64())],
         [c.split()[0] for c in CHUNK_DDL.split(", ")])
 
@@ -253,6 +255,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
             for a, b in doc_chunks(offs, CHUNK_BYTES):
                 yield _chunk(batch.column(0).slice(a, b - a), buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a], ta, tb, part, seq)
                 seq += 1
+                pa.default_memory_pool().release_unused()
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"),
@@ -272,18 +275,21 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
 
 def _finish(batches):
     for batch in batches:
-        for r in batch.to_pylist():
-            count, best = np.zeros(len(r["found"]), np.int64), np.zeros(len(r["found"]), np.int64)
-            at = np.array([x["pos"] for x in r["found"]], np.int64)
-            count[at], best[at] = [x["count"] for x in r["found"]], [x["best"] for x in r["found"]]
-            link = np.frombuffer(r["links"], "<u4").astype(np.int64)
-            row = np.repeat(np.arange(len(r["n_links"])), r["n_links"])
-            sums = [np.zeros(len(r["n_links"]), np.int64) for _ in range(2)]
-            for out, of in zip(sums, (best, count)):
+        for i in range(batch.num_rows):
+            r = {c: batch.column(c)[i].values for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "digest", "found")}
+            pos, n_links = r["found"].field("pos").to_numpy(), r["n_links"].to_numpy()
+            packed = np.frombuffer(zstandard.decompress(batch.column("links")[i].as_py()), np.uint8)
+            link = np.ascontiguousarray(packed.reshape(4, -1).T).view("<u4").ravel()       # planes of bytes
+            row = np.repeat(np.arange(len(n_links)), n_links)
+            sums = []
+            for name in ("best", "count"):
+                of = np.zeros(len(pos), np.int64)
+                of[pos] = r["found"].field(name).to_numpy(zero_copy_only=False)
+                out = np.zeros(len(n_links), np.int64)
                 np.add.at(out, row, of[link])
+                sums.append(out)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(r[c], pa.int64()) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")),
-                 *map(pa.array, sums), pa.array(r["digest"], pa.string())],
+                [*(r[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")), *map(pa.array, sums), r["digest"]],
                 ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
 

@@ -1,10 +1,12 @@
 """Phrase collocations counted in HAT-tries.
 
-Each task counts the phrases of its rows in one trie a language: hash
-containers hold the tails of phrases under a shallow trie over word ids, and a
-container that outgrows ``BURST`` entries is burst into one container for each
-next word.  When a task holds ``MOST_ENTRIES`` phrases, its largest subtrees
-are spilled whole, each as a sorted run; at the end the rest follows.  The
+Each task counts the phrases of its rows in one trie a language: containers of
+hashed phrases under a shallow trie over the ids of their first two words.
+A container starts as the whole trie and is burst in two at a word id when it
+outgrows ``BURST`` entries; a word's subtree becomes a container, then several.
+Phrases are added as columns, a chunk's distinct ones at a time.  When a
+task holds ``MOST_ENTRIES`` phrases, its largest subtrees are spilled whole,
+each as a sorted run; at the end the rest follows.  The
 runs are written to the shared folder, dealt to prefix partitions (ranges of
 the phrases' lexicographic order, so a subtree that is too large for one
 partition is split at a longer prefix) and merged there by summing.
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,7 +43,7 @@ from lodestar.llm.normal import collapsed, spans
 from lodestar.llm.textnum import LOWER, doc_chunks, mix, span_hashes, text_buffer, windows
 
 LEAST, TOP, MOST_WORDS, SCALE, COVERED = 100, 2000, 5, 1000, 100
-BURST, DEPTH, MOST_ENTRIES = 4096, 3, 300_000
+BURST, MOST_ENTRIES, BATCH = 32_768, 1_000_000, 50_000
 CHUNK_BYTES = 4 << 20
 FILTER_BITS = 26
 _U = np.uint64
@@ -51,92 +54,98 @@ _CUT = np.zeros(256, bool)
 _CUT[[ord(c) for c in ".,;:!?"] + [10, 11, 12, 13]] = True
 
 
-class HatTrie:
-    """Counts of phrases (words joined by one blank)."""
-
-    def __init__(self, burst: int = BURST, depth: int = DEPTH):
-        self.burst, self.depth = burst, depth
-        self.ids: dict[bytes, int] = {}
-        self.root = _Node()
-        self.size = 0
-
-    def weight(self) -> int:
-        return max(self.size, len(self.ids))
-
-    def add(self, phrase: bytes, n: int) -> None:
-        node, rest, level = self.root, phrase, 0
-        while True:
-            if not rest:
-                self.size += not node.count
-                node.count += n
-                return
-            if node.kids is None:
-                if node.box is None:
-                    node.box = {}
-                box = node.box
-                old = box.get(rest, 0)
-                box[rest] = old + n
-                if not old:
-                    self.size += 1
-                    if len(box) > self.burst and level < self.depth:
-                        self._burst(node)
-                return
-            word, _, rest = rest.partition(b" ")
-            node, level = self._child(node, word), level + 1
-
-    def _child(self, node: _Node, word: bytes) -> _Node:
-        i = self.ids.setdefault(word, len(self.ids))
-        if i not in node.kids:
-            node.kids[i] = _Node()
-        return node.kids[i]
-
-    def _burst(self, node: _Node) -> None:
-        box, node.box, node.kids = node.box, None, {}
-        for tail, n in box.items():
-            word, _, rest = tail.partition(b" ")
-            kid = self._child(node, word)
-            if not rest:
-                kid.count = n
-            elif kid.box is None:
-                kid.box = {rest: n}
-            else:
-                kid.box[rest] = n
-
-    def _entries(self, node: _Node, prefix: bytes, words: list[bytes]):
-        if node.count:
-            yield prefix, node.count
-        lead = prefix + b" " if prefix else b""
-        for tail, n in (node.box or {}).items():
-            yield lead + tail, n
-        for i, kid in (node.kids or {}).items():
-            yield from self._entries(kid, lead + words[i], words)
+class _Box:
+    """A container: phrases under a range of paths, known by key."""
 
-    def spill(self, keep: int):
-        """Sorted runs of whole subtrees, the largest first, until no more
-        than ``keep`` entries are left; with 0 the trie is empty after it."""
-        words = list(self.ids)
-        if self.root.kids and keep:
-            runs = {i: sorted(self._entries(kid, words[i], words)) for i, kid in self.root.kids.items()}
-            for i in sorted(runs, key=lambda i: -len(runs[i])):
-                if self.size <= keep:
-                    break
-                self.size -= len(runs[i])
-                del self.root.kids[i]
-                yield runs[i]
-            return
-        run = sorted(self._entries(self.root, b"", words))
-        self.ids, self.root, self.size = {}, _Node(), 0
-        if run:
-            yield run
+    def __init__(self, *columns):
+        self.parts = [columns] if columns else []
+        self.size = len(columns[0]) if columns else 0
+        self.settled = self.size
 
+    def add(self, *columns) -> None:
+        self.parts.append(columns)
+        self.size += len(columns[0])
 
-class _Node:
-    """A trie node: a hash container of tails, or, once burst, child nodes."""
+    def settle(self):
+        """(path, key, count, text) of distinct phrases, by path."""
+        if len(self.parts) > 1:
+            path, key, count = (np.concatenate([p[c] for p in self.parts]) for c in range(3))
+            _, first, at = np.unique(key, return_index=True, return_inverse=True)
+            total = np.zeros(len(first), np.int64)
+            np.add.at(total, at, count)
+            order = np.argsort(path[first], kind="stable")
+            pick = first[order]
+            text = pa.concat_arrays([p[3] for p in self.parts]).take(pa.array(pick))
+            self.parts = [(path[pick], key[pick], total[order], text)]
+        self.size = self.settled = len(self.parts[0][0]) if self.parts else 0
+        return self.parts[0] if self.parts else None
 
-    __slots__ = ("count", "box", "kids")
 
-    def __init__(self):
-        self.count, self.box, self.kids = 0, None, None
+class HatTrie:
+    """Counts of phrases (words joined by one blank).
+
+    A path holds the ids of a phrase's first two words (32 bits each); every
+    container has the phrases of a range of paths.  A container that outgrows
+    ``burst`` entries is burst at its middle path, so a subtree that is still
+    one container holds many first words and a large one is a word of its own,
+    or some of that word's successors."""
+
+    def __init__(self, burst: int = BURST):
+        self.burst = burst
+        self.lows, self.boxes = np.zeros(1, _U), [_Box()]
+
+    @property
+    def size(self) -> int:
+        return sum(b.size for b in self.boxes)
+
+    def add(self, path: np.ndarray, key: np.ndarray, count: np.ndarray, text: pa.Array) -> None:
+        """Count phrases given by ascending path."""
+        cut = np.append(np.searchsorted(path, self.lows), len(path))
+        for box, i, j in zip(list(self.boxes), cut[:-1], cut[1:]):
+            if j > i:
+                box.add(path[i:j], key[i:j], count[i:j], text.slice(i, j - i))
+                if box.size > max(self.burst, 2 * box.settled):
+                    box.settle()
+                    while box.size > self.burst:
+                        box = self._burst(box)
+                        if box is None:
+                            break
+
+    def _burst(self, box: _Box):
+        """The upper half of a container as one of its own; None if its phrases have one path."""
+        path, key, count, text = box.settle()
+        at = int(np.searchsorted(path, path[len(path) // 2]))
+        at = at or int(np.searchsorted(path, path[0], side="right"))
+        if at == len(path):
+            return None
+        number = self.boxes.index(box) + 1
+        upper = _Box(path[at:], key[at:], count[at:], text.slice(at))
+        box.parts = [(path[:at], key[:at], count[:at], text.slice(0, at))]
+        box.size = box.settled = at
+        self.lows = np.insert(self.lows, number, path[at])
+        self.boxes.insert(number, upper)
+        return max(box, upper, key=lambda b: b.size)
+
+    def spill(self, keep: int):
+        """(text, count) runs in order of the text: whole containers, the
+        largest first, until no more than ``keep`` entries are left."""
+        for box in sorted(self.boxes, key=lambda b: -b.size):
+            if self.size <= keep:
+                break
+            got = box.settle()
+            if got is not None:
+                order = pc.sort_indices(got[3])
+                yield got[3].take(order), got[2][order.to_numpy()]
+            box.parts, box.size, box.settled = [], 0, 0
+
+
+def _texts(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The byte spans as strings."""
+    size = ends - starts
+    offs = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offs[1:])
+    data = buf[np.arange(offs[-1]) + np.repeat(starts - offs[:-1], size)]
+    return pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(offs), pa.py_buffer(data)])
 
 
 def _salts(langs: list[str]) -> np.ndarray:
@@ -152,9 +161,9 @@ class _Chunk:
     """Words and pieces of some rows."""
 
     def __init__(self, buf, offs, salts):
-        buf, offs = collapsed(LOWER[buf], offs, _GAP)
+        self.buf, offs = buf, offs = collapsed(LOWER[buf], offs, _GAP)
         self.starts, self.ends, ptr = spans(buf, offs, _GAP | _CUT)
-        self.h, self.raw = span_hashes(buf, self.starts, self.ends), buf.tobytes()
+        self.h = span_hashes(buf, self.starts, self.ends)
         self.row = np.repeat(np.arange(len(offs) - 1), np.diff(ptr))
         self.salt = salts[self.row]
         m = len(self.starts)
@@ -168,6 +177,12 @@ class _Chunk:
         return mix(h ^ self.salt[:len(h)])
 
 
+    def path(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Ids of the first two words of the phrases at ``at``."""
+        first = self.h[at] >> _U(32) << _U(32)
+        return first | self.h[at + 1] >> _U(32) if n > 1 else first
+
+
 def _possible(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     at = keys >> _U(64 - FILTER_BITS)
     return (bitmap[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
@@ -201,41 +216,38 @@ def sorted_runs(docs: DataFrame, sizes: range, bitmap: bytes | None, most: int =
 
     def run(batches):
         tries: dict[str, HatTrie] = {}
-        step = max(1, most // 8)
         bits = None if shared.value is None else np.frombuffer(shared.value, np.uint8)
 
-        def out(lang, entries):
-            for a in range(0, len(entries), 20_000):
-                part = entries[a:a + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part), pa.string()), pa.array([p.decode() for p, _ in part], pa.string()),
-                     pa.array([n for _, n in part], pa.int64())], ["lang", "phrase", "n"])
+        def out(lang, runs):
+            for text, count in runs:
+                for a in range(0, len(text), BATCH):
+                    part = text.slice(a, BATCH)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part), pa.string()), part.cast(pa.string()), pa.array(count[a:a + BATCH])], ["lang", "phrase", "n"])
 
         for batch in batches:
-            langs = batch.column(1).to_pylist()
-            salts = _salts(langs)
+            coded = batch.column(1).dictionary_encode()
+            langs, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            salts = _salts(langs)[code]
             buf, offs = text_buffer(batch.column(0))
             for a, b in doc_chunks(offs, CHUNK_BYTES):
                 chunk = _Chunk(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a], salts[a:b])
                 for n, pos in _wanted(chunk, sizes, bits):
-                    if not len(pos):
-                        continue
-                    _, first, count = np.unique(chunk.keys(n)[pos], return_index=True, return_counts=True)
+                    key, first, count = np.unique(chunk.keys(n)[pos], return_index=True, return_counts=True)
                     at = pos[first]
-                    rows = list(zip(chunk.row[at].tolist(), chunk.starts[at].tolist(), chunk.ends[at + n - 1].tolist(), count.tolist()))
-                    for begin in range(0, len(rows), step):
-                        for row, s, e, c in rows[begin:begin + step]:
-                            lang = langs[a + row]
-                            if lang not in tries:
-                                tries[lang] = HatTrie()
-                            tries[lang].add(chunk.raw[s:e], c)
-                        while sum(map(HatTrie.weight, tries.values())) > most:
-                            lang, trie = max(tries.items(), key=lambda x: x[1].weight())
-                            for entries in trie.spill(trie.size // 2 if 2 * len(trie.ids) < most else 0):
-                                yield from out(lang, entries)
+                    path, lang = chunk.path(at, n), code[a:b][chunk.row[at]]
+                    order = np.lexsort((path, lang))
+                    at, path, key, count, lang = at[order], path[order], key[order], count[order], lang[order]
+                    text = _texts(chunk.buf, chunk.starts[at], chunk.ends[at + n - 1])
+                    for i in np.unique(lang).tolist():
+                        x, y = np.searchsorted(lang, [i, i + 1])
+                        trie = tries.setdefault(langs[i], HatTrie())
+                        trie.add(path[x:y], key[x:y], count[x:y], text.slice(x, y - x))
+                    while sum(t.size for t in tries.values()) > most:
+                        top = max(tries, key=lambda x: tries[x].size)
+                        yield from out(top, tries[top].spill(tries[top].size // 2))
         for lang, trie in tries.items():
-            for entries in trie.spill(0):
-                yield from out(lang, entries)
+            yield from out(lang, trie.spill(0))
 
     return docs.mapInArrow(run, RUN_DDL)
 

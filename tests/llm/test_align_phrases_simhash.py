@@ -194,31 +194,40 @@ def test_collocations_against_sql(spark):
 def test_small_tries_spill_and_give_the_same_counts(spark):
     docs = spark.createDataFrame(phrase_table(), "doc_id long, text string, lang string").fillna("und", ["lang"]).select("text", "lang")
     one = op12_collocations.sorted_runs(docs, range(1, 2), None)
-    many = op12_collocations.sorted_runs(docs, range(1, 2), None, most=5)
     total = lambda x: sorted(map(tuple, x.groupBy("lang", "phrase").sum("n").collect()))
-    assert total(one) == total(many) and many.count() > one.count()
+    want, rows = total(one), one.count()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        many = op12_collocations.sorted_runs(docs, range(1, 2), None, most=5)
+        assert total(many) == want and many.count() > rows
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
 def test_trie_bursts_and_spills_sorted_whole_subtrees():
-    trie = op12_collocations.HatTrie(burst=4, depth=2)
-    want = Counter()
-    rng = random.Random(1)
-    for _ in range(500):
-        p = " ".join(rng.choices("abc", k=rng.randint(1, 5))).encode()
-        trie.add(p, 2)
-        want[p] += 2
-    assert trie.size == len(want) and trie.root.kids
-    got, seen = Counter(), []
+    trie, rng, want = op12_collocations.HatTrie(burst=40), random.Random(1), Counter()
+    for _ in range(60):
+        phrases = sorted({" ".join(rng.choices("abcdefgh", k=rng.randint(1, 4))) for _ in range(50)})
+        keys = np.array([xxhash.xxh64_intdigest(p) for p in phrases], np.uint64)
+        path = np.array([int.from_bytes((p.replace(" ", "") + "  ")[:2].encode()) for p in phrases], np.uint64)
+        order = np.argsort(path, kind="stable")
+        trie.add(path[order], keys[order], np.full(len(order), 2), op12_collocations.pa.array(phrases, op12_collocations.pa.large_string()).take(
+            op12_collocations.pa.array(order)))
+        want.update({p: 2 for p in phrases})
+    assert len(trie.boxes) > 8 and (np.diff(trie.lows) > 0).all()
+    got, runs = Counter(), 0
     for keep in (trie.size // 2, 0):
-        for run in trie.spill(keep):
-            assert run == sorted(run)
-            seen += [p for p, _ in run]
-            got.update(dict(run))
-    assert got == want and len(seen) == len(set(seen)) and trie.size == 0
+        for text, count in trie.spill(keep):
+            text = text.to_pylist()
+            assert text == sorted(text)
+            got.update(dict(zip(text, count.tolist())))
+            runs += len(text)
+    assert got == want and runs == len(want) and trie.size == 0
 
 
 def test_scores_are_exact_beyond_64_bits(spark):
-    big = 9_000_000_000_000_000_000
+    big = 90_000_000_000_000_000
     counts = spark.createDataFrame([("en", "p", 1, big - 7), ("en", "q", 1, big - 11), ("en", "p q", 2, big - 13)],
                                    "lang string, phrase string, size int, f long")
     totals = spark.createDataFrame([("en", big)], "lang string, n long")
