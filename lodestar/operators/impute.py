@@ -14,7 +14,7 @@ from pyspark.ml.feature import Imputer, ImputerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.values import keep_or, loyalty_class, present_id, to_number
+from lodestar.functions.values import keep_or, loyalty_class, to_number
 from lodestar.operators.pivot import qcol, zero_fill
 
 # Fixed values (must equal the reference's): mean-imputed columns, kept
@@ -66,7 +66,3 @@ def cleanse(df: DataFrame, id_cols: Sequence[str], zero_cols: Sequence[str],
     cols.append(loyalty_class("master_segment_id").alias("serenade"))
     return d.select(*cols), means
 
-
-def drop_missing_ids(df: DataFrame, col: str = "crm_sub_id") -> DataFrame:
-    """Drop rows whose id is NULL or the text "NA"."""
-    return df.filter(present_id(col))

@@ -20,9 +20,14 @@ from pyspark.sql import functions as F
 
 def hash_unit(keys: Sequence[str], seed: int, purpose: str) -> Column:
     """A number in [0, 1) from the purpose, the seed and the keys (as text,
-    null as the empty text)."""
-    text = F.concat_ws("|", F.lit(purpose), F.lit(str(seed)),
-                       *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    null as the empty text).  Rows whose keys are all null are drawn by the whole
+    row instead, or they would share one draw and a class could go as one."""
+    null = F.lit(True)
+    for k in keys:
+        null = null & F.col(k).isNull()
+    row = F.when(null, F.concat(F.lit("|"), F.xxhash64(F.struct("*")).cast("string"))).otherwise("")
+    text = F.concat(F.concat_ws("|", F.lit(purpose), F.lit(str(seed)),
+                                *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]), row)
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 

@@ -490,24 +490,30 @@ def q_feature_star(spark, sf_dir):
 # ---------------------------------------------------------- impute, recode
 
 _MEAN_SRC = """
-, p AS (SELECT analytic_id, ddate, TRY_CAST(age AS DOUBLE) AS age, handset_launchprice, credit_limit
-        FROM profile WHERE analytic_id IS NOT NULL)
+, p AS MATERIALIZED (SELECT analytic_id, ddate, TRY_CAST(age AS DOUBLE) AS age, handset_launchprice, credit_limit
+                     FROM profile WHERE analytic_id IS NOT NULL)
 """
 
 
+def _mean_sql(table: str, where: str = "TRUE") -> str:
+    """One row of means: sums of whole numbers (exact in any order) over counts."""
+    part = lambda c: (f"CAST(sum(CAST({c} AS DECIMAL(18, 0))) AS DOUBLE) / count({c}) AS {c}")
+    return f"SELECT {', '.join(part(c) for c in impute.MEAN_COLS)} FROM {table} WHERE {where}"
+
+
+def _imputed_sql() -> str:
+    return ", ".join(f"coalesce({c}, (SELECT m.{c} FROM m)) AS {c}" for c in impute.MEAN_COLS)
+
+
 def _impute_sql(fit_where: str, apply_where: str) -> str:
     return _MEAN_SRC + f"""
-, m AS (SELECT avg(age) AS a, avg(handset_launchprice) AS h, avg(credit_limit) AS c
-        FROM p WHERE {fit_where})
-SELECT analytic_id, ddate, coalesce(age, m.a) AS age,
-       coalesce(handset_launchprice, m.h) AS handset_launchprice,
-       coalesce(credit_limit, m.c) AS credit_limit
-FROM p, m WHERE {apply_where}"""
+, m AS MATERIALIZED ({_mean_sql("p", fit_where)})
+SELECT analytic_id, ddate, {_imputed_sql()} FROM p WHERE {apply_where}"""
 
 
 def _impute_src(t: TestTables):
     p = t.profile().select("analytic_id", "ddate", *impute.MEAN_COLS)
-    return impute.prepare_numbers(p)
+    return tables.checkpoint_table(impute.prepare_numbers(p), _work(t.spark, "impute"))     # fitted on, then filled
 
 
 @register("mean_impute", with_ctes(["profile"], _impute_sql("TRUE", "TRUE")))
@@ -538,11 +544,10 @@ def _recode_sql() -> str:
     return f"""
 , base AS (SELECT p.*, {", ".join("k." + c for c in prepare.PACK_COLS if c not in ("analytic_id", "ddate"))}
            FROM profile p LEFT JOIN pack k ON k.analytic_id = p.analytic_id AND k.ddate = p.ddate)
-, b2 AS (SELECT * REPLACE (TRY_CAST(age AS DOUBLE) AS age) FROM base WHERE analytic_id IS NOT NULL)
-, m AS (SELECT avg(age) AS a, avg(handset_launchprice) AS h, avg(credit_limit) AS c FROM b2)
+, b2 AS MATERIALIZED (SELECT * REPLACE (TRY_CAST(age AS DOUBLE) AS age) FROM base WHERE analytic_id IS NOT NULL)
+, m AS MATERIALIZED ({_mean_sql("b2")})
 SELECT analytic_id, crm_sub_id, national_id, ddate,
-       coalesce(age, m.a) AS age, coalesce(handset_launchprice, m.h) AS handset_launchprice,
-       coalesce(credit_limit, m.c) AS credit_limit,
+       {_imputed_sql()},
        coalesce(mnp_flag, 'N') AS mnp_flag,
        CASE WHEN gender IN ('Male', 'Female') THEN gender ELSE 'unknown' END AS gender,
        CASE WHEN coalesce(handset_os, 'unknown') IN ('Android', 'iOS', 'Proprietary', 'Unknown')
@@ -555,7 +560,7 @@ SELECT analytic_id, crm_sub_id, national_id, ddate,
             WHEN master_segment_id IN ('Prospect Gold') THEN 'Emerald'
             WHEN master_segment_id IN ('Standard') THEN 'Classic'
             ELSE master_segment_id END AS serenade
-FROM b2, m"""
+FROM b2"""
 
 
 @register("fill_and_recode", with_ctes(["profile", "pack"], _recode_sql()))
@@ -803,7 +808,7 @@ def _final_sql(base: str, month: str, ids: list[str]) -> str:
                          f"AND {a}.ddate = last_day(b.{month} - INTERVAL {k} MONTH)")
     zero = (["days_active", "service_month"] + PROFILE_LAG_COLS + training.PACK_NUMERIC + HH_COLS + _WIDE_COLS)
     recode = _recode_sql()
-    recode = recode[recode.index("       coalesce(age, m.a)"):recode.rindex("FROM b2, m")]
+    recode = recode[recode.index("       " + _imputed_sql()):recode.rindex("FROM b2")]
     for c in _FILL_ZERO:
         recode = recode.replace(f"coalesce({c}, 0) AS {c}, ", "").replace(f"coalesce({c}, 0) AS {c},", "")
     avg = [f"({b} + {b}_p1 + {b}_p2) / 3.0::DOUBLE AS {n}" for n, b in derive.AVG_FEATURES]
@@ -814,9 +819,9 @@ def _final_sql(base: str, month: str, ids: list[str]) -> str:
     return f"""
 , lagged AS (SELECT b.*, {", ".join(sel)} FROM {base} b {" ".join(joins)})
 , c0 AS (SELECT * REPLACE (TRY_CAST(age AS DOUBLE) AS age) FROM lagged WHERE analytic_id IS NOT NULL)
-, m AS (SELECT avg(age) AS a, avg(handset_launchprice) AS h, avg(credit_limit) AS c FROM c0)
+, m AS MATERIALIZED ({_mean_sql("c0")})
 , clean AS (SELECT {", ".join(ids)}, {", ".join(f"coalesce({q(c)}, 0) AS {q(c)}" for c in zero + lag_cols)},
-{recode} FROM c0, m)
+{recode} FROM c0)
 SELECT {", ".join(q(c) for c in named)},
        {", ".join(avg)},
        {", ".join(slope)}

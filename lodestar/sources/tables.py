@@ -26,14 +26,11 @@ def read_value_list(spark: SparkSession, path: str, column: str) -> DataFrame:
             .filter(F.col(column).isNotNull()).distinct())
 
 
-def write_value_list(values: DataFrame, column: str, path: str) -> None:
-    """Write the distinct values of ``column`` as a one-file CSV list.
-
-    The list is small by construction (distinct application names), so one
-    output file after a shuffle to a single partition is cheap.
-    """
-    (values.select(column).distinct().repartition(1).write.mode("overwrite")
-     .option("header", True).csv(path))
+def write_value_list(values: DataFrame, column: str, path: str, single_file: bool = False) -> None:
+    """Write the distinct values of ``column`` as a CSV list, in parts unless a
+    receiver takes ``single_file`` only (a list that one task can write)."""
+    rows = values.select(column).distinct()
+    (rows.repartition(1) if single_file else rows).write.mode("overwrite").option("header", True).csv(path)
 
 
 # -- lineage cuts ------------------------------------------------------------
