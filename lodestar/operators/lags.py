@@ -8,8 +8,11 @@ and lag, a history is read once however many lags there are, and a base row
 without any history keeps its place.
 
 A window partition holds a key's months times the tables, as each history is
-unique on (key, month) (``profile.assert_unique`` checks it where a source
-isn't known to be): a bound set by the calendar, so no key is hot.
+unique on (key, month): a bound set by the calendar, so no key is hot.  The
+same window checks it: the rows in each lag's frame are counted beside the
+value, and a second row of one history fails the query, naming the table and
+the lag, where any value would be as good as the other.  The check costs no
+exchange and no pass; ``check=False`` leaves it out.
 
 Months are compared as year * 12 + month: base and history months are month
 ends, as everywhere in this library.
@@ -37,7 +40,7 @@ def _month_index(col):
 def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[str]]],
                keys: Sequence[str] = ("analytic_id",), base_month: str = "ddate",
                history_month: str = "ddate", lags: Sequence[int] = (1, 2),
-               month_bounds=None) -> DataFrame:
+               month_bounds=None, check: bool = True) -> DataFrame:
     """Attach ``{col}_p{k}`` for every history column and lag ``k``.
 
     ``histories`` = [(table, columns)]; output columns are ordered by lag,
@@ -78,9 +81,16 @@ def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[st
     for n in by:
         known = known & F.col(n).isNotNull()
     w = Window.partitionBy(*by, "_s").orderBy("_m")
-    picked = rows.select("_row", *[
-        F.when(known, F.first(s, ignorenulls=True).over(w.rangeBetween(-k, -k))).alias(f"{s}_{k}")
-        for k in lags for s in slots])
+
+    def lagged(s: str, k: int):
+        frame = w.rangeBetween(-k, -k)
+        value = F.first(s, ignorenulls=True).over(frame)
+        if check:
+            said = F.lit(f"history {slots.index(s) + 1} has several rows of one key {k} months before a row")
+            value = F.when(F.col("_row").isNotNull() & (F.count(s).over(frame) > 1), F.raise_error(said)).otherwise(value)
+        return F.when(known, value).alias(f"{s}_{k}")
+
+    picked = rows.select("_row", *[lagged(s, k) for k in lags for s in slots])
     return picked.filter("_row is not null").select("_row.*", *[
         F.col(f"{s}_{k}").getField(c).alias(lag_name(c, k))
         for k in lags for s, (_, cols) in zip(slots, histories) for c in cols])

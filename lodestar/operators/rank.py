@@ -16,6 +16,7 @@ are deterministic and equal SQL ``ntile`` over ``ORDER BY score, key``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -35,10 +36,14 @@ def ranged_positions(df: DataFrame, order: Sequence[tuple[str, bool]],
     """Rows range-partitioned and sorted by ``order``, stored, with their
     partition number ``_pid`` and 0-based position in it ``_pos_in``.
 
+    Range partitioning reads its input twice, for the bounds and for the
+    rows, so the input is stored first and runs once; both reads are scans.
     The checkpoint fixes the positions: every later read sees the same rows
     in the same places, whatever executors are lost."""
-    from lodestar.session import ensure_checkpoint_dir
+    from lodestar.session import ensure_checkpoint_dir, shared_dir
+    from lodestar.sources.tables import checkpoint_table
     spark = df.sparkSession
+    df = checkpoint_table(df, shared_dir(spark, f"rank-input-{uuid.uuid4().hex[:12]}"))
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     exprs = _sort_exprs(order)
     ensure_checkpoint_dir(spark)              # the shared spark.checkpoint.dir

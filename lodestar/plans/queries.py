@@ -98,7 +98,7 @@ def q_append_month(spark, sf_dir):
     scoring.update_mart(members.filter(F.col("ddate") > F.lit(STORED_UNTIL)), target, LAST_MONTH)
     scoring.update_mart(members, target, LAST_MONTH)
     scoring.update_mart(members, target, LAST_MONTH)
-    back = spark.read.schema(household_mart(t).schema).parquet(target)
+    back = tables.read_months(spark, target)
     return round_cols(back, _STD, 2)
 
 
@@ -789,7 +789,7 @@ def q_run_log(spark, sf_dir):
 def _sources(t: TestTables, work: str, through):
     """The flows' input tables (the household mart is built and stored first)."""
     scoring.update_mart(t.household_members(), f"{work}/hh_mart", through)
-    house = t.spark.read.parquet(f"{work}/hh_mart")
+    house = tables.read_months(t.spark, f"{work}/hh_mart")
     return training.Sources(contacts=t.contacts(), profile=t.profile(), pack=t.pack(), house=house,
                    apps=t.app_usage(), usage=t.hourly_usage(), owners=t.owners(),
                    fraud=t.fraud(), call_times=t.call_times())

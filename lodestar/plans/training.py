@@ -103,7 +103,7 @@ def build_features(src: Sources, as_of, app_values, work_dir: str, lag_shift: in
         means = impute.fit_means(impute.prepare_numbers(narrow))
     clean, means = impute.cleanse(dt, model.ID_COLS, zero_fill_cols(app_values), means=means)
     final = derive.derive_features(clean)
-    final = tables.checkpoint_table(final, f"{work_dir}/training_features")
+    final = tables.checkpoint_table(final, f"{work_dir}/training_features", keep=True)
     return final, means
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.sources.months import append_months, path_exists, read_months, stored_months  # noqa: F401
+from lodestar.sources.scratch import intermediate
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,14 +37,16 @@ def write_value_list(values: DataFrame, column: str, path: str, single_file: boo
 
 # -- lineage cuts ------------------------------------------------------------
 
-def checkpoint_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
-    """Write ``df`` as Parquet under a shared path and read it back.
+def checkpoint_table(df: DataFrame, path: str, partition_by: Iterable[str] = (), keep: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet under a shared path and read it back.  An open
+    ``scratch`` scope drops the folder at its end, unless it is to be kept.
 
     This cuts the lineage of a long feature plan, so later stages (model
     fit, scoring) re-read files instead of recomputing joins, and a lost
     executor only costs the re-read of its files.
     """
     writer = df.write.mode("overwrite")
+    path = path if keep else intermediate(path)
     cols = list(partition_by)
     if cols:
         writer = writer.partitionBy(*cols)
@@ -50,61 +54,6 @@ def checkpoint_table(df: DataFrame, path: str, partition_by: Iterable[str] = ())
     return df.sparkSession.read.parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path exists, in whatever file system it names.  Errors other
-    than absence (permissions, an unreachable store) raise."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def stored_months(spark: SparkSession, target: str, month_col: str = "ddate") -> DataFrame | None:
-    """Months already in a month-partitioned table (None if there is no table).
-
-    The partition folders are listed; no data file is opened.  Only an absent
-    path counts as an empty mart; a table that can't be read raises, so a
-    broken mart never has its months appended again."""
-    if not path_exists(spark, target):
-        return None
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.getFileStatus(p).isDirectory():
-        raise ValueError(f"{target} is not a month-partitioned table")
-    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
-    odd = [n for n in names if not n.startswith((f"{month_col}=", "_", "."))]
-    if odd:
-        raise ValueError(f"{target} is not partitioned by {month_col}: it holds {odd[0]}")
-    months = [(date.fromisoformat(n.split("=", 1)[1]),) for n in names if n.startswith(f"{month_col}=")]
-    return spark.createDataFrame(months, f"{month_col} date")
-
-
-def append_months(new_rows: DataFrame, target: str, month_col: str = "ddate",
-                  replace: bool = False) -> int:
-    """Idempotent month-partitioned append; returns the number of new months.
-
-    Months already in the target are skipped (``replace=False``) or rewritten
-    in place with dynamic partition overwrite (``replace=True``).  Unlike a
-    "newer than the latest month" guard this allows backfills and works on
-    an empty or missing target.  The month list is tiny (one row per stored
-    month), so broadcasting it is bounded by the calendar, not the data.
-    ``new_rows`` is computed once, by the write itself; the new-month count
-    comes from the partition folders before and after.
-    """
-    spark = new_rows.sparkSession
-    before = stored_months(spark, target, month_col)
-    before_set = {r[0] for r in before.collect()} if before is not None else set()
-    rows = new_rows
-    if before is not None and not replace:
-        rows = rows.join(F.broadcast(before), month_col, "left_anti")
-    if replace and before is not None:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(month_col).parquet(target))
-    else:
-        rows.write.mode("append").partitionBy(month_col).parquet(target)
-    after = stored_months(spark, target, month_col)
-    after_set = {r[0] for r in after.collect()} if after is not None else set()
-    return len(after_set - before_set)
-
-
 # -- delimited files ---------------------------------------------------------
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType,

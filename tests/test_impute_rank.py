@@ -74,3 +74,30 @@ def test_ntile_plan_has_no_global_window(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ntile" not in plan.lower()
     assert math.isclose(out.agg(F.avg("t")).first()[0], 5.5)
+
+
+def test_ranking_runs_its_input_once(spark):
+    """An accumulator in the input counts the rows computed for a ranking."""
+    from pyspark.sql import functions as F
+
+    from lodestar.operators import rank
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    src = spark.range(2000).select("id", (F.col("id") % 7).alias("s")).mapInArrow(count, "id long, s long")
+    got = rank.add_ntiles(src, [("s", True), ("id", True)], {"d": 10}).orderBy("s", "id").select("d").collect()
+    assert [r.d for r in got] == [i // 200 + 1 for i in range(2000)]
+    assert seen.value == 2000
+
+
+def test_rows_without_a_key_are_drawn_one_by_one(spark):
+    from lodestar.operators import sample
+    df = spark.range(1000).selectExpr("cast(null as string) as k", "id as v", "cast(id % 2 as int) as y")
+    split = sample.hash_split(df, ["k"], 0.5, 1).groupBy("split").count().collect()
+    assert len(split) == 2 and all(400 < r["count"] < 600 for r in split)
+    kept = sample.downsample(df, "y", {0: 0.5}, ["k"], 1).groupBy("y").count().collect()
+    assert {r.y: r["count"] for r in kept}[1] == 500 and 150 < {r.y: r["count"] for r in kept}[0] < 350

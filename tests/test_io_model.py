@@ -19,7 +19,7 @@ def test_append_months_edges(spark, tmp_dir):
     assert tables.append_months(_mart_rows(spark, [jan, feb]), target) == 1     # jan already present
     assert tables.append_months(_mart_rows(spark, [dec]), target) == 1          # backfill older month
     assert tables.append_months(_mart_rows(spark, [jan]), target) == 0
-    stored = spark.read.parquet(target)
+    stored = tables.read_months(spark, target)
     assert stored.count() == 9
     assert sorted(str(r.ddate) for r in stored.select("ddate").distinct().collect()) == [
         "2019-12-31", "2020-01-31", "2020-02-29"]
@@ -155,3 +155,75 @@ def test_assert_unique(spark):
     with pytest.raises(ValueError):
         assert_unique(df, ["k"])
     assert [r.k for r in duplicate_keys(df, ["k"]).collect()] == ["a"]
+
+
+def test_append_survives_a_crash(spark, tmp_dir, monkeypatch):
+    """The append dies between staging and marker, at every step of a month;
+    the next run stores the month whole and readers never see a part of it."""
+    import pytest
+
+    from lodestar.sources import months as m
+    target, jan, feb, mar = f"{tmp_dir}/mart", date(2020, 1, 31), date(2020, 2, 29), date(2020, 3, 31)
+    assert tables.append_months(_mart_rows(spark, [jan]), target) == 1
+    publish, mark = m._publish, m._mark
+
+    def dies(*a, **k):
+        raise RuntimeError("killed")
+
+    for name in ("_publish", "_mark"):
+        monkeypatch.setattr(m, name, dies)
+        with pytest.raises(RuntimeError):
+            tables.append_months(_mart_rows(spark, [jan, feb, mar]), target)
+        assert m.marked(spark, target) == ["2020-01-31"]
+        assert tables.read_months(spark, target).count() == 3
+        monkeypatch.setattr(m, "_publish", publish)
+        monkeypatch.setattr(m, "_mark", mark)
+    # what the dead append left in February's folder is only a part of the month
+    folder = f"{target}/ddate=2020-02-29"
+    assert tables.path_exists(spark, folder)
+    spark.createDataFrame([("part", 0.5)], "analytic_id string, v double").write.mode("overwrite").parquet(folder)
+    assert tables.append_months(_mart_rows(spark, [jan, feb, mar]), target) == 2
+    got = tables.read_months(spark, target)
+    assert got.count() == 9 and got.filter("analytic_id = 'part'").count() == 0
+    assert not [n for n in m._names(spark, target) if n.startswith(m.STAGING)]
+    assert tables.append_months(_mart_rows(spark, [feb]), target) == 0
+
+
+def test_months_without_markers_are_adopted_not_overwritten(spark, tmp_dir):
+    import pytest
+
+    from lodestar.sources import months as m
+    target = f"{tmp_dir}/old"
+    _mart_rows(spark, [date(2020, 1, 31)]).write.partitionBy("ddate").parquet(target)
+    with pytest.raises(ValueError, match="adopt_months"):
+        tables.append_months(_mart_rows(spark, [date(2020, 1, 31)]), target)
+    assert m.adopt_months(spark, target) == 1
+    assert tables.append_months(_mart_rows(spark, [date(2020, 1, 31)]), target) == 0
+    assert tables.read_months(spark, target).count() == 3
+
+
+def test_rows_without_a_month_are_refused(spark, tmp_dir):
+    import pytest
+    rows = spark.createDataFrame([("a", None, 1.0)], "analytic_id string, ddate date, v double")
+    with pytest.raises(ValueError):
+        tables.append_months(rows, f"{tmp_dir}/mart")
+
+
+def test_scratch_drops_intermediates_also_after_failure(spark, tmp_dir):
+    import pytest
+
+    from lodestar.sources.scratch import scratch
+    df, path = spark.range(5), lambda n: f"{tmp_dir}/{n}"
+    with scratch(spark):
+        tables.checkpoint_table(df, path("a"))
+        kept = tables.checkpoint_table(df, path("kept"), keep=True)
+        with scratch(spark):
+            tables.checkpoint_table(df, path("b"))
+        assert tables.path_exists(spark, path("a")) and not tables.path_exists(spark, path("b"))
+    with pytest.raises(RuntimeError):
+        with scratch(spark):
+            tables.checkpoint_table(df, path("c"))
+            raise RuntimeError
+    assert not any(tables.path_exists(spark, path(n)) for n in "abc") and kept.count() == 5
+    tables.checkpoint_table(df, path("open"))
+    assert tables.path_exists(spark, path("open"))

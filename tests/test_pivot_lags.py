@@ -104,3 +104,22 @@ def test_month_lags_equal_range_window_form(spark):
     names = sorted(joined.columns)
     assert joined.select(names).exceptAll(windowed.select(names)).count() == 0
     assert windowed.select(names).exceptAll(joined.select(names)).count() == 0
+
+
+def test_duplicate_history_fails_in_the_lag_window(spark):
+    """Two rows of one key and month fail the query where a base row needs
+    them; the plan has the exchange it had without the check."""
+    import pytest
+    from pyspark.errors import PySparkException
+    base = spark.createDataFrame([("a", date(2020, 3, 31)), ("b", date(2020, 3, 31)), (None, date(2020, 3, 31))], "k string, ddate date")
+    once = [("a", date(2020, 2, 29), 1), ("b", date(2020, 1, 31), 2), (None, date(2020, 2, 29), 5), (None, date(2020, 2, 29), 6)]
+    hist = lambda rows: spark.createDataFrame(rows, "k string, ddate date, v int")
+    good = lags.month_lags(base, [(hist(once), ["v"])], keys=["k"])
+    assert {(r.k, r.v_p1, r.v_p2) for r in good.collect()} == {("a", 1, None), ("b", None, 2), (None, None, None)}
+    twice = lags.month_lags(base, [(hist(once + [("a", date(2020, 2, 29), 9)]), ["v"])], keys=["k"])
+    with pytest.raises(PySparkException, match="several rows of one key 1 months"):
+        twice.collect()
+    far = hist(once + [("a", date(2019, 2, 28), 9), ("a", date(2019, 2, 28), 8)])          # no row looks there
+    assert lags.month_lags(base, [(far, ["v"])], keys=["k"]).count() == 3
+    plans = [lags.month_lags(base, [(hist(once), ["v"])], keys=["k"], check=c)._jdf.queryExecution().executedPlan().toString() for c in (True, False)]
+    assert plans[0].count("Exchange") == plans[1].count("Exchange") == 1
