@@ -80,6 +80,24 @@ def fit(train: DataFrame, label_col: str, numeric: Sequence[str], categorical: S
     return PipelineModel(stages=[*encoder.stages, trees.fit(encoder.transform(data))])
 
 
+def fit_encoded(train: DataFrame, label_col: str, numeric: Sequence[str], categorical: Sequence[str],
+                keys: Sequence[str], most: int = 31, params: dict | None = None):
+    """``fit`` where no predictor needs more than the default bins: categorical
+    predictors of more than ``most`` categories are target-encoded across folds.
+
+    Returns (model, encoding table or None, encoded columns); rows to score
+    go through ``encode.transform`` with ``training`` false."""
+    from lodestar.operators import encode
+    sizes = train.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in categorical]).first() if categorical else {}
+    wide = [c for c in categorical if sizes[c] > most]
+    if not wide:
+        return fit(train, label_col, numeric, categorical, params), None, []
+    table = encode.fit(train, label_col, wide, keys)
+    data = encode.transform(table, train, wide, keys, F.lit(True))
+    narrow = [c for c in categorical if c not in wide]
+    return fit(data, label_col, [*numeric, *[f"{c}_te" for c in wide]], narrow, params), table, wide
+
+
 def validation_loss(model: PipelineModel, test: DataFrame, label_col: str) -> list[float]:
     """Log loss on ``test`` after each tree (no early stopping)."""
     data = test.withColumn(label_col, F.col(label_col).cast("double"))
@@ -88,12 +106,12 @@ def validation_loss(model: PipelineModel, test: DataFrame, label_col: str) -> li
     return model.stages[-1].evaluateEachIteration(data)
 
 
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], digits: int = 4,
+def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], digits: int | None = 4,
           out_col: str = "p1") -> DataFrame:
     """Probability of class 1, rounded, next to the ``keep`` columns."""
     pred = model.transform(df)
     p1 = vector_to_array(F.col("probability"))[1]
-    return pred.select(*keep, F.round(p1, digits).alias(out_col))
+    return pred.select(*keep, (p1 if digits is None else F.round(p1, digits)).alias(out_col))
 
 
 def auc(model: PipelineModel, test: DataFrame, label_col: str) -> float:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from lodestar.functions.calendar import day_period, weekday_label
 from lodestar.functions.months import date_range_filter, shift_month_end, shift_month_start, yyyymm
-from lodestar.operators import derive, household, impute, label, lags, pivot, rank, reduce, sample
+from lodestar.operators import derive, encode, household, impute, label, lags, pivot, rank, reduce, sample, stump
 from lodestar.operators import model as _model
 from lodestar.plans import prepare, scoring, training
 from lodestar.operators.evaluate import auc_from_roc, gains_lift, roc_table
@@ -735,6 +735,117 @@ def q_train_score(spark, sf_dir):
     return _model.score(fitted, feats, ["doc_id", "split", "quality"])
 
 
+# ------------------------------------- the closed form of one boosted split
+
+_STUMP_NUM, _STUMP_CAT = ["n_chars", "n_e", "n_lines"], ["lang", "source", "length_class"]
+_STUMP_BASE = f"""
+WITH base AS (
+    SELECT d.doc_id, l.quality, CAST(d.n_chars AS DOUBLE) AS n_chars,
+           CAST(length(d.text) - length(replace(d.text, 'e', '')) AS DOUBLE) AS n_e,
+           CAST(length(d.text) - length(replace(d.text, chr(10), '')) AS DOUBLE) AS n_lines,
+           d.lang, d.source, 'c' || CAST(d.n_chars % 100 AS VARCHAR) AS length_class,
+           {_SPLIT_SQL.replace("doc_id", "d.doc_id")} AS split
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+, tr AS (SELECT * FROM base WHERE split = 'train' AND quality IS NOT NULL)
+"""
+_STUMP_SQL = _STUMP_BASE + """
+, pts AS (
+    """ + " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS value, CAST(NULL AS VARCHAR) AS category, count(*) AS n, "
+                             f"CAST(sum(quality) AS BIGINT) AS pos FROM tr GROUP BY {c}" for c in _STUMP_NUM) + """
+    UNION ALL """ + " UNION ALL ".join(f"SELECT '{c}', sum(quality) / CAST(count(*) AS DOUBLE), {c}, count(*), CAST(sum(quality) AS BIGINT) "
+                                       f"FROM tr GROUP BY {c}" for c in _STUMP_CAT) + """)
+, run AS (SELECT feature, value, category, CAST(sum(n) OVER w AS BIGINT) AS nl, CAST(sum(pos) OVER w AS BIGINT) AS pl,
+                 CAST(sum(n) OVER f AS BIGINT) AS na, CAST(sum(pos) OVER f AS BIGINT) AS pa FROM pts
+          WINDOW w AS (PARTITION BY feature ORDER BY value, category NULLS FIRST ROWS UNBOUNDED PRECEDING),
+                 f AS (PARTITION BY feature))
+, cand AS (SELECT feature, value, category, nl AS n_left, pl AS pos_left, na - nl AS n_right, pa - pl AS pos_right,
+                  CAST(pl * pl AS DOUBLE) / nl + CAST((pa - pl) * (pa - pl) AS DOUBLE) / (na - nl) - CAST(pa * pa AS DOUBLE) / na AS gain
+           FROM run WHERE nl < na)
+, per AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY feature ORDER BY gain DESC, value, category NULLS FIRST) = 1)
+, fit AS (SELECT *, row_number() OVER (ORDER BY gain DESC, feature) = 1 AS best FROM per)
+"""
+
+
+def _stump_rows(t: TestTables):
+    d = t.raw("documents")
+    chars = lambda c: (F.length("text") - F.length(F.replace("text", F.lit(c), F.lit("")))).cast("double")
+    rows = (d.join(t.raw("labels").select("doc_id", "quality"), "doc_id", "left")
+            .select("doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"), chars("e").alias("n_e"),
+                    chars("\n").alias("n_lines"), "lang", "source",
+                    F.concat(F.lit("c"), (F.col("n_chars") % 100).cast("string")).alias("length_class")))
+    return sample.hash_split(rows, ["doc_id"], 0.75, 567)
+
+
+def _stump_fit(t: TestTables, name: str):
+    """(rows, counts, splits): the rows stored, predictors named by their types."""
+    rows = tables.checkpoint_table(_stump_rows(t), _work(t.spark, name))
+    numeric, cats = _model.predictors(rows, ["doc_id", "quality", "split"])
+    train = rows.filter("split = 'train' and quality is not null")
+    counts = tables.checkpoint_table(stump.class_counts(train, "quality", numeric, cats), _work(t.spark, f"{name}-counts"))
+    return rows, counts, stump.best_splits(counts)
+
+
+@register("tree_stump", _STUMP_SQL + """
+SELECT feature, value, category, n_left, pos_left, n_right, pos_right, gain, best, CAST(best AS DOUBLE) AS importance FROM fit""")
+def q_tree_stump(spark, sf_dir):
+    """MO1 MO6 FE12 PR5: the exact best split of every predictor (three numbers,
+    two names, a class of 100 values), the tree's split and importance."""
+    return _stump_fit(TestTables(spark, sf_dir), "stump")[2]
+
+
+@register("stump_scores", _STUMP_SQL + """
+, top AS MATERIALIZED (SELECT *, (pos_left + pos_right) / CAST(n_left + n_right AS DOUBLE) AS p FROM fit WHERE best)
+, left_cats AS (SELECT DISTINCT pts.feature, pts.category FROM pts JOIN top ON top.feature = pts.feature AND top.category IS NOT NULL
+                AND (pts.value < top.value OR (pts.value = top.value AND pts.category <= top.category)))
+, placed AS (SELECT b.doc_id, b.split, b.quality, t.*,
+        CASE t.feature """ + " ".join(f"WHEN '{c}' THEN b.{c} <= t.value" for c in _STUMP_NUM) + " "
+          + " ".join(f"WHEN '{c}' THEN EXISTS (SELECT 1 FROM left_cats x WHERE x.feature = '{c}' AND x.category = b.{c})" for c in _STUMP_CAT)
+          + """ END AS goes_left
+    FROM base b JOIN top t ON TRUE)
+SELECT doc_id, split, quality, round(1 / (1 + exp(-(ln(p / (1 - p)) + 0.01::DOUBLE * (CASE WHEN goes_left
+    THEN pos_left / CAST(n_left AS DOUBLE) - p ELSE pos_right / CAST(n_right AS DOUBLE) - p END) / (p * (1 - p))))), 4) AS p1
+FROM placed""")
+def q_stump_scores(spark, sf_dir):
+    """MO1 MO7 IO11 PR10 SC16: the split saved, loaded, and every document scored
+    beside its ids, probabilities rounded to 4 digits."""
+    rows, counts, splits = _stump_fit(TestTables(spark, sf_dir), "stump-scores")
+    path = _work(spark, "stump-model")
+    stump.save(counts, splits, path)
+    return stump.score(stump.load(spark, path), rows, _STUMP_CAT, ["doc_id", "split", "quality"])
+
+
+_FOLD_SQL = "CAST(CAST(CAST('0x' || substr(md5(concat_ws('|', 'fold', '567', CAST(doc_id AS VARCHAR))), 1, 8) AS UBIGINT) % 5 AS INTEGER) AS INTEGER)"
+
+
+def _encoded_sql(c: str) -> str:
+    """A column's shares without a row's own fold (train), or from all folds."""
+    return f"""
+, {c}_n AS (SELECT {c}, fold, count(*) AS n, sum(quality) AS pos FROM tr GROUP BY ALL)
+, {c}_out AS (SELECT x.{c}, o.fold, sum(CASE WHEN x.fold <> o.fold THEN n ELSE 0 END) AS n, sum(CASE WHEN x.fold <> o.fold THEN pos ELSE 0 END) AS pos
+              FROM {c}_n x JOIN outs o ON TRUE GROUP BY ALL)
+, {c}_te AS (SELECT {c}, {c}_out.fold, (pos + 20 * prior) / CAST(n + 20 AS DOUBLE) AS te FROM {c}_out JOIN prior ON prior.fold = {c}_out.fold)
+"""
+
+
+@register("target_encoding", _STUMP_BASE.replace("tr AS (SELECT *", f"tr AS (SELECT *, {_FOLD_SQL} AS fold") + f"""
+, outs AS (SELECT unnest([-1, 0, 1, 2, 3, 4]) AS fold)
+, prior AS (SELECT o.fold, sum(CASE WHEN t.fold <> o.fold THEN quality ELSE 0 END) / CAST(count(CASE WHEN t.fold <> o.fold THEN 1 END) AS DOUBLE) AS prior
+            FROM tr t JOIN outs o ON TRUE GROUP BY o.fold)
+""" + _encoded_sql("source") + _encoded_sql("length_class") + f"""
+, b AS (SELECT *, CASE WHEN split = 'train' AND quality IS NOT NULL THEN {_FOLD_SQL} ELSE -1 END AS fold FROM base)
+SELECT b.doc_id, b.split, round(coalesce(s.te, p.prior), 9) AS source_te, round(coalesce(c.te, p.prior), 9) AS length_class_te
+FROM b JOIN prior p ON p.fold = b.fold LEFT JOIN source_te s ON s.source = b.source AND s.fold = b.fold
+LEFT JOIN length_class_te c ON c.length_class = b.length_class AND c.fold = b.fold""")
+def q_target_encoding(spark, sf_dir):
+    """FE12: categories as cross-fitted shares of class 1, for trained rows from
+    the other folds, for all others from every fold."""
+    rows = tables.checkpoint_table(_stump_rows(TestTables(spark, sf_dir)), _work(spark, "target-encoding"))
+    trained, cats = F.expr("split = 'train' and quality is not null"), ["source", "length_class"]
+    table = tables.checkpoint_table(encode.fit(rows.filter(trained), "quality", cats, ["doc_id"]), _work(spark, "encoding"))
+    out = encode.transform(table, rows, cats, ["doc_id"], trained)
+    return out.select("doc_id", "split", *[F.round(f"{c}_te", 9).alias(f"{c}_te") for c in cats])
+
+
 # ---------------------------------------------------------- files and logs
 
 _SCORE_TYPES = T.StructType([

@@ -13,6 +13,7 @@ from lodestar.operators.campaign import campaign_list
 from lodestar.plans import prepare
 from lodestar.plans.training import Sources, add_missing, history, zero_fill_cols
 from lodestar.sources import tables
+from lodestar.sources.scratch import scratch
 
 SCORE_KEEP = ["crm_sub_id", "analytic_id", "register_date"]
 
@@ -56,7 +57,13 @@ def run_scoring(src: Sources, as_of, train_dir: str, work_dir: str, fraud_cut: i
                 out_dir: str | None = None, refit_means: bool = False, allow_missing: bool = False) -> DataFrame:
     """Score the month before ``as_of`` with the artifacts of a training run
     (model, means, application list under ``train_dir``) and write the
-    campaign list.  ``refit_means`` fits the means on the scoring month."""
+    campaign list.  ``refit_means`` fits the means on the scoring month.
+    Scores and list stay; the intermediates are dropped at the end."""
+    with scratch(src.profile.sparkSession):
+        return _run_scoring(src, as_of, train_dir, work_dir, fraud_cut, lag_shift, out_dir, refit_means, allow_missing)
+
+
+def _run_scoring(src, as_of, train_dir, work_dir, fraud_cut, lag_shift, out_dir, refit_means, allow_missing) -> DataFrame:
     spark = src.profile.sparkSession
     fitted = model.load_model(f"{train_dir}/model")
     means = None if refit_means else ImputerModel.load(f"{train_dir}/means")

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.months import month_end
 from lodestar.operators import derive, household, impute, label, lags, model, pivot, sample
-from lodestar.operators.evaluate import gains_lift, roc_table
+from lodestar.operators.evaluate import auc_from_roc, gains_lift, roc_table
 from lodestar.operators.profile import assert_unique
 from lodestar.plans import prepare
+from lodestar.operators.staged import staged_evaluation
 from lodestar.sources import tables
+from lodestar.sources.scratch import scratch
 
 PROFILE_LAG_COLS = ["norms_net_revenue_avg_3mth_p0_p2", "norms_net_revenue_gprs",
                     "norms_net_revenue_vas", "norms_net_revenue_voice"]
@@ -126,14 +128,23 @@ def train(final: DataFrame, label_col: str = "camp_response", sample_frac: float
     train_df = split.filter("split = 'train'")
     test_df = split.filter("split = 'test'")
     fitted = model.fit(train_df, label_col, numeric, cats, gbt_params)
-    metrics = {"auc": model.auc(fitted, test_df, label_col)}
+    exact = auc_from_roc(model.score(fitted, test_df, [label_col], digits=None), "p1", label_col)
+    metrics = {"auc": float(exact.first()["auc"])}
     metrics |= {f"n_{part}_{y}": n for (part, y), n in sizes.items()}
     return fitted, test_df, metrics, numeric, cats
 
 
 def run_training(spark, src: Sources, as_of, app_values, work_dir: str, lag_shift: int = 0,
                  gbt_params: dict | None = None, sample_frac: float = 0.5, allow_missing: bool = False) -> dict:
-    """The whole training flow; saves model, means and app list under ``work_dir``."""
+    """The whole training flow; saves model, means and app list under ``work_dir``.
+
+    Its results are the written artifacts, read back; the intermediates of all
+    steps are dropped at the end, also after a failure."""
+    with scratch(spark):
+        return _run_training(spark, src, as_of, app_values, work_dir, lag_shift, gbt_params, sample_frac, allow_missing)
+
+
+def _run_training(spark, src, as_of, app_values, work_dir, lag_shift, gbt_params, sample_frac, allow_missing) -> dict:
     # the columns of the features are those of the whole list, seen or not
     listed = spark.createDataFrame([(a,) for a in app_values], "application string")
     tables.write_value_list(listed, "application", f"{work_dir}/training_apps")
@@ -143,18 +154,15 @@ def run_training(spark, src: Sources, as_of, app_values, work_dir: str, lag_shif
     model.save_model(fitted, f"{work_dir}/model")
     means.write().overwrite().save(f"{work_dir}/means")
     scored = model.score(fitted, test_df, ["crm_sub_id", "analytic_id", "camp_response"])
-    scored = tables.checkpoint_table(scored, f"{work_dir}/scored_test")
+    scored = tables.checkpoint_table(scored, f"{work_dir}/scored_test", keep=True)
     # rows that tie on all of these count alike in every group
     gains = gains_lift(scored, "p1", "camp_response", ["analytic_id", "crm_sub_id", "camp_response"])
     roc = roc_table(scored, "p1", "camp_response")
-    loss = spark.createDataFrame(list(enumerate(map(float, model.validation_loss(fitted, test_df, "camp_response")), 1)),
-                                 "tree int, log_loss double")
+    loss = staged_evaluation(fitted, test_df, "camp_response")         # loss and AUC after each tree
     imp = model.importance(spark, fitted, numeric, cats)
     # artifacts: small tables (one row per score group / per feature)
-    gains.write.mode("overwrite").parquet(f"{work_dir}/gains_lift")
-    imp.write.mode("overwrite").parquet(f"{work_dir}/importance")
-    roc.write.mode("overwrite").parquet(f"{work_dir}/roc")
-    loss.write.mode("overwrite").parquet(f"{work_dir}/validation_loss")
+    gains, imp, roc, loss = (tables.checkpoint_table(df, f"{work_dir}/{name}", keep=True) for name, df in
+                             (("gains_lift", gains), ("importance", imp), ("roc", roc), ("validation_loss", loss)))
     params = dict(model.GBT_PARAMS, **(gbt_params or {}))
     first = month_end(as_of, 4 + lag_shift)
     params["profile_month"] = f"{first} - {month_end(as_of, 3 + lag_shift)}"
