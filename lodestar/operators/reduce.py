@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -66,6 +66,22 @@ def latest_rows(df: DataFrame, col: str) -> DataFrame:
     return df.join(F.broadcast(latest_value(df, col)), col, "left_semi")
 
 
+def latest_of_files(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """Rows of the Parquet table ``path`` at the largest ``col``, found without
+    reading data: the maximum comes from the files' footers, or from the folder
+    names of a partition column, and the rows by a literal filter, which prunes
+    partitions and row groups.
+
+    For columns whose footers hold a maximum that Spark trusts (whole and
+    floating numbers, dates); other types are scanned for it, that column alone."""
+    meta = spark.newSession()                      # the caller's settings stay as they are
+    meta.conf.set("spark.sql.sources.useV1SourceList", "")
+    meta.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    top = latest_value(meta.read.parquet(path), col).first()[0]
+    table = spark.read.parquet(path)
+    return table.filter(F.col(col) == F.lit(top).cast(table.schema[col].dataType))
+
+
 def top_values(df: DataFrame, col: str, k: int) -> DataFrame:
     """The ``k`` commonest values of ``col`` (ties by value); a top-k report."""
     return (df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))

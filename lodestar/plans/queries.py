@@ -23,6 +23,7 @@ from lodestar.operators.evaluate import auc_from_roc, gains_lift, roc_table
 from lodestar.plans.oracle_sql import DAY_PERIOD_SQL, WEEKDAY_SQL, pivot_sql, q, with_ctes
 from lodestar.plans.registry import ORACLE, QUERIES, register, round_cols  # noqa: F401
 from lodestar.sources import tables
+from lodestar.sources.bucketed import joined_by_bucket, store_bucketed
 from lodestar.sources.standin import TestTables
 
 # Query parameters (the window and months the stand-ins are examined at).
@@ -425,6 +426,39 @@ def q_avg_and_slope(spark, sf_dir):
     return derive.derive_features(filled)
 
 
+_STAR_LAGS_SQL = _derive_sql()
+_STAR_LAGS_SQL = _STAR_LAGS_SQL[:_STAR_LAGS_SQL.index(", filled AS")] + "SELECT * FROM lagged"
+BUCKETS = 16
+
+
+def bucketed_star(spark, sf_dir):
+    """(star, star with lags) over profile, mart and pack stored by subscriber."""
+    t, by_bucket = TestTables(spark, sf_dir), joined_by_bucket(spark)
+    cols = {"profile": PROFILE_LAG_COLS, "pack": PACK_LAG_COLS, "mart": HH_COLS}
+    of = {"profile": t.profile(), "pack": t.pack(), "mart": household_mart(t)}
+    prof, pack, mart = (store_bucketed(of[n].select("analytic_id", "ddate", *cols[n]), n, ["analytic_id"], BUCKETS, by_bucket)
+                        for n in ("profile", "pack", "mart"))
+    star = (prof.join(pack, ["analytic_id", "ddate"], "left").join(mart, ["analytic_id", "ddate"], "left")
+            .select("analytic_id", "ddate", *LAG_BASES))
+    return star, lags.month_lags(star, [(prof, PROFILE_LAG_COLS), (mart, HH_COLS), (pack, PACK_LAG_COLS)])
+
+
+@register("star_lags_bucketed", with_ctes(["profile", "pack", "hh_members"], _HH_MART_CTES + _STAR_LAGS_SQL))
+def q_star_lags_bucketed(spark, sf_dir):
+    """JO3 JO5 JO8 JO9: star and lags over tables stored by subscriber, without
+    an exchange."""
+    return bucketed_star(spark, sf_dir)[1]
+
+
+@register("latest_month_stored", with_ctes(["owners"], "SELECT * FROM owners WHERE ddate = (SELECT max(ddate) FROM owners)"))
+def q_latest_month_stored(spark, sf_dir):
+    """FI8 AG10 WI5 IO6: months appended, the latest found by its marker."""
+    owners = TestTables(spark, sf_dir).owners()
+    target = _work(spark, "owners")
+    tables.append_months(owners, target)
+    return tables.latest_month(spark, target).select(*owners.columns)
+
+
 # ------------------------------------------------------------ feature star
 
 _STAR_BEGIN, _STAR_END = date(1995, 11, 1), date(1996, 10, 31)

@@ -99,6 +99,16 @@ def read_months(spark: SparkSession, target: str, month_col: str = "ddate") -> D
     return spark.read.option("basePath", target).parquet(*[f"{target}/{month_col}={m}" for m in months])
 
 
+def latest_month(spark: SparkSession, target: str, month_col: str = "ddate") -> DataFrame:
+    """The rows of the latest stored month: its name comes from the markers, so
+    no data is read to find it and only its folder is listed and scanned."""
+    months = marked(spark, target, month_col)
+    if not months:
+        raise ValueError(f"{target} holds no month")
+    rows = spark.read.option("basePath", target).parquet(f"{target}/{month_col}={months[-1]}")
+    return rows.filter(F.col(month_col) == F.lit(date.fromisoformat(months[-1])))
+
+
 def adopt_months(spark: SparkSession, target: str, month_col: str = "ddate") -> int:
     """Mark the months of a table that was written without markers."""
     months = _folders(spark, target, month_col)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.sources.months import append_months, path_exists, read_months, stored_months  # noqa: F401
+from lodestar.sources.months import append_months, latest_month, path_exists, read_months, stored_months  # noqa: F401
 from lodestar.sources.scratch import intermediate
 
 
