@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm import op1_toxicity, op5_decontaminate, op6_exact, op7_neardup, op9_sentencepiece
 from lodestar.llm.common import documents, stored, table, without
+from lodestar.sources.scratch import scratch
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
@@ -72,12 +73,14 @@ STAGES = [
 ]
 
 # The learned, probabilistic and tokenizer stages can't be stated in SQL;
-# tests/llm/test_pipeline.py holds each against a brute-force version.
+# tests/llm/test_models_pipeline.py holds each against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what the stages stored on the way is dropped."""
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with scratch(spark):
+        for i, (name, stage) in enumerate(STAGES, 1):
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=i == len(STAGES))
     return docs
