@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.session import shared_dir
+from lodestar.sources.scratch import intermediate
 
-BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2500
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2500, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+ROW_GROUP_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,13 +23,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back.
 
     The lineage ends there, so a lost executor never recomputes the steps
-    before it, and readers on any executor see the files."""
+    before it, and readers on any executor see the files.  Row groups are small,
+    as a task holds one while it writes.  An open ``scratch`` scope drops the
+    folder at its end, unless it is to be kept."""
     path = shared_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    path = path if keep else intermediate(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -37,11 +42,14 @@ def text_bytes(df: DataFrame, text: str = "text") -> int:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most ``BATCH_ROWS`` rows from here on: batches of
-    whole texts are what fills an executor's memory outside the heap.  The
-    session keeps a smaller setting of its own."""
-    if int(spark.conf.get(BATCH_CONF)) > BATCH_ROWS or int(spark.conf.get(BATCH_CONF)) <= 0:
-        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+    """Arrow batches within ``BATCH_LIMITS`` (rows and bytes) from here on:
+    batches of whole texts are what fills an executor's memory outside the heap.
+    The session keeps smaller settings of its own."""
+    for name, most in BATCH_LIMITS.items():
+        now = spark.conf.get(name).lower()
+        now = int(now.rstrip("b")) if now.rstrip("b").lstrip("-").isdigit() else most + 1
+        if now > most or now <= 0:
+            spark.conf.set(name, str(most))
 
 
 FILTER_BITS = 1 << 23

@@ -112,7 +112,7 @@ class Block:
         order = np.argsort(keys, kind="stable")
         maybe = np.zeros(1 << FILTER_BITS, bool)
         maybe[keys >> _U(64 - FILTER_BITS)] = True
-        self.seeds.append((what, keys[order], pos[order], item[order], maybe))
+        self.seeds.append((what, keys[order], pos[order], item[order], np.packbits(maybe, bitorder="little")))
 
     def hits(self, h: np.ndarray, ptr: np.ndarray):
         """(document, diagonal start in words, item) of all hits, distinct."""
@@ -120,7 +120,8 @@ class Block:
         for number, (what, keys, at, item, maybe) in enumerate(self.seeds):
             width = len(what) if isinstance(what, str) else what
             seed = spaced(h, what, number) if isinstance(what, str) else windows(h, what)
-            pos = np.flatnonzero(maybe[seed >> _U(64 - FILTER_BITS)])
+            slot = seed >> _U(64 - FILTER_BITS)
+            pos = np.flatnonzero((maybe[slot >> _U(3)] >> (slot & _U(7)).astype(np.uint8)) & 1)
             lo = np.searchsorted(keys, seed[pos])
             n = np.searchsorted(keys, seed[pos], side="right") - lo
             pos, lo, n = pos[n > 0], lo[n > 0], n[n > 0]
