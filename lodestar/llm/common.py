@@ -23,7 +23,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def stored(df: DataFrame, name: str, keep: bool = False, **options) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back.
 
     The lineage ends there, so a lost executor never recomputes the steps
@@ -32,7 +32,7 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     folder at its end, unless it is to be kept."""
     path = shared_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
     path = path if keep else intermediate(path)
-    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    df.write.options(**{"parquet.block.size": ROW_GROUP_BYTES, **options}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

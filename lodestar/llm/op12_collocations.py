@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import bounded_batches, documents, stored
 from lodestar.llm.normal import collapsed, spans
 from lodestar.llm.textnum import LOWER, doc_chunks, mix, span_hashes, text_buffer, windows
+from lodestar.sources.scratch import scratch
 
 LEAST, TOP, MOST_WORDS, SCALE, COVERED = 100, 2000, 5, 1000, 100
 BURST, MOST_ENTRIES, BATCH = 32_768, 1_000_000, 50_000
@@ -252,11 +253,15 @@ def sorted_runs(docs: DataFrame, sizes: range, bitmap: bytes | None, most: int =
     return docs.mapInArrow(run, RUN_DDL)
 
 
-def merged(runs: DataFrame, name: str) -> DataFrame:
-    """(lang, phrase, n): the runs' totals, merged in prefix partitions."""
-    kept = stored(runs, f"op12-runs-{name}")
+def merged(runs: DataFrame, name: str, least: int = 1) -> DataFrame:
+    """(lang, phrase, n): the runs' totals of at least ``least``, merged in
+    prefix partitions and stored; the runs are dropped then."""
     parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return kept.repartitionByRange(parts, "lang", "phrase").sortWithinPartitions("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    with scratch(runs.sparkSession):
+        kept = stored(runs, f"op12-runs-{name}", compression="zstd")
+        total = (kept.repartitionByRange(parts, "lang", "phrase").sortWithinPartitions("lang", "phrase")
+                 .groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+        return stored(total, f"op12-counts-{name}", keep=True)
 
 
 def bitmap_of(frequent: DataFrame, n: int) -> bytes:
@@ -285,13 +290,13 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WO
     bounded_batches(docs.sparkSession)
     src = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                       F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
-    words = stored(merged(sorted_runs(src, range(1, 2), None), "1"), "op12-words")
+    words = merged(sorted_runs(src, range(1, 2), None), "1")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     often, parts = words.filter(F.col("n") >= least), []
     for size, sizes in enumerate((range(2, 3), range(3, most_words + 1)), 1):
         parts.append(often)
         bits = bitmap_of(often, size)
-        often = stored(merged(sorted_runs(src, sizes, bits), str(sizes[0])).filter(F.col("n") >= least), "op12-phrases")
+        often = merged(sorted_runs(src, sizes, bits), str(sizes[0]), least)
     counts = parts[0].unionByName(parts[1]).unionByName(often)
     return stored(counts.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), F.col("n").alias("f")), "op12-counts"), totals
 
