@@ -312,3 +312,82 @@ def test_short_items_with_replaced_words(spark):
     got = {r.row.doc_id: list(r["items"]) for r in op5_decontaminate.contamination(brute.frame(spark, rows), bench).collect()}
     want = {i: [k for k, q in items if brute.leaks(t, q)] for i, t, *_ in rows}
     assert got == want and sum(map(len, want.values())) == sum(1 + n + n * (n - 1) // 2 for n in (10, 11, 12))
+
+
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+        "the Free Software Foundation, either {} of the License, or (at your option) any later version.")
+LOOK_ALIKES = [
+    (_GNU.format("Affero General Public License", "version 3"), "agpl-3.0-notice"),
+    (_GNU.format("General Public License", "version 3"), "gpl-3.0-notice"),
+    (_GNU.format("General Public License", "version 3.0"), "gpl-3.0-notice"),
+    (_GNU.format("General Public License", "version 4"), None),
+    (_GNU.format("Lesser General Public License", "version 3"), "lgpl-3.0-notice"),
+    (_GNU.format("Library General Public License", "version 2"), "lgpl-2.0-notice"),
+    (_GNU.format("General Public License", "version 2"), "gpl-2.0-notice"),
+    (_GNU.format("General Public License", "version 1"), "gpl-1.0-notice"),
+    ("This work is licensed under the GNU General Public License v3.", "gpl-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2.", "gpl-2.0"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "agpl-3.0"),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "lgpl-2.1"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "lgpl-3.0"),
+    ("Licensed under CC BY 4.0.", "cc-by-4.0"),
+    ("Licensed under CC BY 3.0.", "cc-by-3.0"),
+    ("Licensed under CC BY 5.0.", None),
+    ("Licensed under CC BY-ND 4.0.", "cc-by-nd-4.0"),
+    ("Licensed under CC BY-NC-SA 4.0.", "cc-by-nc-sa-4.0"),
+    ("Licensed under CC BY-NC-ND 2.5.", "cc-by-nc-nd-2.5"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by-4.0-notice"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "cc-by-sa-3.0-notice"),
+    ("Released under the MIT License.", "mit"),
+    ("Released under the terms of the MIT License.", "mit"),
+    ("This code is not released under the MIT License.", None),
+    ("Released under a license other than the MIT License.", None),
+    ("Released under the MIT-0 License.", None),
+    ("Released under the ISC License.", "isc"),
+    ("Released under the zlib License.", "zlib"),
+    ("Released under the BSD 2-Clause License.", "bsd-2-clause"),
+    ("Released under the BSD 3-Clause License.", "bsd-3-clause"),
+    ("Released under the BSD 4-Clause License.", None),
+    ("Licensed under the Apache License, Version 2.0.", "apache-2.0"),
+    ("Licensed under the Apache License 2.0.", "apache-2.0"),
+    ("Licensed under the Apache License, Version 1.1.", "apache-1.1"),
+    ("Licensed under the Apache License, Version 1.0.", None),
+    ("SPDX-License-Identifier: MIT", "mit-spdx"),
+    ("SPDX-License-Identifier: MIT-0", "mit-0-spdx"),
+    ("SPDX-License-Identifier: MIT-Modern-Variant", None),
+    ("SPDX-License-Identifier: GPL-2.0", "gpl-2.0-spdx"),
+    ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2.0-only-spdx"),
+    ("SPDX-License-Identifier: LGPL-2.1-or-later", "lgpl-2.1-or-later-spdx"),
+    ("SPDX-License-Identifier: BSD-1-Clause", None),
+    ("This is free and unencumbered software released into the public domain.", "unlicense-notice"),
+]
+
+
+@pytest.mark.parametrize("text, name", LOOK_ALIKES)
+def test_name_and_version_words_decide(text, name):
+    filler = "some other words of a file " * 20
+    for t in (text, f"{filler}\n{text}\n{filler}", f"{filler}. {text} {filler}"):
+        assert [x[2] for x in op2_license.notices(t)[1]] == [name] * (name is not None)
+
+
+def test_a_similar_notice_beside_the_right_one():
+    affero, plain = LOOK_ALIKES[0][0], LOOK_ALIKES[1][0]
+    for a, b in ((affero, plain), (plain, affero)):
+        got = [x[2] for x in op2_license.notices(f"{a}\n{b}")[1]]
+        assert got == ["agpl-3.0-notice", "gpl-3.0-notice"][::1 if a == affero else -1]
+    assert [x[2] for x in op2_license.notices("Never released under the MIT License. Released under the MIT License.")[1]] == ["mit"]
+
+
+def test_clauses_tell_bsd_licenses_apart():
+    two, three, four = (op2_license.TEMPLATES[f"bsd-{n}-clause-notice"] for n in (2, 3, 4))
+    for text, name in ((two, "bsd-2-clause-notice"), (three, "bsd-3-clause-notice"), (four, "bsd-4-clause-notice")):
+        held = "Copyright (c) 2020, Some One\nAll rights reserved.\n\n" + text.replace("disclaimer. ", "disclaimer.\n2. ", 1)
+        assert [x[2] for x in op2_license.notices(held)[1]] == [name]
+
+
+def test_line_breaks_and_line_length_change_nothing():
+    """The same words on one very long line, or one on each line."""
+    words = ("plain words here " * 300 + "Released under the new terms of the MIT License and " + "others follow " * 300).split()
+    wide, tall = " ".join(words), "\n".join(words)
+    assert [x[2:] for x in op2_license.notices(wide)[1]][0][0] == [x[2:] for x in op2_license.notices(tall)[1]][0][0] == "mit"
+    assert op2_license.notices(wide)[0] == 1
