@@ -11,12 +11,15 @@ a space).  A prediction is a mean of weights over all positions of the whole
 text, so it needs no per-document vector and no shuffle.
 
 Models are fitted on a bounded sample: about ``PER_LANGUAGE`` documents of
-each language with texts of at most ``SAMPLE_BYTES`` bytes, taken only from
-documents whose crc32(doc_id as text) mod 3 is not 1 and whose lang is known.
+each language with texts of at most ``SAMPLE_BYTES`` bytes, or, where a language
+has longer ones only, about ``PER_LONG`` of these; taken only from documents
+whose crc32(doc_id as text) mod 3 is not 1 and whose lang is known.
 Scoring covers every row and broadcasts only the weights.
 
-Defined cases: null text, or text without a letter, gives ``und`` with
-score 0; a null doc_id is not held out and not learned from; with one learned
+Defined cases: null text, or text without a letter (Unicode category L, one
+test for fitting and scoring; numbers such as Roman numeral signs aren't
+letters), gives ``und`` with score 0; in a tie of families the first by name
+wins, in one of languages the last by name; a null doc_id is not held out and not learned from; with one learned
 language every other text gets it with score 1, with none ``und``; repeated
 rows are scored each; an empty table gives an empty result; other columns
 are ignored.
@@ -24,16 +27,14 @@ are ignored.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import bounded_batches, documents
-from lodestar.llm.sparse import Rows, descend, sigmoid, stratified
-from lodestar.llm.textnum import LOWER, doc_chunks, text_buffer
+from lodestar.llm.sparse import Rows, descend, sigmoid
+from lodestar.llm.textnum import LOWER, text_buffer
 
 # Language families (ISO 639-1 codes).
 FAMILIES = {
@@ -47,18 +48,16 @@ FAMILIES = {
 _FAMILY = {code: name for name, codes in FAMILIES.items() for code in codes.split()}
 
 DIM_BITS = 16
-PER_LANGUAGE, SAMPLE_BYTES = 800, 32 << 10
+PER_LANGUAGE, SAMPLE_BYTES, PER_LONG = 800, 32 << 10, 50
 SCALE, PENALTY, STEPS, RATE = 30.0, 1e-4, 120, 0.3
 CHUNK_BYTES = 2 << 20
+SLOTS = 1 << 14                # n-grams whose weights are gathered at once
 UNKNOWN = "und"
 
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[65:91] = LOWER[65:91]
 _LETTERS[97:123] = np.arange(97, 123)
 _LETTERS[128:] = np.arange(128, 256)
-_ASCII = np.zeros(256, bool)
-_ASCII[65:91] = _ASCII[97:123] = True
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def family_of(lang: str) -> str:
@@ -89,8 +88,8 @@ def _frequencies(buf: np.ndarray):
     return col, SCALE * n / max(1, n.sum())
 
 
-def has_letter(raw: bytes, buf: np.ndarray) -> bool:
-    return bool(_ASCII[buf].any()) or (len(raw) > 0 and int(buf.max()) > 127 and _LETTER.search(raw.decode()) is not None)
+def has_letter(text="text"):
+    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
 
 
 def held_out(doc_id="doc_id"):
@@ -139,7 +138,8 @@ class Model:
         for a in range(0, len(buf), CHUNK_BYTES):
             # two bytes of overlap: no n-gram is lost at a piece's end
             for slots in ngrams(buf[a:a + CHUNK_BYTES + 2]):
-                total += self.w[slots].sum(axis=0, dtype=np.float64)
+                for i in range(0, len(slots), SLOTS):
+                    total += self.w[slots[i:i + SLOTS]].sum(axis=0, dtype=np.float64)
                 n += len(slots)
         return total / max(1, n) + self.bias
 
@@ -162,8 +162,19 @@ class Model:
         return lang, score
 
 
+def sample(known: DataFrame) -> DataFrame:
+    """The rows to learn from; one grouped count, no sort, the same on a retry."""
+    short = F.octet_length("text") <= SAMPLE_BYTES
+    sizes = known.groupBy("lang").agg(F.count_if(short).alias("_short"), F.count(F.lit(1)).alias("_all"))
+    share = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    pick = F.when(F.col("_short") > 0, short & (share * F.col("_short") < PER_LANGUAGE)).otherwise(share * F.col("_all") < PER_LONG)
+    return known.join(F.broadcast(sizes), "lang").filter(pick)
+
+
 def fit(docs: DataFrame) -> Model | None:
     """Model from the bounded sample of documents that aren't held out."""
+    bounded_batches(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             buf, offs = text_buffer(batch.column(0))
@@ -173,9 +184,8 @@ def fit(docs: DataFrame) -> Model | None:
                  pa.array([v.astype(np.float32).tobytes() for _, v in got], pa.binary()), batch.column(1)], ["col", "val", "lang"])
 
     known = docs.select("doc_id", "text", "lang").filter(
-        "lang is not null and doc_id is not null and text is not null").filter(~held_out()).filter(
-        (F.octet_length("text") <= SAMPLE_BYTES) & F.col("text").rlike(r"\p{L}"))
-    got = (stratified(known, "doc_id", "lang", PER_LANGUAGE).orderBy("doc_id").select("text", "lang")
+        "lang is not null and doc_id is not null and text is not null").filter(~held_out()).filter(has_letter())
+    got = (sample(known).orderBy("doc_id").select("text", "lang")
            .mapInArrow(run, "col binary, val binary, lang string").toPandas())
     if not len(got):
         return None
@@ -195,20 +205,14 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             buf, offs = text_buffer(batch.column(2))
             pred, score = [], []
-            for a, b in doc_chunks(offs, CHUNK_BYTES):
-                raw = buf[offs[a]:offs[b]].tobytes()
-                for i in range(a, b):
-                    part = buf[offs[i]:offs[i + 1]]
-                    if model is None or not has_letter(raw[offs[i] - offs[a]:offs[i + 1] - offs[a]], part):
-                        lang, s = UNKNOWN, 0.0
-                    else:
-                        lang, s = model.predict(model.margins(part))
-                    pred.append(lang)
-                    score.append(s)
+            for a, b, letters in zip(offs[:-1], offs[1:], batch.column(3).to_pylist()):
+                lang, s = model.predict(model.margins(buf[a:b])) if model and letters else (UNKNOWN, 0.0)
+                pred.append(lang)
+                score.append(s)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                                              ["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text", has_letter().alias("letters")).mapInArrow(
         run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 

@@ -4,8 +4,8 @@ Format (one folder):
 
 * ``dictionary``: one row (dict_hash, dict_bytes, id_bytes, end_id).  The
   dictionary is trained on serialized id arrays of a bounded sample
-  (``SAMPLE_DOCS`` documents of at most ``SAMPLE_BYTES`` each, smallest
-  hashes of doc_id); its hash is the SHA-256 of its bytes.
+  (about ``SAMPLE_DOCS`` documents, drawn by a hash; those over
+  ``SAMPLE_BYTES`` are left out); its hash is the SHA-256 of its bytes.
 * ``shards``: one row per shard, in ascending doc_id order of (part, seq):
   first_id, last_id, n_docs, n_tokens, dict_hash, index, payload.  The payload
   holds one zstandard frame per document; the index holds per document
@@ -131,8 +131,9 @@ def train_dictionary(docs: DataFrame, path: str, kind: type, end_id: int) -> byt
             yield pa.RecordBatch.from_arrays(
                 [pa.array([np.append(i, end_id).astype(kind).tobytes() for i in ids], pa.binary())], ["ids"])
 
-    sample = (docs.filter(F.octet_length("text") <= SAMPLE_BYTES).select("text", F.xxhash64("doc_id").alias("h"))
-              .orderBy("h").limit(SAMPLE_DOCS).select("text"))
+    # drawn by a hash against the number of rows: no sort, no texts gathered in one task
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = docs.filter((F.octet_length("text") <= SAMPLE_BYTES) & (share * docs.count() < SAMPLE_DOCS)).select("text")
     ids = [r.ids for r in sample.mapInArrow(run, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(DICT_BYTES, ids).as_bytes()

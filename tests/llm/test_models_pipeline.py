@@ -110,6 +110,38 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in op10_language.identify(docs, one).collect()} == {"en", "und"}
 
 
+def test_numbers_are_no_letters(spark):
+    model = op10_language.fit(documents(spark, SF_SMALL))
+    rows = [(i, t, None, None, None) for i, t in enumerate(["½ ²", "①②", "Ⅷ ٣", "ª", "漢", "x", "1 2 3"])]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in op10_language.identify(brute.frame(spark, rows), model).collect()}
+    assert [got[i] == ("und", 0.0) for i in range(7)] == [True, True, True, False, False, False, True]
+
+
+def test_a_language_with_long_texts_only_is_learned(spark):
+    long = "ζωή και λόγος " * (op10_language.SAMPLE_BYTES // 14)
+    rows = brute.sample(SF_SMALL) + [(9000 + i, f"{long} {i}", "el", None, None) for i in range(9)]
+    docs = brute.frame(spark, rows)
+    model = op10_language.fit(docs)
+    assert "el" in model.langs
+    got = {r.doc_id: r.lang_pred for r in op10_language.identify(docs, model).collect()}
+    assert all(got[9000 + i] == "el" for i in range(9))
+
+
+def test_margins_against_a_plain_mean_of_weights():
+    """Margins of a long text, by pieces, and of a short one: the mean weight
+    of all 1-, 2- and 3-grams, counted one by one in a dictionary."""
+    rng = np.random.RandomState(3)
+    langs = np.array(["en", "de", "fr"] * 20)
+    texts = ["".join(rng.choice(list(f"abcdefghij {x}"), 80)) for x in langs]
+    feats = [op10_language._frequencies(np.frombuffer(t.encode(), np.uint8)) for t in texts]
+    model = op10_language.Model(Rows([c for c, _ in feats], [v for _, v in feats], 1 << op10_language.DIM_BITS), langs)
+    for text in (texts[0], " ".join(texts) * 6):
+        buf = np.frombuffer(text.encode(), np.uint8)
+        count = Counter(int(s) for slots in op10_language.ngrams(buf) for s in slots)
+        plain = sum(model.w[s].astype(float) * n for s, n in count.items()) / sum(count.values()) + model.bias
+        assert np.allclose(model.margins(buf), plain, atol=1e-6)
+
+
 def test_families_and_pairs():
     rng = np.random.RandomState(0)
     langs = np.array(["en", "de", "fr", "es", "xx"] * 30)

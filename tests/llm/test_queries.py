@@ -52,7 +52,7 @@ def test_oracles(spark, name):
 
 
 def test_no_local_checkpoint_and_no_row_limits():
-    for module in ("op1_toxicity", "op2_license", "op4_pii", "op5_decontaminate", "op6_exact", "op7_neardup",
+    for module in ("op1_toxicity", "op2_license", "op3_token_ids", "op4_pii", "op5_decontaminate", "op6_exact", "op7_neardup",
                    "op8_substring", "op9_sentencepiece", "op10_language", "op11_align", "op12_collocations", "op13_simhash"):
         source = inspect.getsource(__import__(f"lodestar.llm.{module}", fromlist=["x"]))
         assert "localCheckpoint" not in source and ".limit(" not in source and "crossJoin" not in source
