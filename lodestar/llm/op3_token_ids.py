@@ -57,6 +57,7 @@ from lodestar.session import shared_dir
 END_ID = 2
 SAMPLE_DOCS, SAMPLE_BYTES, DICT_BYTES = 1000, 64 << 10, 64 << 10
 CHUNK_BYTES = 4 << 20
+STORED, JOINED = 1_500_000, 512  # segments remembered per worker (some 40 MB), segments to one call of the tokenizer
 SHARD_BYTES = 4 << 20
 PART_BYTES = 32 << 20
 LEVEL = 1
@@ -84,10 +85,21 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
-        self.segments = SegmentEncoder(_joined(), self._encode, drop=IS_SPACE, fold=LOWER)
+        self.segments = SegmentEncoder(_joined(), self._encode, drop=IS_SPACE, fold=LOWER, most=STORED)
 
     def _encode(self, parts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)]
+        """Ids of every segment.  White space parts pieces and has no ids, so many
+        segments go to the library as one text, and an id belongs to the segment
+        in which its characters begin."""
+        texts = [p.decode() for p in parts]
+        groups = [texts[i:i + JOINED] for i in range(0, len(texts), JOINED)]
+        out = []
+        for group, got in zip(groups, self.tok.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            ends = np.cumsum([len(t) + 1 for t in group])
+            cuts = np.searchsorted([a for a, _ in got.offsets], ends).tolist()
+            ids = got.ids
+            out += [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+        return out
 
     def __call__(self, buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
         ids, ptr = self.segments(buf, offs)

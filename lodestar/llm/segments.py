@@ -14,7 +14,7 @@ import numpy as np
 
 from lodestar.llm.textnum import ragged_take, span_hashes
 
-MAX_STORED = 400_000          # segments kept between batches, per worker
+MAX_STORED = 400_000          # segments kept between batches, per worker, unless the caller says otherwise
 _U = np.uint64
 
 
@@ -38,8 +38,8 @@ class SegmentEncoder:
     """Ids of whole texts from ids of their distinct segments."""
 
     def __init__(self, joined: np.ndarray, encode: Callable[[list[bytes]], list[list[int]]],
-                 drop: np.ndarray | None = None, fold: np.ndarray | None = None):
-        self.joined, self.encode, self.drop, self.fold = joined, encode, drop, fold
+                 drop: np.ndarray | None = None, fold: np.ndarray | None = None, most: int = MAX_STORED):
+        self.joined, self.encode, self.drop, self.fold, self.most = joined, encode, drop, fold, most
         self._clear()
 
     def _clear(self) -> None:
@@ -61,7 +61,7 @@ class SegmentEncoder:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
         keys, first, at = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > MAX_STORED:
+        if len(self.keys) + len(keys) > self.most:
             self._clear()
         known = np.searchsorted(self.keys, keys)
         fresh = np.ones(len(keys), bool)

@@ -391,3 +391,15 @@ def test_line_breaks_and_line_length_change_nothing():
     wide, tall = " ".join(words), "\n".join(words)
     assert [x[2:] for x in op2_license.notices(wide)[1]][0][0] == [x[2:] for x in op2_license.notices(tall)[1]][0][0] == "mit"
     assert op2_license.notices(wide)[0] == 1
+
+
+def test_joined_segments_encode_like_whole_texts():
+    enc = op3_token_ids.WordEncoder(op3_token_ids.tokenizer_path())
+    texts = ["ÀÉ ß… 漢字 😀 don't ▁ 12,34   end", "e\u0301 \u0301x a\xa0b \ufb01 ½ ²", "İstanbul ǅ \ufeff x", "a\x00b \x01 c\x7fd \x85 e",
+             "한국어 가", "'s ' '' n't", "ـــ مرحبا नमस्ते ไทย", "\u3000全角\u3000", "", " "] + [t for _, t, *_ in brute.sample(SF_SMALL) if t]
+    buf, offs = text_buffer(pa.array(texts))
+    for t, got in zip(texts, enc(buf, offs)):
+        assert list(got) == enc.tok.encode(t, add_special_tokens=False).ids
+    parts = [t.split()[0].encode() for t in texts if t.strip()] * 40             # more than one call's worth
+    assert len(parts) > op3_token_ids.JOINED
+    assert enc._encode(parts) == [enc.tok.encode(p.decode(), add_special_tokens=False).ids for p in parts]
