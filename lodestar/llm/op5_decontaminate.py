@@ -46,6 +46,7 @@ WINDOW, LEAST_SHARE, MIN_WORDS = 13, 0.8, 8
 BLOCK_BYTES = 4 << 20
 CHUNK_BYTES = 4 << 20
 FILTER_BITS = 22
+LAID = 1 << 20                # words laid beside items at once
 _U = np.uint64
 
 _WORD = np.zeros(256, bool)
@@ -132,17 +133,30 @@ class Block:
                 continue
             e = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
             found.append(np.stack([np.repeat(doc, n), np.repeat(pos, n) - (at[e] - self.ptr[item[e]]), item[e]], 1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-
-    def overlap(self, h, ptr, doc: int, start: int, item: int, window: int) -> tuple[int, int]:
-        """(best matched words, words compared) along one diagonal."""
-        words_of = self.h[self.ptr[item]:self.ptr[item + 1]]
-        lo, hi = max(start, int(ptr[doc])), min(start + len(words_of), int(ptr[doc + 1]))
-        size = min(window, len(words_of))
-        if hi - lo < size:
-            return 0, size
-        same = np.append(0, np.cumsum(h[lo:hi] == words_of[lo - start:hi - start]))
-        return int((same[size:] - same[:-size]).max()), size
+        found = np.concatenate([np.zeros((0, 3), np.int64), *found])
+        found = found[np.lexsort(found.T)]
+        return found[np.append(True, (found[1:] != found[:-1]).any(axis=1))[:len(found)]]
+
+    def overlaps(self, h, ptr, found: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """(best matched words, words compared) along the diagonal of each hit."""
+        doc, start, item = found.T
+        first, length = self.ptr[item], np.diff(self.ptr)[item]
+        lo, hi = np.maximum(start, ptr[doc]), np.minimum(start + length, ptr[doc + 1])
+        size, best = np.minimum(window, length), np.zeros(len(found), np.int64)
+        able = np.flatnonzero(hi - lo >= size)
+        ends, a = np.append(0, np.cumsum((hi - lo)[able])), 0
+        while a < len(able):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] + LAID, side="right")) - 1)
+            pick, n = able[a:b], np.diff(ends[a:b + 1])
+            at = np.arange(n.sum()) - np.repeat(ends[a:b] - ends[a], n)
+            same = h[np.repeat(lo[pick], n) + at] == self.h[np.repeat((first + lo - start)[pick], n) + at]
+            same = np.append(0, np.cumsum(same))
+            width = np.repeat(size[pick], n)
+            begin = np.flatnonzero(at + width <= np.repeat(n, n))          # windows inside the overlap
+            whole = n - size[pick] + 1
+            best[pick] = np.maximum.reduceat(same[begin + width[begin]] - same[begin], np.cumsum(whole) - whole)
+            a = b
+        return best, size
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, *limits) -> Iterator[Block]:
@@ -178,12 +192,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, l
                 items = [set(x) for x in batch.column(2).to_pylist()]
                 for a, b in doc_chunks(offs, CHUNK_BYTES):
                     h, ptr = _words(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-                    for doc, start, item in block.hits(h, ptr).tolist():
-                        got, size = block.overlap(h, ptr, doc, start, item, window)
-                        whole = block.ptr[item + 1] - block.ptr[item] < span
-                        if got >= (size if whole else least_share * size):
-                            share[a + doc] = max(share[a + doc], got / size)
-                            items[a + doc].add(block.ids[item])
+                    found = block.hits(h, ptr)
+                    got, size = block.overlaps(h, ptr, found, window)
+                    leak = got >= np.where(np.diff(block.ptr)[found[:, 2]] < span, size, least_share * size)
+                    np.maximum.at(share, a + found[leak, 0], got[leak] / size[leak])
+                    for doc, item in found[leak][:, [0, 2]].tolist():
+                        items[a + doc].add(block.ids[item])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(share),
                      pa.array([sorted(x, key=lambda i: (i is None, i)) for x in items], pa.list_(pa.int64()))],

@@ -403,3 +403,15 @@ def test_joined_segments_encode_like_whole_texts():
     parts = [t.split()[0].encode() for t in texts if t.strip()] * 40             # more than one call's worth
     assert len(parts) > op3_token_ids.JOINED
     assert enc._encode(parts) == [enc.tok.encode(p.decode(), add_special_tokens=False).ids for p in parts]
+
+
+def test_a_line_that_many_items_and_documents_share(spark, monkeypatch):
+    monkeypatch.setattr(op5_decontaminate, "LAID", 500)           # many slices
+    line = " ".join(f"shared{j}" for j in range(13)).split()
+    worn = [w if j not in (2, 9) else "other" for j, w in enumerate(line)]
+    items = [(i, " ".join([f"a{i}x{j}" for j in range(i % 7)] + line + [f"b{i}x{j}" for j in range(i % 5)])) for i in range(40)]
+    rows = [(i, " ".join([f"d{i}x{j}" for j in range(i % 9)] + (line, worn, line[:10], line + ["more"] + line)[i % 4]), None, None, None)
+            for i in range(24)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.row.doc_id: list(r["items"]) for r in op5_decontaminate.contamination(brute.frame(spark, rows), bench).collect()}
+    assert got == {i: [k for k, q in items if brute.leaks(t, q)] for i, t, *_ in rows} and sum(map(len, got.values())) >= 18 * 40
