@@ -70,11 +70,22 @@ def possible(rows: DataFrame, key, members: DataFrame, member_key, bits: int = F
             .join(F.broadcast(bitmap), "_bucket", "left").withColumn("_maybe", hit).drop("_bucket", "_at", "_bits"))
 
 
-def without(rows: DataFrame, key, members: DataFrame, member_key) -> DataFrame:
+def without(rows: DataFrame, key, members: DataFrame, member_key, others: DataFrame | None = None, other_key=None,
+            bits: int = FILTER_BITS) -> DataFrame:
     """``rows`` whose key is in no row of ``members`` (null keys stay).  Only
-    rows that the bitmap can't clear are shuffled."""
-    marked = possible(rows, key, members, member_key)
-    unsure = marked.filter("_maybe").drop("_maybe").join(members, key == member_key, "left_anti")
+    rows that the bitmap can't clear are shuffled.
+
+    ``others``, a narrow table with every key of ``rows`` that isn't a member's
+    (more do no harm), spares the members' rows the shuffle too: the keys among
+    them that the first bitmap mistakes for members set a second one, and a row
+    that passes the first but not the second is a member's."""
+    marked = possible(rows, key, members, member_key, bits)
+    unsure = marked.filter("_maybe").drop("_maybe")
+    if others is not None:
+        mistaken = (possible(others.select(other_key.alias("_other")), F.col("_other"), members, member_key, bits)
+                    .filter("_maybe").select("_other").join(members, F.col("_other") == member_key, "left_anti"))
+        unsure = possible(unsure, key, mistaken, F.col("_other"), bits).filter("_maybe").drop("_maybe")
+    unsure = unsure.join(members, key == member_key, "left_anti")
     return marked.filter("not _maybe").drop("_maybe").unionByName(unsure)
 
 

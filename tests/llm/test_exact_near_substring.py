@@ -3,9 +3,11 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from lodestar.llm import op6_exact, op7_neardup, op8_substring
-from lodestar.llm.common import components
+from lodestar.llm.common import components, without
 from conftest import SF_SMALL
 from llm import brute
 
@@ -109,3 +111,19 @@ def test_one_id_with_several_texts(spark):
     left = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, None).collect()]
     assert sorted(x for x in left if x[0] != 8) == sorted([rows[0], rows[1], rows[4], rows[8], rows[9]])
     assert len({x for x in left if x[0] == 8}) == 1
+
+
+@pytest.mark.parametrize("bits", [1, 64, 1 << 23])
+@pytest.mark.parametrize("others", [False, True])
+def test_without(spark, bits, others):
+    """Bitmaps of any size, with mistaken keys, and null and repeated keys."""
+    rows = spark.createDataFrame([(i % 300 if i % 11 else None, f"t{i}") for i in range(900)], "k int, t string")
+    members = spark.createDataFrame([(i,) for i in range(0, 300, 3)], "m int")
+    stay = rows.select(F.col("k").alias("o")).filter("o % 3 <> 0 or o is null")
+    got = without(rows, F.col("k"), members, F.col("m"), *((stay, F.col("o")) if others else ()), bits=bits)
+    want = Counter((r.k, r.t) for r in rows.collect() if r.k is None or r.k % 3)
+    assert Counter((r.k, r.t) for r in got.collect()) == want
+    empty = without(rows.limit(0), F.col("k"), members, F.col("m"), stay, F.col("o"), bits=bits)
+    assert empty.count() == 0
+    none = without(rows, F.col("k"), members.limit(0), F.col("m"), stay, F.col("o"), bits=bits)
+    assert none.count() == 900
