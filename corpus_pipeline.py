@@ -35,22 +35,24 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("id"), F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("sha")))
     keyed = F.struct(F.col("_id").alias("id"), F.col("_sha").alias("sha"))
     gone = found.filter("not kept").select(keyed.alias("_key")).distinct()
-    rest = without(tagged, F.col("key"), gone, F.col("_key"))
-    again = found.filter("kept").groupBy("_id", "_sha").count().filter("count > 1").select(keyed.alias("_key"))
+    stay = found.filter("kept")
+    rest = without(tagged, F.col("key"), gone, F.col("_key"), stay, keyed)
+    again = stay.groupBy("_id", "_sha").count().filter("count > 1").select(keyed.alias("_key"))
     if not again.isEmpty():
         once = rest.join(again, F.col("key") == F.col("_key"), "left_semi").dropDuplicates(["key"])
-        rest = without(rest, F.col("key"), again, F.col("_key")).unionByName(once)
+        rest = without(rest, F.col("key"), again, F.col("_key"), stay, keyed).unionByName(once)
     return rest.select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the smallest doc_id.  Rows are
     known by doc_id and text, as one doc_id may have several texts."""
-    found = op7_neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILARITY)
-    gone = found.filter("not kept").select(F.struct(F.col("doc_id").alias("id"), "text_hash").alias("_key")).distinct()
+    found = stored(op7_neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILARITY)
+                   .select(F.struct(F.col("doc_id").alias("id"), "text_hash").alias("_key"), "kept"), "pipeline-near")
+    gone = found.filter("not kept").select("_key").distinct()
     rows = docs.select(F.struct("*").alias("row")).withColumn("key", F.struct(
         F.col("row.doc_id").cast("long").alias("id"), op7_neardup.text_hash(F.col("row.text")).alias("text_hash")))
-    return without(rows, F.col("key"), stored(gone, "pipeline-gone"), F.col("_key")).select("row.*")
+    return without(rows, F.col("key"), gone, F.col("_key"), found.filter("kept"), F.col("_key")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
