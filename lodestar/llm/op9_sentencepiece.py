@@ -26,6 +26,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -183,12 +184,30 @@ def decoded(ids: DataFrame, path: str) -> DataFrame:
     return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, text string")
 
 
-def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_crc32, decoded_sha256, n_chars): digests of the
-    ids and of the text decoded from them, for every row."""
-    return decoded(encoded(docs, path), path).select(
-        "doc_id", "n_tokens", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"),
-        F.length("text").cast("long").alias("n_chars"))
+    ids and of the text decoded from them, for every row.
+
+    Equals ``decoded(encoded(docs))`` with its text digested, in one step: each
+    task has one worker with one model, and neither ids nor texts go back."""
+    bounded_batches(docs.sparkSession)
+
+    def run(batches):
+        p = pieces(path)
+        for batch in batches:
+            buf, offs = text_buffer(batch.column(1))
+            for a, b in doc_chunks(offs, CHUNK_BYTES):
+                ids, ptr = p.encode(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
+                crc = [zlib.crc32(ids[i:j].astype("<u4").tobytes()) for i, j in zip(ptr[:-1], ptr[1:])]
+                texts = p.decode(ids, ptr)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(np.diff(ptr), pa.int64()), pa.array(crc, pa.int64()),
+                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
+                     pa.array([len(t) for t in texts], pa.int64())],
+                    ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "n_chars"])
+
+    return _prefixed(docs, id_col, text_col).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, n_chars long")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import hashlib
 import re
 import textwrap
 import uuid
@@ -114,6 +115,9 @@ def test_sentencepiece_round_trip(spark):
     got = op9_sentencepiece.decoded(op9_sentencepiece.encoded(brute.frame(spark, rows, True), MODEL), MODEL).collect()
     want = Counter((i, (t or "").replace("▁", " ")) for i, t, *_ in rows)
     assert Counter((r.doc_id, r.text) for r in got) == want
+    at_once = op9_sentencepiece.encode_and_decode(brute.frame(spark, rows, True), MODEL).collect()
+    assert Counter(tuple(r) for r in at_once) == Counter(
+        (r.doc_id, r.n_tokens, r.ids_crc32, hashlib.sha256(r.text.encode()).hexdigest(), len(r.text)) for r in got)
     assert op9_sentencepiece.encode_and_decode(brute.frame(spark, []), MODEL).count() == 0
 
 
