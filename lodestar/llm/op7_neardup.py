@@ -18,12 +18,13 @@ Work stays linear in the size of a group:
 * round 1 links each bucket's members to the bucket's smallest member only,
   the links are confirmed on full sets, and components are formed;
 * round 2 takes buckets that still hold several components.  A bucket is
-  split into blocks of about ``BLOCK_ROWS`` members, each pair of blocks goes
-  to a task of its own, and members outside the bucket's leading component
-  are compared there with members of other components on long signatures
-  (``LONG`` symbols).  Only pairs those allow at ``LONG_SIGMAS`` standard
-  deviations come out, so a group of loosely similar texts emits next to
-  nothing, and a settled group of any size nothing at all.
+  split into blocks of about ``BLOCK_ROWS`` members (fewer of long texts), each
+  pair of blocks goes to a task of its own, and members outside the bucket's
+  leading component are compared there with members of other components, on
+  long signatures (``LONG`` symbols) and, where those allow the threshold at
+  ``LONG_SIGMAS`` standard deviations, on full sets.  What comes out are links
+  between components, less than one for each of the block's members, however
+  many of its pairs are near or all but near.
 
 Every candidate must pass the signature distance (round 1) or the long
 signature (round 2), and the size ratio, then an exact intersection of the
@@ -51,7 +52,7 @@ from lodestar.llm.textnum import doc_chunks, inside, mix, sequence_hash, text_bu
 MISS = 1e-5
 MOST_KEYS = 60             # keys a document that wider chunks may cost
 LONG, LONG_SIGMAS = 1024, 5.0
-BLOCK_ROWS = 2048
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1 << 21       # of a block, about
 CHUNK_BYTES = 2 << 20
 SET_KEY = ["n", "f1", "f2"]
 _U = np.uint64
@@ -182,18 +183,21 @@ def _close(pairs: DataFrame, reps: DataFrame, threshold: float, distance: int) -
     return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
+def _similar(x, y, percent: int) -> bool:
+    """Whether two full sorted sets satisfy 100 * intersection >= percent * union."""
+    x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
+    at = np.searchsorted(x, y)
+    both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose full sets satisfy 100 * intersection >= percent * union."""
     percent = int(round(threshold * 100))
 
     def run(batches):
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                at = np.searchsorted(x, y)
-                both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
+            ok = [_similar(x.as_buffer(), y.as_buffer(), percent) for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     side = lambda x: sets.select(F.col("rep").alias(x), F.col("set").alias(f"set_{x}"))
@@ -227,14 +231,19 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -
             .join(ids, ["doc_id", *SET_KEY]).select("rep", "set", "n", "long"))
 
 
-def _block_pairs(blocks: DataFrame, threshold: float, chunks: int, width: int) -> DataFrame:
-    """Pairs (a, b) of different components within each (key, i, j) group whose
-    long signatures allow the threshold; rows come sorted by group.  A pair
-    comes out under the first key it shares, not under all of them."""
+def _block_links(blocks: DataFrame, threshold: float, chunks: int, width: int) -> DataFrame:
+    """Links (a, b) between components, found within each (key, i, j) group;
+    rows come sorted by group.
+
+    Pairs of different components whose long signatures allow the threshold are
+    compared on full sets here, the closest first, and a link merges its two
+    components for the rest of the group: what comes out is a forest over the
+    group's components, never its pairs.  A pair is compared under the first key
+    it shares, not under all of them."""
     percent = int(round(threshold * 100))
     p = 1 - threshold
     most = LONG * p + LONG_SIGMAS * math.sqrt(LONG * p * (1 - p))
-    names = ["key", "i", "j", "at", "rep", "comp", "lead", "block", "n", "sig", "long"]
+    names = ["key", "i", "j", "at", "rep", "comp", "lead", "block", "n", "sig", "long", "set"]
 
     def first_key(x, ys):
         """Number of the first key that ``x`` shares with each of ``ys``."""
@@ -244,47 +253,50 @@ def _block_pairs(blocks: DataFrame, threshold: float, chunks: int, width: int) -
         one = np.arange(len(ys))
         return c * width + np.where(wrong[one, c] == 1, off[one, c].argmax(axis=1), 0)
 
-    def pairs(g):
-        rep, comp, n, block = g["rep"], g["comp"], g["n"], g["block"]
-        out = []
+    def links(g):
+        comp, n, block = g["comp"], g["n"], g["block"]
+        now, out = comp.copy(), []
         for x in np.flatnonzero(comp != g["lead"]):
-            ok = (comp != comp[x]) & (np.minimum(n, n[x]) * 100 >= np.maximum(n, n[x]) * percent)
+            ok = (now != now[x]) & (np.minimum(n, n[x]) * 100 >= np.maximum(n, n[x]) * percent)
             ok &= (block != block[x]) | (g["i"][0] == g["j"][0])
             y = np.flatnonzero(ok)
-            y = y[(g["long"][y] != g["long"][x]).sum(axis=1) <= most]
             y = y[(comp[y] == g["lead"][x]) | (x < y)]
-            y = y[first_key(g["sig"][x], g["sig"][y]) == g["at"][x]]
-            out.append(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])], 1))
+            apart = (g["long"][y] != g["long"][x]).sum(axis=1)
+            y, apart = y[apart <= most], apart[apart <= most]
+            first = first_key(g["sig"][x], g["sig"][y]) == g["at"][x]
+            for z in y[first][np.argsort(apart[first], kind="stable")]:
+                if now[z] != now[x] and _similar(g["set"][x], g["set"][z], percent):
+                    out.append((comp[x], comp[z]))
+                    now[now == now[z]] = now[x]
         return out
 
+    def emit(found):
+        if found:
+            ab = np.array(found, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], ["a", "b"])
+
     def run(batches):
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            g = {c: batch.column(k).to_numpy(zero_copy_only=False) for k, c in enumerate(names[:-2])}
+            g = {c: batch.column(k).to_numpy(zero_copy_only=False) for k, c in enumerate(names[:-3])}
             g["sig"] = np.frombuffer(b"".join(batch.column(9).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
             g["long"] = np.frombuffer(b"".join(batch.column(10).to_pylist()), np.uint8).reshape(batch.num_rows, LONG)
+            g["set"] = np.array(batch.column(11).to_pylist(), object)
             if held is not None:
                 g = {c: np.concatenate([held[c], g[c]]) for c in names}
             new = (g["key"][1:] != g["key"][:-1]) | (g["i"][1:] != g["i"][:-1]) | (g["j"][1:] != g["j"][:-1])
             cut = np.flatnonzero(new) + 1
-            found = [x for s, e in zip(np.append(0, cut[:-1]), cut) for x in pairs({c: g[c][s:e] for c in names})]
-            yield from _pair_batch(found)
+            yield from emit([x for s, e in zip(np.append(0, cut[:-1]), cut) for x in links({c: g[c][s:e] for c in names})])
             last = cut[-1] if len(cut) else 0
             held = {c: g[c][last:] for c in names}
         if held is not None:
-            yield from _pair_batch(pairs(held))
+            yield from emit(links(held))
 
     return blocks.select(*names).mapInArrow(run, "a long, b long")
 
 
-def _pair_batch(found):
-    if found:
-        ab = np.concatenate(found)
-        yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], ["a", "b"])
-
-
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, text_hash) of every row;
@@ -317,18 +329,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8,
     held = (buckets.filter("rep <> first").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
             .select("key", "at", "rep", F.coalesce("component", "rep").alias("comp")))
     parts = held.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
-    lead = (parts.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"),
-                                     F.ceil(F.sum("size") / F.lit(float(BLOCK_ROWS))).cast("int").alias("nb"))
-            .filter("parts > 1").select("key", F.col("top.comp").alias("lead"), "nb"))
-    longs = sets.select("rep", "n", "long").join(reps.select("rep", "sig"), "rep")
+    lead = (parts.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"))
+            .filter("parts > 1").select("key", F.col("top.comp").alias("lead")))
+    unsettled = stored(held.join(lead, "key").join(wanted.select("rep", "n"), "rep"), "op7-unsettled")
+    split = unsettled.groupBy("key").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / F.lit(float(BLOCK_ROWS)), F.sum("n") / F.lit(float(BLOCK_SHINGLES)))).cast("int").alias("nb"))
     block = F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int")
-    blocks = (held.join(lead, "key").withColumn("block", block)
+    blocks = (unsettled.drop("n").join(split, "key").withColumn("block", block)
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
               .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                      "at", "rep", "comp", "lead", "block").join(longs, "rep")
+                      "at", "rep", "comp", "lead", "block").join(sets.join(reps.select("rep", "sig"), "rep"), "rep")
               .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
-    more = _confirmed(stored(_block_pairs(blocks, threshold, chunks, width), "op7-near2"), sets, threshold)
-    comp = components(edges.unionByName(more))
+    more = stored(_block_links(blocks, threshold, chunks, width), "op7-links")
+    stars = comp.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    comp = components(stars.unionByName(more))
     comp = comp.join(classes, F.col("node") == F.col("rep")).select("rep", "component", F.struct("doc_id", *SET_KEY).alias("own"))
     lead = comp.groupBy("component").agg(F.min("own").alias("lead"))
     linked = comp.join(lead, "component").select("rep", F.col("lead.doc_id").alias("component"), (F.col("own") == F.col("lead")).alias("leads"))

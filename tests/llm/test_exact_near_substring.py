@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -61,6 +62,35 @@ def test_near_duplicates(spark, k, threshold):
             assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_a_large_group_about_the_threshold_gives_links_not_pairs(spark, monkeypatch):
+    """Texts of one group, most pairs just below the threshold: the second round
+    hands on links between components, not the group's pairs."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(150):
+        text = list(base)
+        for at in rng.sample(range(300), 4):
+            text[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(text), None, None, None))
+    rows += [(200 + i, f"{rows[i][1]} more", None, None, None) for i in range(10)]
+    handed = {}
+    keep = op7_neardup.stored
+
+    def counted(df, name, **options):
+        out = keep(df, name, **options)
+        handed[name] = out.count()
+        return out
+
+    monkeypatch.setattr(op7_neardup, "stored", counted)
+    got = op7_neardup.near_duplicates(brute.frame(spark, rows, True), 5, 0.8).collect()
+    want = brute.near_components([r[:2] for r in rows], 5, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert 1 < len({c for _, c in want.values()}) < len(rows)
+    second = sum(n for name, n in handed.items() if name in ("op7-near2", "op7-links"))
+    assert 0 < second < 2 * len(rows), handed
+
+
 def test_signature_plan():
     for t in (0.7, 0.8, 0.85, 0.95):
         chunks, width = op7_neardup.plan_signature(t)
