@@ -5,7 +5,10 @@ month index, base row, one struct per history) and dealt by key once; lag
 ``k`` of a table is then the one struct in the range frame exactly ``k``
 months before.  No join is left: one exchange and one sort serve every table
 and lag, a history is read once however many lags there are, and a base row
-without any history keeps its place.
+without any history keeps its place.  With ``star`` the row's own month is one
+more frame, so the star of base and histories is never dealt or sorted as
+wide rows.  Parts that the caller has dealt by the key are not dealt again
+(all of them must be, in the session's number of shuffle partitions).
 
 A window partition holds a key's months times the tables, as each history is
 unique on (key, month): a bound set by the calendar, so no key is hot.  The
@@ -40,7 +43,7 @@ def _month_index(col):
 def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[str]]],
                keys: Sequence[str] = ("analytic_id",), base_month: str = "ddate",
                history_month: str = "ddate", lags: Sequence[int] = (1, 2),
-               month_bounds=None, check: bool = True) -> DataFrame:
+               month_bounds=None, check: bool = True, star: bool = False) -> DataFrame:
     """Attach ``{col}_p{k}`` for every history column and lag ``k``.
 
     ``histories`` = [(table, columns)]; output columns are ordered by lag,
@@ -48,9 +51,19 @@ def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[st
     histories are filtered on their own month column with literals (pushed to
     the scan) to the months the lags need.  Rows with a NULL key or month get
     NULL lags.
+
+    A history that is ``base`` itself is taken from the base rows and not put
+    under them a second time.  With ``star`` the other histories' values of
+    the row's own month come along too, under their own names and before the
+    lags, as left joins on key and month attach them: NULL without a match, a
+    row per match with several.
     """
     keys, lags = list(keys), list(lags)
-    slots = [f"_h{i}" for i in range(len(histories))]
+    if star and month_bounds is not None:
+        raise ValueError("month_bounds keep the months of the lags only, star needs the rows' own")
+    own = [t is base and history_month == base_month and month_bounds is None for t, _ in histories]
+    slots = ["_row" if o else f"_h{i}" for i, o in enumerate(own)]
+    carried = [s for s in slots if s != "_row"]
     by = [f"_k{i}" for i in range(len(keys))]
     types = [F.struct(*[F.col(c) for c in cols]) for _, cols in histories]
     kinds = [t.select(x.alias("x")).schema["x"].dataType for (t, _), x in zip(histories, types)]
@@ -65,15 +78,18 @@ def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[st
         unkeyed = unkeyed | F.col(k).isNull()
     parts = [base.select(*[F.col(k).alias(n) for k, n in zip(keys, by)], _month_index(base_month).alias("_m"),
                          F.when(unkeyed, F.pmod(F.xxhash64(F.struct("*")), F.lit(1 << 20))).otherwise(F.lit(0)).alias("_s"),
-                         F.struct("*").alias("_row"), *[none(k).alias(s) for k, s in zip(kinds, slots)])]
+                         F.struct("*").alias("_row"), *[none(k).alias(s) for k, s in zip(kinds, slots) if s in carried])]
     for i, (table, _) in enumerate(histories):
+        if own[i]:
+            continue
         t = table
         if month_bounds is not None:
             lo, hi = month_bounds
             t = t.filter(F.col(history_month).between(F.lit(month_end(lo, max(lags))), F.lit(month_end(hi, min(lags)))))
         parts.append(t.select(*[F.col(k).alias(n) for k, n in zip(keys, by)], _month_index(history_month).alias("_m"),
                               F.lit(0).cast("long").alias("_s"), none(row_type).alias("_row"),
-                              *[types[i].alias(s) if j == i else none(kinds[j]).alias(s) for j, s in enumerate(slots)]))
+                              *[types[i].alias(s) if j == i else none(kinds[j]).alias(s)
+                                for j, s in enumerate(slots) if s in carried]))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
@@ -82,18 +98,22 @@ def month_lags(base: DataFrame, histories: Sequence[tuple[DataFrame, Sequence[st
         known = known & F.col(n).isNotNull()
     w = Window.partitionBy(*by, "_s").orderBy("_m")
 
-    def lagged(s: str, k: int):
-        frame = w.rangeBetween(-k, -k)
+    def lagged(i: int, k: int):
+        frame, s = w.rangeBetween(-k, -k), slots[i]
         value = F.first(s, ignorenulls=True).over(frame)
         if check:
-            said = F.lit(f"history {slots.index(s) + 1} has several rows of one key {k} months before a row")
+            said = F.lit(f"history {i + 1} has several rows of one key {k} months before a row")
             value = F.when(F.col("_row").isNotNull() & (F.count(s).over(frame) > 1), F.raise_error(said)).otherwise(value)
-        return F.when(known, value).alias(f"{s}_{k}")
-
-    picked = rows.select("_row", *[lagged(s, k) for k in lags for s in slots])
-    return picked.filter("_row is not null").select("_row.*", *[
-        F.col(f"{s}_{k}").getField(c).alias(lag_name(c, k))
-        for k in lags for s, (_, cols) in zip(slots, histories) for c in cols])
+        return F.when(known, value).alias(f"_v{i}_{k}")
+
+    now = [i for i, s in enumerate(slots) if star and s in carried]
+    met = [F.when(known, F.collect_list(slots[i]).over(w.rangeBetween(0, 0))).alias(f"_n{i}") for i in now]
+    picked = rows.select("_row", *met, *[lagged(i, k) for k in lags for i in range(len(slots))]).filter("_row is not null")
+    for i in now:
+        picked = picked.withColumn(f"_n{i}", F.explode_outer(f"_n{i}"))
+    return picked.select("_row.*", *[F.col(f"_n{i}").getField(c).alias(c) for i in now for c in histories[i][1]], *[
+        F.col(f"_v{i}_{k}").getField(c).alias(lag_name(c, k))
+        for k in lags for i, (_, cols) in enumerate(histories) for c in cols])
 
 
 def month_lags_literal(base: DataFrame, histories, keys=("analytic_id",),

@@ -22,6 +22,7 @@ from lodestar.plans import prepare, scoring, training
 from lodestar.operators.evaluate import auc_from_roc, gains_lift, roc_table
 from lodestar.plans.oracle_sql import DAY_PERIOD_SQL, WEEKDAY_SQL, pivot_sql, q, with_ctes
 from lodestar.plans.registry import ORACLE, QUERIES, register, round_cols  # noqa: F401
+from lodestar.session import WIDE_ROWS, session_with
 from lodestar.sources import tables
 from lodestar.sources.bucketed import joined_by_bucket, store_bucketed
 from lodestar.sources.standin import TestTables
@@ -77,9 +78,12 @@ _HH_MART_CTES = f"""
 """
 
 
-def household_mart(t: TestTables):
-    """Household mart for every month, standard deviations rounded to cents."""
-    mart = household.household_features(t.household_members(), partition_cols=["ddate"])
+def household_mart(t: TestTables, dated: bool = False):
+    """Household mart for every month, standard deviations rounded to cents;
+    ``dated`` leaves out members without a month, who share a group with their like only."""
+    members = t.household_members()
+    members = members.filter(F.col("ddate").isNotNull()) if dated else members
+    mart = household.household_features(members, partition_cols=["ddate"])
     return round_cols(mart, _STD, 2)
 
 
@@ -413,13 +417,13 @@ FROM filled"""
 @register("avg_and_slope", with_ctes(["profile", "pack", "hh_members"], _HH_MART_CTES + _derive_sql()))
 def q_avg_and_slope(spark, sf_dir):
     """FE7 FE8 FE9 SC15 PR4 Q7 Q18: 3-month averages and slopes, lags dropped."""
-    t = TestTables(spark, sf_dir)
-    prof, hh = t.profile(), household_mart(t)
-    star = (prof.select("analytic_id", "ddate", *PROFILE_LAG_COLS)
-            .join(t.pack().select("analytic_id", "ddate", *PACK_LAG_COLS), ["analytic_id", "ddate"], "left")
-            .join(hh.select("analytic_id", "ddate", *HH_COLS), ["analytic_id", "ddate"], "left")
-            .select("analytic_id", "ddate", *LAG_BASES))
-    lagged = lags.month_lags(star, _histories(t, prof, hh))
+    t = TestTables(session_with(spark, WIDE_ROWS), sf_dir)
+    prof = t.profile().select("analytic_id", "ddate", *PROFILE_LAG_COLS)
+    # the mart's members and statistics are one exchange if both leave undated members out, who meet no row;
+    # dealt by subscriber as the profile already is, star and lags are one window without an exchange
+    hh, pack = (h.select("analytic_id", "ddate", *cols).repartition("analytic_id")
+                for h, cols in ((household_mart(t, dated=True), HH_COLS), (t.pack(), PACK_LAG_COLS)))
+    lagged = lags.month_lags(prof, [(prof, PROFILE_LAG_COLS), (hh, HH_COLS), (pack, PACK_LAG_COLS)], star=True)
     types = dict(lagged.dtypes)
     filled = lagged.select(*[F.col(c) if c in ("analytic_id", "ddate")
                              else pivot.zero_fill(c, types[c]).alias(c) for c in lagged.columns])

@@ -83,6 +83,20 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session over the same cluster and catalog, with the caller's settings and ``settings``."""
+    other = spark.newSession()
+    for k, v in {**spark.conf.getAll, **settings}.items():
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
+            other.conf.set(k, v)
+    return other
+
+
+# HotSpot compiles no method beyond 8000 bytes of code: a generated one that holds a
+# hundred expressions would be interpreted for every row.  Spark then makes small ones.
+WIDE_ROWS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for written tables."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.session import shared_dir
+from lodestar.session import session_with, shared_dir
 from lodestar.sources.scratch import intermediate
 
 SETTINGS = {
@@ -31,11 +31,7 @@ SETTINGS = {
 
 def joined_by_bucket(spark: SparkSession) -> SparkSession:
     """A session over the same cluster and catalog, with ``SETTINGS``."""
-    other = spark.newSession()
-    for k, v in {**spark.conf.getAll, **SETTINGS}.items():
-        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
-            other.conf.set(k, v)
-    return other
+    return session_with(spark, SETTINGS)
 
 
 def store_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, spark: SparkSession | None = None) -> DataFrame:
